@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstrata.functions.times import to_precision
 
@@ -46,20 +46,20 @@ def order_detail(lines: DataFrame) -> DataFrame:
 
 
 def dedup_earliest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the first by `order_by`.
-
-    An aggregate, not a ranking window: rows of a key are reduced before the shuffle, so a key that holds
-    a large share of the input still arrives as one row per map task.
-    """
-    return _pick(df, keys, F.min_by, order_by)
+    """One row per key: the first by `order_by`."""
+    return _first_ranked(df, keys, [F.asc(name) for name in order_by])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the last by `order_by` (compaction of a change log)."""
-    return _pick(df, keys, F.max_by, order_by)
+    return _first_ranked(df, keys, [F.desc(name) for name in order_by])
 
 
-def _pick(df: DataFrame, keys: Sequence[str], pick, order_by: Sequence[str]) -> DataFrame:
-    rest = [name for name in df.columns if name not in set(keys)]
-    chosen = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order_by)).alias("_row"))
-    return chosen.select(*keys, "_row.*").select(*df.columns)
+def _first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rank 1 of each key.
+
+    The rank filter sits directly on the ranking, so Spark limits every map task to one row per key before
+    the shuffle (WindowGroupLimit); a key that holds a large share of the input arrives as one row per task.
+    """
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -153,16 +153,21 @@ def traffic_minute(detail: DataFrame, browse: str = BROWSE) -> DataFrame:
     )
 
 
-def payment_day(payments: DataFrame, success: str = "SUCCESS") -> DataFrame:
-    """gmv, payment_order_count and payment_user_count by payment day. Refunds never lower gmv."""
+# Metric names and definitions.
+PAYMENT_DAY = {
+    "gmv": total("payment_amount"),
+    "payment_order_count": distinct("order_id"),
+    "payment_user_count": distinct("user_id"),
+}
+ORDER_DAY = {"order_gmv": total("line_amount"), "order_count": distinct("order_id"), "order_detail_count": rows()}
+
+
+def payment_day(payments: DataFrame, success: str = "SUCCESS", names: Sequence[str] = tuple(PAYMENT_DAY)) -> DataFrame:
+    """gmv, payment_order_count and payment_user_count (or some of them) by payment day. Refunds never lower gmv."""
     return day_metrics(
         payments.filter(F.col("payment_status") == success),
         F.to_date("create_time"),
-        {
-            "gmv": total("payment_amount"),
-            "payment_order_count": distinct("order_id"),
-            "payment_user_count": distinct("user_id"),
-        },
+        {name: PAYMENT_DAY[name] for name in names},
     )
 
 
@@ -175,16 +180,12 @@ def refund_day(refunds: DataFrame, success: str = "SUCCESS") -> DataFrame:
     )
 
 
-def order_day(lines: DataFrame) -> DataFrame:
-    """order_gmv, order_count and order_detail_count by order day."""
+def order_day(lines: DataFrame, names: Sequence[str] = tuple(ORDER_DAY)) -> DataFrame:
+    """order_gmv, order_count and order_detail_count (or some of them) by order day."""
     return day_metrics(
         lines.withColumn("line_amount", F.col("order_price") * F.col("sku_num")),
         F.to_date("create_time"),
-        {
-            "order_gmv": total("line_amount"),
-            "order_count": distinct("order_id"),
-            "order_detail_count": rows(),
-        },
+        {name: ORDER_DAY[name] for name in names},
     )
 
 

@@ -194,11 +194,11 @@ def flow_funnel(
 def user_retention(detail: DataFrame, days: int = 7) -> DataFrame:
     """Users active on a day and again n days later, for n = 1..days.
 
-    Events are first reduced to distinct (user, day) pairs. Every user's active days are then gathered as a
-    set, no longer than the calendar, so the self-comparison is local to a user and needs no join.
+    Events are first reduced to distinct (user, day) pairs. Every user's active days are then gathered in a
+    list, no longer than the calendar, so the self-comparison is local to a user and needs no join.
     """
     active_days = detail.filter(F.col("uid").isNotNull()).select("uid", F.to_date("biz_date").alias("day")).distinct()
-    per_user = active_days.groupBy("uid").agg(F.collect_set("day").alias("active"))
+    per_user = active_days.groupBy("uid").agg(F.collect_list("day").alias("active"))
     starts = per_user.select("active", F.explode("active").alias("start_dt"))
     back = {n: F.count_if(F.array_contains("active", F.date_add("start_dt", n))) for n in range(1, days + 1)}
     per_start = starts.groupBy("start_dt").agg(

@@ -111,7 +111,7 @@ def order_detail(spark, d):
 
 @query
 def narrow_scan(spark, d):
-    return _traffic(spark, d).select("uid", "action_id", "biz_date", "event_id")
+    return _traffic(spark, d).select("uid", "action_id", F.col("biz_date").cast("string").alias("biz_date"), "event_id")
 
 
 @query
@@ -375,8 +375,8 @@ def join_hit_counts(spark, d):
 @query
 def rollup_equality(spark, d):
     all_days = metrics.union_metrics(
-        metrics.payment_day(_payments(spark, d), PAID),
-        metrics.order_day(_lines(spark, d)),
+        metrics.payment_day(_payments(spark, d), PAID, ["gmv"]),
+        metrics.order_day(_lines(spark, d), ["order_gmv"]),
         gmv_by_nation(spark, d),
         order_amount_by_category(spark, d),
     )
@@ -476,17 +476,14 @@ def user_retention(spark, d):
 # Serving.
 
 
-def _days(spark, d):
-    return metrics.union_metrics(trade_day(spark, d), traffic_day(spark, d))
-
-
 def _minutes(spark, d):
     return metrics.union_metrics(traffic_minute_pv_uv(spark, d), trade_minute_gmv(spark, d))
 
 
 @query
 def latest_cards(spark, d):
-    return serving.latest_cards(_days(spark, d))
+    paid = metrics.payment_day(_payments(spark, d), PAID)
+    return serving.latest_cards(metrics.union_metrics(paid, traffic_day(spark, d)))
 
 
 @query

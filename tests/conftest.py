@@ -13,6 +13,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.sql.streaming.stateStore.providerClass": (
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
