@@ -119,6 +119,13 @@ _ACTION = (
 _ITEM = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 
+_FLAT = f"""
+    SELECT user_id AS uid, 'app' AS platform, CAST(NULL AS BIGINT) AS province_id, event_type AS page_id,
+           {_ACTION} AS action_id, {_ITEM} AS item, {_TEXT} AS ts, CAST(event_id AS VARCHAR) AS event_id,
+           epoch_us(ts - INTERVAL 8 HOUR) // 1000 AS event_time_ms, strftime(ts, '%Y-%m-%d') AS biz_date,
+           'Asia/Shanghai' AS source_timezone
+    FROM events"""
+
 
 def _pick(order: str) -> str:
     columns = (
@@ -190,12 +197,7 @@ def _recent(days: str) -> str:
 ORACLE: dict[str, str] = {
     "dedup_keep_earliest": _pick("ASC"),
     "latest_per_key": _pick("DESC"),
-    "flatten_event_json": f"""
-        SELECT user_id AS uid, 'app' AS platform, CAST(NULL AS BIGINT) AS province_id, event_type AS page_id,
-               {_ACTION} AS action_id, {_ITEM} AS item, {_TEXT} AS ts, CAST(event_id AS VARCHAR) AS event_id,
-               epoch_us(ts - INTERVAL 8 HOUR) // 1000 AS event_time_ms, strftime(ts, '%Y-%m-%d') AS biz_date,
-               'Asia/Shanghai' AS source_timezone
-        FROM events""",
+    "flatten_event_json": _FLAT,
     "payment_detail": f"""
         {_ROLES} SELECT id, id AS order_id, user_id, 'card' AS payment_type, md5(CAST(id AS VARCHAR)) AS trade_no,
                payment_amount, 'purchase' AS payment_status,
@@ -238,6 +240,14 @@ ORACLE: dict[str, str] = {
     "order_amount_by_category": f"{_ROLES} {_AMOUNT_CATEGORY}",
     "traffic_minute_stream": _closed(_TRAFFIC_MINUTE, "events", "ts"),
     "trade_minute_stream": f"{_ROLES} {_closed(_TRADE_MINUTE, 'purchase', 'create_time')}",
+    "ttl_dedup": _FLAT,
+    "traffic_detail_stream": _FLAT,
+    "trade_day_stream": f"""
+        WITH payment AS (
+            SELECT event_id AS order_id, user_id, CAST(value AS DECIMAL(16,2)) AS payment_amount, 'F' AS payment_status,
+                   CAST(CASE event_type WHEN 'click' THEN ts + INTERVAL 1 DAY ELSE ts END AS DATE) AS dt
+            FROM events WHERE event_type IN ('purchase', 'click')
+        ) {_payment_day('payment')}""",
     "default_dimension": f"""
         {_ROLES} SELECT dt AS metric_date, 'placed_orders' AS metric_name,
                CASE WHEN payment_type = '4-NOT SPECIFIED' THEN 'ALL' ELSE payment_type END AS dimension_key,

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from shopstrata.functions.event_keys import event_id
 from shopstrata.functions.times import biz_date, local_to_epoch_ms
 from shopstrata.operators import changes, cleanse, metrics, quality, sequence
 from shopstrata.plans import marts, serving
-from shopstrata.schemas import PAYMENT_DETAIL
+from shopstrata.schemas import DAY_KEY, DAY_METRIC, PAYMENT_DETAIL, TRAFFIC_DETAIL
+from shopstrata.session import run_dir
 from shopstrata.sources import readers, retail
 from shopstrata.sources.retail import BROWSE, PAID, PURCHASE, REFUNDED, table
-from shopstrata.streaming.runs import run_to_table
+from shopstrata.streaming import dedup, hops
+from shopstrata.streaming.dedup import expiring_state
+from shopstrata.streaming.keyed_table import KeyedTable
+from shopstrata.streaming.runs import run_hop, run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,6 +210,74 @@ def trade_minute_stream(spark, d):
     return run_to_table(metrics.trade_minute(retail.purchases(events), PURCHASE), "trade-minute")
 
 
+def _repeated(nested):
+    """Every event twice, the copy five seconds late."""
+    late = F.explode(F.array(F.lit(0), F.lit(5000)))
+    return nested.select("*", late.alias("late")).withColumn("event_time_ms", F.col("event_time_ms") + F.col("late"))
+
+
+@query
+def ttl_dedup(spark, d):
+    """Repeated events through expiring state."""
+    nested = _repeated(retail.nested_events(retail.table_stream(spark, d, "events")))
+    with expiring_state(spark):
+        emitted = run_to_table(dedup.ttl_dedup(cleanse.flatten_events(nested)), "ttl-dedup")
+    return changes.apply_changes(emitted, ["event_id", "biz_date"])
+
+
+@query
+def traffic_detail_stream(spark, d):
+    """Repeated events as a stream into the keyed detail table."""
+    nested = _repeated(retail.nested_events(retail.table_stream(spark, d, "events")))
+    flat = cleanse.flatten_events(nested).withColumn("event_time", F.timestamp_millis("event_time_ms"))
+    folder = run_dir(spark, "traffic-detail")
+    detail = KeyedTable(spark, f"{folder}/table", TRAFFIC_DETAIL, ["event_id"], "biz_date")
+    write = hops.detail_hop(detail, f"{folder}/checkpoint", moves=False)
+    run_hop(dedup.daily_dedup(flat, "event_time"), write, f"{folder}/checkpoint", "update")
+    return detail.snapshot()
+
+
+@query
+def trade_day_stream(spark, d):
+    """Payment changes as a stream into the detail table, and from there into daily metrics.
+
+    Purchases are paid, clicks are paid a day after they are created, views are paid and then deleted.
+    """
+    events = retail.purchases(retail.table_stream(spark, d, "events"))
+    kind, next_day = F.col("payment_status"), F.col("create_time") + F.expr("INTERVAL 1 DAY")
+
+    def change(op, seq, status, time, before):
+        image = F.struct(F.lit(status).alias("payment_status"), time.alias("create_time"))
+        before = F.struct(before.alias("create_time"))
+        return F.struct(F.lit(op).alias("op"), F.lit(seq).cast("bigint").alias("seq"), image.alias("row"), before.alias("before"))
+
+    created, nothing = F.col("create_time"), F.lit(None).cast("timestamp_ntz")
+    history = (
+        F.when(kind == "purchase", F.array(change("c", 1, "SUCCESS", created, nothing)))
+        .when(
+            kind == "click",
+            F.array(change("c", 1, "PENDING", created, nothing), change("u", 2, "SUCCESS", next_day, created)),
+        )
+        .when(
+            kind == "view",
+            F.array(change("c", 1, "SUCCESS", created, nothing), change("d", 2, "SUCCESS", created, created)),
+        )
+    )
+    log = events.withColumn("change", F.explode(history)).select(
+        "id", "order_id", "user_id", "payment_amount", "change.row.*", "change.op", "change.seq", "change.before"
+    )
+    folder = run_dir(spark, "trade-day")
+    columns = ["id", "order_id", "user_id", "payment_amount", "payment_status", "create_time"]
+    schema = StructType([PAYMENT_DETAIL[name] for name in columns] + [StructField("pay_date", DateType())])
+    detail = KeyedTable(spark, f"{folder}/detail", schema, ["id"], "pay_date")
+    result = KeyedTable(spark, f"{folder}/metrics", DAY_METRIC, DAY_KEY, "metric_date")
+    checkpoints = f"{folder}/detail-checkpoint", f"{folder}/metrics-checkpoint"
+    run_hop(log, hops.detail_hop(detail, checkpoints[0], time="create_time"), checkpoints[0])
+    recompute = hops.day_metric_hop(detail, result, checkpoints[1], metrics.payment_day, list(metrics.PAYMENT_DAY))
+    run_hop(detail.stream(), recompute, checkpoints[1])
+    return result.snapshot()
+
+
 @query
 def default_dimension(spark, d):
     keyed = _payments(spark, d).withColumn("priority", F.nullif(F.col("payment_type"), F.lit("4-NOT SPECIFIED")))

@@ -23,6 +23,11 @@ def start_hop(
     return writer.start()
 
 
+def run_hop(stream: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    """Run one hop over its present input."""
+    start_hop(stream, write_batch, checkpoint, mode).awaitTermination()
+
+
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append stream over its present input into a new parquet table of the shared folder; return the table."""
     spark = stream.sparkSession
