@@ -30,19 +30,23 @@ def _millis(name: str) -> Column:
     return to_precision(F.col(name), "MILLISECOND").alias(name)
 
 
+def _detail(raw: DataFrame, kept: Sequence[str], times: Sequence[str]) -> DataFrame:
+    """The kept columns with times in milliseconds; the change columns pass through where present."""
+    change = [name for name in ("op", "seq", "before") if name in raw.columns]
+    return raw.select(*kept, *[_millis(name) for name in times], *change)
+
+
 def payment_detail(payments: DataFrame) -> DataFrame:
     kept = ["id", "order_id", "user_id", "payment_type", "trade_no", "payment_amount", "payment_status"]
-    return payments.select(*kept, _millis("create_time"), _millis("callback_time"))
+    return _detail(payments, kept, ["create_time", "callback_time"])
 
 
 def refund_detail(refunds: DataFrame) -> DataFrame:
-    kept = ["id", "user_id", "order_id", "sku_id", "refund_amount", "refund_status"]
-    return refunds.select(*kept, _millis("create_time"))
+    return _detail(refunds, ["id", "user_id", "order_id", "sku_id", "refund_amount", "refund_status"], ["create_time"])
 
 
 def order_detail(lines: DataFrame) -> DataFrame:
-    kept = ["id", "order_id", "sku_id", "sku_name", "order_price", "sku_num"]
-    return lines.select(*kept, _millis("create_time"))
+    return _detail(lines, ["id", "order_id", "sku_id", "sku_name", "order_price", "sku_num"], ["create_time"])
 
 
 def dedup_earliest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

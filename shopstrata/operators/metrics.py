@@ -69,6 +69,7 @@ def minute_metrics(
     date: str | None = None,
     where: Column | None = None,
     local_start: bool = False,
+    unique: str | None = None,
     window: str = "1 minute",
     delay: str = "5 seconds",
 ) -> DataFrame:
@@ -78,7 +79,8 @@ def minute_metrics(
     mode, and no state row grows with the number of values in a window. The watermark is declared before
     the filter, so filtered-out rows still move it; naming the event time in the filter keeps the optimizer
     from moving it below the watermark. `date` names the day column; without it the day is
-    that of the window start. `local_start` turns the start of a zoned event time into business wall time.
+    that of the window start. `unique` names a key whose repeats within a window count once; their state
+    goes when the window closes. `local_start` turns the start of a zoned event time into business wall time.
     """
     distinct_columns = {spec.column for spec in specs.values() if spec.kind == "distinct"}
     if len(distinct_columns) > 1:
@@ -92,8 +94,12 @@ def minute_metrics(
     if where is not None:
         source = source.filter(where)
 
+    source = source.withColumn("window", F.window(event_time, window))
+    if unique is not None:
+        source = source.dropDuplicates([unique, "window"])
+
     days = [date] if date else []
-    partial = source.groupBy(F.window(event_time, window), *days, *([value] if value else [])).agg(
+    partial = source.groupBy("window", *days, *([value] if value else [])).agg(
         *[
             (F.count(F.lit(1)) if spec.kind == "rows" else F.sum(spec.column)).alias(name)
             for name, spec in specs.items()
@@ -140,7 +146,7 @@ def traffic_day(detail: DataFrame, browse: str = BROWSE) -> DataFrame:
     return day_metrics(browsed, F.to_date("biz_date"), {"browse_pv": rows(), "day_uv": distinct("uid")})
 
 
-def traffic_minute(detail: DataFrame, browse: str = BROWSE) -> DataFrame:
+def traffic_minute(detail: DataFrame, browse: str = BROWSE, unique: str | None = None) -> DataFrame:
     """browse_pv and browse_uv per minute and business day."""
     timed = detail.withColumn("event_time", F.timestamp_millis("event_time_ms"))
     return minute_metrics(
@@ -150,6 +156,7 @@ def traffic_minute(detail: DataFrame, browse: str = BROWSE) -> DataFrame:
         date="biz_date",
         where=F.col("action_id") == browse,
         local_start=True,
+        unique=unique,
     )
 
 
@@ -199,7 +206,7 @@ def trade_day(
     return union_metrics(payment_day(payments, paid), refund_day(refunds, refunded), order_day(lines))
 
 
-def trade_minute(payments: DataFrame, success: str = "SUCCESS") -> DataFrame:
+def trade_minute(payments: DataFrame, success: str = "SUCCESS", unique: str | None = None) -> DataFrame:
     """gmv and payment_order_count per minute of local payment time.
 
     A stream's watermark needs a zoned time, so wall time passes through epoch milliseconds there.
@@ -214,6 +221,7 @@ def trade_minute(payments: DataFrame, success: str = "SUCCESS") -> DataFrame:
         {"gmv": total("payment_amount"), "payment_order_count": distinct("order_id")},
         where=F.col("payment_status") == success,
         local_start=payments.isStreaming,
+        unique=unique,
     )
 
 

@@ -1,4 +1,4 @@
-"""Declared schemas and primary keys of every table."""
+"""Declared schemas and keys of every table."""
 
 from __future__ import annotations
 
@@ -106,23 +106,33 @@ MINUTE_METRIC = struct(
 DAY_KEY = ["metric_date", "metric_name", "dimension_key"]
 MINUTE_KEY = ["metric_date", "window_start", "metric_name", "dimension_key"]
 
-PRIMARY_KEYS = {
-    **{name: ["id"] for name in BUSINESS_TABLES},
-    "dwd_traffic_event": ["event_id"],
-    "dwd_payment_detail": ["id"],
-    "dwd_refund_detail": ["id"],
-    "dwd_order_detail": ["id"],
-    **{f"{layer}_{domain}_day": DAY_KEY for layer in ("dws", "ads") for domain in ("traffic", "trade")},
-    **{f"{layer}_{domain}_1m": MINUTE_KEY for layer in ("dws", "ads") for domain in ("traffic", "trade")},
+DETAIL_DAY = T.StructField("day", DAY)
+RESULT_STAMP = T.StructField("updated_at", TIME)
+
+
+def _with(schema: T.StructType, field: T.StructField) -> T.StructType:
+    return T.StructType(schema.fields + [field])
+
+
+# Keyed tables: schema, primary key, day column. Details carry the day they count for; results a write time.
+KEYED_TABLES = {
+    "dwd_traffic_event": (TRAFFIC_DETAIL, ["event_id"], "biz_date"),
+    "dwd_payment_detail": (_with(PAYMENT_DETAIL, DETAIL_DAY), ["id"], "day"),
+    "dwd_refund_detail": (_with(REFUND_DETAIL, DETAIL_DAY), ["id"], "day"),
+    "dwd_order_detail": (_with(ORDER_LINE, DETAIL_DAY), ["id"], "day"),
+    "dws_traffic_day": (DAY_METRIC, DAY_KEY, "metric_date"),
+    "dws_trade_day": (DAY_METRIC, DAY_KEY, "metric_date"),
+    "dws_traffic_1m": (MINUTE_METRIC, MINUTE_KEY, "metric_date"),
+    "dws_trade_1m": (MINUTE_METRIC, MINUTE_KEY, "metric_date"),
+    "ads_traffic_day": (_with(DAY_METRIC, RESULT_STAMP), DAY_KEY, "metric_date"),
+    "ads_trade_day": (_with(DAY_METRIC, RESULT_STAMP), DAY_KEY, "metric_date"),
+    "ads_traffic_1m": (_with(MINUTE_METRIC, RESULT_STAMP), MINUTE_KEY, "metric_date"),
+    "ads_trade_1m": (_with(MINUTE_METRIC, RESULT_STAMP), MINUTE_KEY, "metric_date"),
 }
 
 
-def changestruct(
-   
-) -> T.StructType:
-    """Change rows of a table: `op` ('c', 'u', 'd'), `seq`, its columns, and for 'u' optionally the old image."""
+def change_schema(table: T.StructType) -> T.StructType:
+    """Change rows of a table: `op` ('c', 'u', 'd'), `seq`, its columns, and for 'u' the old image in `before`."""
     return T.StructType(
-        [T.StructField("op", T.StringType()), T.StructField("seq", T.LongType())]
-        + table.fields
-        + [T.StructField("before", table)]
+        [T.StructField("op", TEXT), T.StructField("seq", BIG)] + table.fields + [T.StructField("before", table)]
     )

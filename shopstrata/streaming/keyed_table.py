@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shopstrata.operators.cleanse import latest_per_key
+from shopstrata.schemas import KEYED_TABLES
 
 LOG, BASE = "log", "base"
 
@@ -38,6 +39,11 @@ class KeyedTable:
         empty = spark.createDataFrame([], self.log_schema).drop("kind", "batch")
         empty.write.mode("ignore").partitionBy(day).parquet(f"{self.path}/kind={LOG}/batch=none")
 
+    @classmethod
+    def named(cls, spark: SparkSession, root: str, name: str) -> "KeyedTable":
+        """One of the declared tables, under `root`."""
+        return cls(spark, f"{root}/{name}", *KEYED_TABLES[name])
+
     def write(self, changes: DataFrame, batch: str, kind: str = LOG) -> None:
         """Write a batch of rows with op and seq. Files are balanced by size, a busy day is split."""
         rows = changes.select(*self.columns, "op", "seq").hint("rebalance", self.day)
