@@ -45,8 +45,14 @@ class KeyedTable:
         return cls(spark, f"{root}/{name}", *KEYED_TABLES[name])
 
     def write(self, changes: DataFrame, batch: str, kind: str = LOG) -> None:
-        """Write a batch of rows with op and seq. Files are balanced by size, a busy day is split."""
-        rows = changes.select(*self.columns, "op", "seq").hint("rebalance", self.day)
+        """Write a batch of rows with op and seq.
+
+        With adaptive execution, files are balanced by size and a busy day is split. A stateful stream runs
+        without it; its rows are spread by key already and stay where they are.
+        """
+        rows = changes.select(*self.columns, "op", "seq")
+        if changes.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            rows = rows.hint("rebalance", self.day)
         rows.write.mode("overwrite").partitionBy(self.day).parquet(f"{self.path}/kind={kind}/batch={batch}")
 
     def changes(self) -> DataFrame:

@@ -160,3 +160,8 @@ def test_only_one_distinct_column_per_window(spark):
     df = spark.createDataFrame([payment(1, 10, 7, "5.00")], PAYMENT)
     with pytest.raises(ValueError):
         metrics.minute_metrics(df, "create_time", {"a": metrics.distinct("order_id"), "b": metrics.distinct("user_id")})
+
+
+def test_province_recompute_counts_orders(shop):
+    got = as_set(metrics.province_recompute(*shop), "dimension_key", "metric_value", "pay_orders")
+    assert got == {("north", money("5.00"), 1), ("south", money("2.50"), 1)}
