@@ -33,6 +33,11 @@ def read_changes(spark: SparkSession, path: str, table: T.StructType, streaming:
     return reader.schema(schemas.change_schema(table)).option("mode", "FAILFAST").json(path)
 
 
+def read_business(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A business table kept as parquet, in its declared schema."""
+    return spark.read.schema(schemas.BUSINESS_TABLES[name]).parquet(f"{folder}/{name}")
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, streaming: bool = True) -> DataFrame:
     """A topic from its earliest offset. Needs the Kafka connector on the classpath."""
     reader = spark.readStream if streaming else spark.read

@@ -7,6 +7,7 @@ checkpoints; the keyed tables between them are the only thing they share.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,6 +17,11 @@ from shopstrata.streaming.keyed_table import KeyedTable, batch_label, touched_da
 WriteBatch = Callable[[DataFrame, int], None]
 
 
+def _dates(days: Sequence) -> list[date]:
+    """Days as dates; the traffic detail keeps its business day as text."""
+    return [day if isinstance(day, date) else date.fromisoformat(day) for day in days]
+
+
 def detail_hop(
     table: KeyedTable,
     checkpoint: str,
@@ -61,8 +67,8 @@ def day_metric_hop(
         if not days:
             return
         fresh = compute(detail.snapshot(F.col(detail.day).isin(days)))
-        scope = F.col("metric_date").isin(days) & F.col("metric_name").isin(*names)
-        result.upsert(fresh, batch_label(names[0], checkpoint, batch_id), scope)
+        label = batch_label(names[0], checkpoint, batch_id)
+        result.upsert(fresh, label, _dates(days), F.col("metric_name").isin(*names))
 
     return write
 
@@ -71,7 +77,12 @@ def window_metric_hop(result: KeyedTable, checkpoint: str, name: str) -> WriteBa
     """Write closed windows of an append stream."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result.upsert(batch, batch_label(name, checkpoint, batch_id))
+        # Kept for two uses, so that the stream's state is not gone through twice.
+        windows = batch.persist()
+        days = touched_days(windows, result.day)
+        if days:
+            result.upsert(windows, batch_label(name, checkpoint, batch_id), days)
+        windows.unpersist()
 
     return write
 
@@ -83,7 +94,7 @@ def publish_hop(metrics: KeyedTable, result: KeyedTable, checkpoint: str) -> Wri
         days = touched_days(batch, metrics.day)
         if not days:
             return
-        scope = F.col("metric_date").isin(days)
-        result.upsert(publish(metrics.snapshot(scope)), batch_label("publish", checkpoint, batch_id), scope)
+        rows = publish(metrics.snapshot(F.col(metrics.day).isin(days)))
+        result.upsert(rows, batch_label("publish", checkpoint, batch_id), days, F.lit(True))
 
     return write

@@ -25,11 +25,15 @@ class KeyedTable:
     A row carries `op` ('c', 'u', 'd') and `seq`; per key the highest `seq` counts. Writing a batch costs as
     much as the batch, whatever the table holds, and writing it again replaces only its own folder, so
     a repeated batch changes nothing. `day` is the date column the table is partitioned by. A key whose
-    day changes needs a 'd' row on its old day; see `route`.
+    day changes needs a 'd' row on its old day; see `route`. `writers` is how many tasks share a day in batches
+    of stateful streams.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], day: str):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], day: str, writers: int = 16
+    ):
         self.spark, self.path, self.keys, self.day = spark, path.rstrip("/"), list(keys), day
+        self.writers = writers
         self.columns = schema.fieldNames()
         self.log_schema = T.StructType(
             schema.fields
@@ -48,11 +52,13 @@ class KeyedTable:
         """Write a batch of rows with op and seq.
 
         With adaptive execution, files are balanced by size and a busy day is split. A stateful stream runs
-        without it; its rows are spread by key already and stay where they are.
+        without it; there, a day's rows are spread over `writers` tasks by key.
         """
         rows = changes.select(*self.columns, "op", "seq")
         if changes.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             rows = rows.hint("rebalance", self.day)
+        else:
+            rows = rows.repartition(self.day, F.pmod(F.xxhash64(*self.keys), F.lit(self.writers)))
         rows.write.mode("overwrite").partitionBy(self.day).parquet(f"{self.path}/kind={kind}/batch={batch}")
 
     def changes(self) -> DataFrame:
@@ -98,15 +104,16 @@ class KeyedTable:
         routed = marked.select(*kept, "seq", placed.alias("_placed"))
         return routed.select(*kept, F.col("_placed.day").alias(self.day), F.col("_placed.op").alias("op"), "seq")
 
-    def upsert(self, rows: DataFrame, batch: str, scope: Column | None = None) -> None:
-        """Write the rows that are new or differ from the table.
+    def upsert(self, rows: DataFrame, batch: str, days: Sequence, scope: Column | None = None) -> None:
+        """Write the rows that are new or differ from the table. `days` are the days of `rows`; only they are read.
 
-        With `scope`, rows of the table within it that `rows` lacks are deleted. An unchanged row is not written
-        again, so its `updated_at` stays.
+        With `scope`, rows of these days within it that `rows` lacks are deleted. An unchanged row is not
+        written again, so its `updated_at` stays.
         """
+        read = F.col(self.day).isin(list(days))
         stamped = "updated_at" in self.columns
         values = [name for name in self.columns if name not in self.keys and name != "updated_at"]
-        old = self.latest(scope, without_batch=batch).select(
+        old = self.latest(read if scope is None else read & scope, without_batch=batch).select(
             *self.keys,
             F.struct(*values).alias("_old"),
             (F.col("op") != "d").alias("_live"),
@@ -136,5 +143,5 @@ class KeyedTable:
 
 
 def touched_days(changes: DataFrame, day: str) -> list:
-    """The days a batch touches: at most one value per calendar day."""
-    return [row[0] for row in changes.select(day).distinct().collect()]
+    """The days a batch touches: at most one value per calendar day. Rows without a day count for no metric."""
+    return [row[0] for row in changes.select(day).filter(F.col(day).isNotNull()).distinct().collect()]

@@ -37,6 +37,7 @@ class Sources:
 class Hop:
     stream: Frame
     write: hops.WriteBatch
+    recomputes: bool = False
 
 
 class Warehouse:
@@ -64,9 +65,8 @@ class Warehouse:
     def _metrics(self) -> dict[str, Hop]:
         def day(hop, source, result, compute, names):
             detail = self.tables[source]
-            return hop, Hop(
-                detail.stream, hops.day_metric_hop(detail, self.tables[result], self.checkpoint(hop), compute, names)
-            )
+            write = hops.day_metric_hop(detail, self.tables[result], self.checkpoint(hop), compute, names)
+            return hop, Hop(detail.stream, write, recomputes=True)
 
         def created(source):
             """First appearances of keys: what a window, which closes once, counts. A replay repeats them."""
@@ -120,6 +120,10 @@ class Warehouse:
             for query in [self._launch(name, hop) for name, hop in layer.items()]:
                 query.awaitTermination()
 
-    def start(self, follow: str = "30 seconds") -> dict[str, StreamingQuery]:
-        """Start every hop as its own continuous query."""
-        return {name: self._launch(name, hop, follow) for layer in self.layers for name, hop in layer.items()}
+    def start(self, follow: str = "30 seconds", recompute: str = "5 minutes") -> dict[str, StreamingQuery]:
+        """Start every hop as its own continuous query. Hops that recompute whole days do so every `recompute`."""
+        return {
+            name: self._launch(name, hop, recompute if hop.recomputes else follow)
+            for layer in self.layers
+            for name, hop in layer.items()
+        }

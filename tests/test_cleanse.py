@@ -114,3 +114,10 @@ def test_change_rows_read_with_old_images(spark, tmp_path):
     row = {"op": "u", "seq": 2, "id": 5, "payment_amount": 1.25, "before": {"id": 5, "payment_amount": 1.00}}
     got = readers.read_changes(spark, write_lines(tmp_path / "in", [json.dumps(row)]), schemas.PAYMENT_INFO).first()
     assert (got.op, got.seq, str(got.payment_amount), str(got.before.payment_amount)) == ("u", 2, "1.25", "1.00")
+
+
+def test_business_tables_read_in_their_schema(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "north", 2, "10")], schemas.PROVINCE)
+    rows.write.parquet(str(tmp_path / "base_province"))
+    got = readers.read_business(spark, str(tmp_path), "base_province")
+    assert got.schema == schemas.PROVINCE and as_set(got) == {(1, "north", 2, "10")}

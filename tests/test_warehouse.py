@@ -102,7 +102,7 @@ def test_replay_from_the_start_changes_nothing(spark, warehouse):
 
 
 def test_every_hop_starts_as_its_own_query(warehouse):
-    queries = warehouse.start("1 hour")
+    queries = warehouse.start("1 hour", "1 hour")
     try:
         assert len(queries) == 16
         assert all(query.isActive for query in queries.values())
