@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstrata.llm import exact_dedup, simhash
+from shopstrata.llm import exact_dedup, pieces, simhash
 from shopstrata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,17 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint and component."""
     found = simhash.near_duplicates(table(spark, folder, "documents"), carry=["doc_id"])
     return found.select("row.doc_id", "fingerprint", "component_id")
+
+
+def model_path() -> str:
+    """The vocabulary file of the installed public tokenizers, under the same path on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids and decoded text, as digests."""
+    found = pieces.encode(table(spark, folder, "documents"), model_path(), carry=["doc_id"], keep=())
+    return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
