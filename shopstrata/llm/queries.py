@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import exact_dedup, pieces, simhash
-from shopstrata.llm.common import table
+from shopstrata.llm import exact_dedup, pieces, quality, simhash
+from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +57,13 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids and decoded text, as digests."""
     found = pieces.encode(table(spark, folder, "documents"), model_path(), carry=["doc_id"], keep=())
     return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality score."""
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    found = quality.scored(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
