@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import exact_dedup, pieces, quality, simhash
+from shopstrata.llm import exact_dedup, pieces, quality, simhash, toxicity
 from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,13 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.scored(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity score."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    found = toxicity.scored(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
