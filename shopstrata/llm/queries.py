@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import exact_dedup, pieces, quality, simhash, toxicity
+from shopstrata.llm import decontamination, exact_dedup, pieces, quality, simhash, toxicity
 from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,13 @@ def query(function):
     return function
 
 
+@query
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of a document and a benchmark item of which it holds an exact or edited copy."""
+    found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), carry=["doc_id"])
+    return found.select("row.doc_id", "item_id", "similarity", "seeds", "first_word", "end_word")
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the one that stays of its group of equal texts."""
