@@ -11,8 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from shopstrata.llm.common import as_bytes, labelled_sample, non_empty, packed
-from shopstrata.llm.sums import summed
+from shopstrata.llm.common import as_bytes, labelled_sample, non_empty, packed, written
 
 BUCKETS = 1 << 17
 #: Letters in lower case; ASCII punctuation, digits and controls separate words.
@@ -129,37 +128,40 @@ def fit(
             found = [hashed(value) for value in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["terms", "label"])
 
-    rows = sample.mapInArrow(listed, "terms array<int>, label double").persist()
-    try:
-        def counted(batch):
-            sizes = np.diff(batch.column("terms").offsets.to_numpy())
+    rows = written(sample.mapInArrow(listed, "terms array<int>, label double"), "terms")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for batch in non_empty(batches):
             flat = batch.column("terms").flatten().to_numpy()
-            label = batch.column("label").to_numpy()
-            return np.r_[
-                np.bincount(flat, minlength=BUCKETS), np.bincount(flat, np.repeat(label, sizes), minlength=BUCKETS), len(label), label.sum()
-            ]
-
-        total = summed(rows, 2 * BUCKETS + 2, counted)
-        count, ones = total[-2], total[-1]
-        if count == 0:
-            return Model({}, 0.0, np.zeros(0), np.zeros((0, rank)))
-        seen, toxic = total[:BUCKETS], total[BUCKETS : 2 * BUCKETS]
-        expected = seen * ones / count
-        odd = np.where(seen >= 2, (toxic - expected) ** 2 / np.maximum(expected * (1 - seen / (count + 1)), 1e-9), 0)
-        chosen = np.sort(np.argsort(-odd, kind="stable")[:kept])
-        chosen = chosen[odd[chosen] > 0]
-        place = np.full(BUCKETS, -1, np.int32)
-        place[chosen] = np.arange(len(chosen))
-
-        def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in non_empty(batches):
-                found = [place[np.asarray(x, np.int64)] for x in batch.column("terms").to_pylist()]
-                found = [x[x >= 0] for x in found]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["terms", "label"])
-
-        inputs = rows.mapInArrow(reduced, "terms array<int>, label double").toArrow()
-    finally:
-        rows.unpersist()
+            label = np.repeat(batch.column("label").to_numpy(), np.diff(batch.column("terms").offsets.to_numpy()))
+            seen += np.bincount(flat, minlength=BUCKETS)
+            toxic += np.bincount(flat, label, minlength=BUCKETS)
+        used = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used]), pa.array(toxic[used])], names=["term", "seen", "toxic"])
+
+    by_term = rows.mapInArrow(counted, "term long, seen double, toxic double").groupBy("term")
+    counts = by_term.agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic")).toArrow()  # a row for each bucket at most
+    totals = rows.agg(F.count("*").alias("count"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("ones")).first()
+    count, ones = totals["count"], totals["ones"]
+    if count == 0:
+        return Model({}, 0.0, np.zeros(0), np.zeros((0, rank)))
+    order = np.argsort(counts.column("term").to_numpy())
+    term, seen, toxic = (counts.column(name).to_numpy()[order] for name in ("term", "seen", "toxic"))
+    expected = seen * ones / count
+    odd = np.where(seen >= 2, (toxic - expected) ** 2 / np.maximum(expected * (1 - seen / (count + 1)), 1e-9), 0)
+    best = np.argsort(-odd, kind="stable")[:kept]
+    chosen = np.sort(term[best[odd[best] > 0]])
+    place = np.full(BUCKETS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in non_empty(batches):
+            found = [place[np.asarray(x, np.int64)] for x in batch.column("terms").to_pylist()]
+            found = [x[x >= 0] for x in found]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["terms", "label"])
+
+    inputs = rows.mapInArrow(reduced, "terms array<int>, label double").toArrow()
     inputs = inputs.combine_chunks()
     lists = [np.asarray(x, np.int64) for x in inputs.column("terms").to_pylist()]
     order = sorted(range(len(lists)), key=lambda i: (lists[i].tobytes(), inputs.column("label")[i].as_py()))
