@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import decontamination, exact_dedup, pieces, quality, simhash, toxicity
+from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, quality, simhash, toxicity
 from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,14 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "fingerprint", "component_id")
 
 
+@query
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's main text."""
+    pages = table(spark, folder, "pages")
+    found = html_extraction.extracted(pages, html_extraction.fit(pages), carry=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def model_path() -> str:
     """The vocabulary file of the installed public tokenizers, under the same path on every machine."""
     import public_tokenizers
