@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, quality, simhash, toxicity
+from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, quality, simhash, suffix_dedup, toxicity
 from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,13 @@ FROM plain
 """
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's bytes that a document with a smaller id does not already have."""
+    found = suffix_dedup.without_repeats(table(spark, folder, "documents"), kept=False)
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint and component."""
