@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, quality, simhash, suffix_dedup, toxicity
+from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, quality, quotes, simhash, suffix_dedup, toxicity
 from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,12 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity.scored(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
+@query
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message without its quotes, with what it quotes and its place among the replies."""
+    found = quotes.linked(table(spark, folder, "conversations"), carry=["conv_id", "turn", "role"])
+    return found.select(
+        "row.conv_id", "row.turn", "row.role", "own_text", "n_quotes", "deepest", "n_linked", "reply_to", "root", "quoted_from", "reply_order"
+    )
