@@ -14,6 +14,28 @@ SHIFT = np.array([[next(s for s in range(PERIOD) if _IN_COVER[(a + s) % PERIOD]
 BLOCK = 1 << 20
 
 
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Ranks of numbers from 0; equal numbers share one."""
+    order = np.argsort(key)
+    ordered = key[order]
+    ranks = np.empty(len(key), np.int64)
+    ranks[order] = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]]) if len(key) else 0
+    return ranks
+
+
+def _ranks(keys: list[np.ndarray]) -> np.ndarray:
+    """Ranks of rows of several numbers; a number counts only where those before it tie."""
+    ranks = _dense(keys[0])
+    for key in keys[1:]:
+        tied = np.flatnonzero(np.bincount(ranks)[ranks] > 1) if len(ranks) else ranks
+        if not len(tied):
+            break
+        joined = ranks << 32
+        joined[tied] |= _dense(key[tied])
+        ranks = _dense(joined)
+    return ranks
+
+
 class Text:
     """Strings laid end to end; a suffix ends with its string and counts as zeros from there on."""
 
@@ -23,16 +45,19 @@ class Text:
         self.data = np.frombuffer(b"".join(strings) + bytes(80), np.uint8)
         self.ends = np.repeat(self.starts + lengths, lengths)
         self.size = int(lengths.sum())
-        self.words = np.lib.stride_tricks.as_strided(self.data, (len(self.data) - 7, 8), (1, 1))
+        words = self.data.astype(np.uint64)
+        for width in (1, 2, 4):
+            words = (words[:-width] << np.uint64(8 * width)) | words[width:]
+        self.words = words
         self.ranks = self._cover_ranks()
 
     def word(self, at: np.ndarray, skip: int, most: int = 8) -> np.ndarray:
         """The `most` bytes from at + skip as one big-endian number, zeros behind the string's end."""
         place = at + skip
         left = np.clip(self.ends[at] - place, 0, most)
-        found = np.ascontiguousarray(self.words[np.minimum(place, len(self.words) - 1)]).view(">u8").ravel().astype(np.uint64)
-        drop = ((8 - left) * 8).astype(np.uint64)
-        return np.where(left > 0, (found >> np.minimum(drop, np.uint64(63))) << np.minimum(drop, np.uint64(63)), np.uint64(0))
+        drop = (np.minimum(8 - left, 7) * 8).astype(np.uint64)
+        found = (self.words[np.minimum(place, len(self.words) - 1)] >> drop) << drop
+        return np.where(left > 0, found, np.uint64(0)) if (left <= 0).any() else found
 
     def head(self, at: np.ndarray) -> list[np.ndarray]:
         """The first 31 bytes."""
@@ -47,12 +72,9 @@ class Text:
         keys = self.head(sample)
         reach, longest = PERIOD, int((self.ends[sample] - sample).max())
         while True:
-            order = np.lexsort(keys[::-1])
-            new = np.zeros(len(sample), bool)
-            for key in keys:
-                new[1:] |= key[order][1:] != key[order][:-1]
-            ranks[sample[order]] = 1 + np.cumsum(new)
-            if reach >= longest or new.sum() == len(sample) - 1:
+            found = _ranks(keys)
+            ranks[sample] = found + 1
+            if reach >= longest or found.max() == len(sample) - 1:
                 return ranks
             ahead = sample + reach
             keys = [ranks[sample], np.where(ahead < self.ends[sample], ranks[np.minimum(ahead, self.size)], 0)]
@@ -66,15 +88,11 @@ class Text:
         return np.sign(rank_a - rank_b)
 
     def _sorted(self, at: np.ndarray) -> np.ndarray:
-        keys = self.head(at)
-        order = np.lexsort(keys[::-1])
+        ranks = _ranks(self.head(at))
+        order = np.argsort(ranks)
         at = at[order]
-        new = np.ones(len(at), bool)
-        new[1:] = False
-        for key in keys:
-            new[1:] |= key[order][1:] != key[order][:-1]
         # Ties are split three ways around a pivot each, all at once, until each is settled.
-        open_, group = np.arange(len(at)), np.cumsum(new)
+        open_, group = np.arange(len(at)), ranks[order]
         while len(open_):
             starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             sizes = np.diff(np.r_[starts, len(group)])
@@ -86,7 +104,7 @@ class Text:
             sizes = np.diff(np.r_[starts, len(group)])
             pivot = np.repeat(at[open_[starts + sizes // 2]], sizes)
             side = self.compare(at[open_], pivot)
-            order = np.lexsort((side, group))
+            order = np.argsort(group * 3 + side + 1)
             at[open_] = at[open_[order]]
             side, group = side[order], group[order]
             group = np.cumsum(np.r_[True, (group[1:] != group[:-1]) | (side[1:] != side[:-1])])
@@ -106,8 +124,11 @@ class Text:
 
     def alike(self, at: np.ndarray, length: int) -> np.ndarray:
         """For suffixes in order: whether each agrees with the one before in `length` bytes."""
-        same = np.ones(max(len(at) - 1, 0), bool)
+        after, before = at[1:], at[:-1]
+        same = np.arange(len(after))
         for skip in range(0, length, 8):
-            word = self.word(at, skip, min(8, length - skip))
-            same &= word[1:] == word[:-1]
-        return np.r_[False, same]
+            size = min(8, length - skip)
+            same = same[self.word(after[same], skip, size) == self.word(before[same], skip, size)]
+        out = np.zeros(len(at), bool)
+        out[same + 1] = True
+        return out

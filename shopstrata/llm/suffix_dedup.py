@@ -219,17 +219,24 @@ def _verdicts(length: int):
             smallest = np.minimum.reduceat(rank_at[block], starts)
             found[block] = np.repeat(smallest, np.diff(np.r_[starts, len(block)]))
         found = found[at]
-        by_unit: dict[int, list[bytes]] = {}
-        for i, (unit, piece) in enumerate(zip(units, same.tolist())):
-            own = found[first[piece] : first[piece] + counts[piece]]
-            if own.min() < high[i]:
-                cuts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                lengths = np.diff(np.r_[cuts, len(own)])
-                by_unit.setdefault(unit, []).append(
-                    np.column_stack([np.full(len(cuts), number[i], np.int64), cuts, cuts + lengths, own[cuts]]).astype(np.int64).tobytes()
-                )
+        # Runs of one rank within a piece, and for each unit's copy of the piece those runs, if they take anything away.
+        cuts = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])])
+        past = np.r_[cuts[1:], len(found)]
+        of, begin, end, value = owner[cuts], cuts - first[owner[cuts]], past - first[owner[cuts]], found[cuts]
+        runs_from = np.searchsorted(of, np.arange(len(distinct)))
+        runs_of = np.diff(np.r_[runs_from, len(of)])
+        asked = np.flatnonzero(np.minimum.reduceat(value, runs_from)[same] < high)
+        asked = asked[np.argsort(np.array(units)[asked], kind="stable")]
+        many = runs_of[same[asked]]
+        run_ = np.repeat(runs_from[same[asked]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        table = np.column_stack([np.repeat(np.array(number)[asked], many), begin[run_], end[run_], value[run_]]).astype(np.int64)
+        unit = np.repeat(np.array(units)[asked], many)
+        starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]) if len(unit) else np.empty(0, np.int64)
         return pa.table(
-            {"unit": list(by_unit), "data": [b"".join(x) for x in by_unit.values()]},
+            {
+                "unit": unit[starts],
+                "data": pa.array([table[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(unit)])], pa.binary()),
+            },
             schema=pa.schema([("unit", pa.int64()), ("data", pa.binary())]),
         )
 
