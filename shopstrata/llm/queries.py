@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, quality, quotes, simhash, suffix_dedup, toxicity
+from shopstrata.llm import decontamination, exact_dedup, html_extraction, pieces, pii, quality, quotes, simhash, suffix_dedup, toxicity
 from shopstrata.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,13 @@ FROM plain
 """
 
 
+@query
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    found = pii.replaced(table(spark, folder, "documents"), b"surrogate key of this corpus", carry=["doc_id"])
+    return found.select("row.doc_id", "text", "n_entities")
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's bytes that a document with a smaller id does not already have."""
