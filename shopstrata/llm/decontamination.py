@@ -15,8 +15,10 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 from shopstrata.llm.common import non_empty, packed
 
 N = 3
-#: Of so many neighbouring n-grams of an item, the rarest in the corpus is a seed.
+#: Among so many neighbouring n-grams of an item, the rarest in the corpus are seeds: those in at most
+#: RARE times as many documents, and RARE more, as the rarest of them.
 STRETCH = 4
+RARE = 8
 #: Words of benchmark text handled in one pass; what a pass sends to every task is bounded by it.
 BLOCK_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -106,9 +108,10 @@ def blocks(benchmark: DataFrame, id: str, text: str, most: int = BLOCK_WORDS) ->
 
 
 def rare_seeds(docs: DataFrame, block: Block, text: str) -> Block:
-    """Keep as seeds, of every `STRETCH` neighbouring n-grams of an item, the one in the fewest documents.
+    """Keep as seeds, of every `STRETCH` neighbouring n-grams of an item, those in the fewest documents.
 
-    Rarity only compares n-grams of the item, so an item keeps its seeds however often its passage was copied.
+    Rarity only compares n-grams of the item, so an item keeps its seeds however often its passage was copied; and it
+    compares roughly, so that the n-grams an edited copy still shares are not passed over for those it lacks.
     Document counts cover the whole corpus.
     """
 
@@ -129,13 +132,11 @@ def rare_seeds(docs: DataFrame, block: Block, text: str) -> Block:
     chosen = []
     for item in block.items:
         often = seen[np.searchsorted(block.codes, _codes(item))]
-        places, last = [], -1
+        places: set[int] = set()
         for i in range(max(len(often) - STRETCH, 0) + 1):
             stretch = often[i : i + STRETCH]
-            if last < i or often[last] > stretch.min():
-                last = i + int(np.flatnonzero(stretch == stretch.min())[-1])
-                places.append(last)
-        chosen.append(places)
+            places.update((i + np.flatnonzero(stretch <= RARE * stretch.min() + RARE)).tolist())
+        chosen.append(sorted(places))
     return _index(block, chosen)
 
 
