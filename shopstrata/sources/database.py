@@ -28,6 +28,6 @@ def upsert_jdbc(
     Repeating it leaves the same rows.
     """
     staging = f"{table}_staging"
-    writer = df.coalesce(writers).write.format("jdbc").option("url", url).option("dbtable", staging)
+    writer = df.repartition(writers).write.format("jdbc").option("url", url).option("dbtable", staging)
     writer.option("truncate", "true").options(**(options or {})).mode("overwrite").save()
     execute(merge_statement(table, staging, df.columns, keys))

@@ -99,8 +99,10 @@ class KeyedTable:
         kept = [name for name in self.columns if name != self.day]
         stay = F.struct(F.col(self.day).alias("day"), F.col("op").alias("op"))
         leave = F.struct(F.col("_old_day").alias("day"), F.lit("d").alias("op"))
-        moved = F.col("_old_day").isNotNull() & (F.col("_old_day") != F.col(self.day))
-        placed = F.explode(F.when(moved, F.array(stay, leave)).otherwise(F.array(stay)))
+        known = F.col("_old_day").isNotNull()
+        moved = known & ~F.col("_old_day").eqNullSafe(F.col(self.day))
+        bare = (F.col("op") == "d") & F.col(self.day).isNull()  # a deletion without an after-image goes to the old day alone
+        placed = F.explode(F.when(known & bare, F.array(leave)).when(moved, F.array(stay, leave)).otherwise(F.array(stay)))
         routed = marked.select(*kept, "seq", placed.alias("_placed"))
         return routed.select(*kept, F.col("_placed.day").alias(self.day), F.col("_placed.op").alias("op"), "seq")
 

@@ -263,3 +263,21 @@ def test_repeats_within_an_open_window_count_once_even_behind_the_watermark(spar
     run([event("a", BASE + 1_000), event("new", BASE + 2_000), event("z", BASE + 90_000)])
     pv = spark.read.parquet(out).filter("metric_name = 'browse_pv'")
     assert as_set(pv, "window_start", "metric_value") == {(at("2026-09-01 08:00:00"), money("3.00"))}
+
+
+def test_deletion_without_an_after_image_removes_the_row(spark, tmp_path):
+    """With the day before the change given, and with the day looked up in the table."""
+    for name, old_day in (("given", F.lit("2026-09-01").cast("date")), ("looked-up", None)):
+        table = KeyedTable(spark, str(tmp_path / name), PAY, ["id"], "pay_date")
+        shape = table.changes().schema
+        empty = spark.createDataFrame([], shape)
+
+        def row(op, seq, day, empty=empty):
+            values = {"id": 1, "op": op, "seq": seq, "pay_date": day}
+            columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in empty.schema]
+            return spark.range(1).select(*columns)
+
+        table.write(row("c", 1, "2026-09-01"), "a")
+        table.write(table.route(row("d", 2, None), old_day), "b")
+        assert table.snapshot().count() == 0
+        assert table.changes().filter("pay_date IS NULL").count() == 0
