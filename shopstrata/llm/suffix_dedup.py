@@ -124,8 +124,10 @@ class _Unit:
 def _name_rows(buckets: int, length: int):
     def run(key, rows, right):
         unit = _Unit(rows, right, length)
-        pairs = np.unique(np.rec.fromarrays([unit.name, unit.owner])) if len(unit.name) else np.empty(0, [("f0", np.uint64), ("f1", np.int64)])
-        name, counts = np.unique(pairs["f0"], return_counts=True)
+        order = np.argsort(unit.name, kind="stable")  # texts of one name stay in order
+        name, owner = unit.name[order], unit.owner[order]
+        new = np.r_[True, (name[1:] != name[:-1]) | (owner[1:] != owner[:-1])][: len(name)]
+        name, counts = np.unique(name[new], return_counts=True)
         bucket = (name % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         name, counts, bucket = name[order], counts[order], bucket[order]
