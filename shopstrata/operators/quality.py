@@ -173,6 +173,8 @@ def content_hash(df: DataFrame) -> DataFrame:
     """Row count and an order-insensitive sum of row hashes: equal for two replays of the same content."""
     text = [F.coalesce(F.col(name).cast("string"), F.lit("\x00")) for name in df.columns]
     digest = F.md5(F.concat_ws("\x1f", *text))
-    # The first 15 hex digits, as a number.
-    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(number).cast("decimal(38,0)").alias("content_hash"))
+    halves = [F.conv(F.substring(digest, start, 16), 16, 10).cast("decimal(20,0)") for start in (1, 17)]
+    sums = [F.sum(half).cast("decimal(38,0)") for half in halves]
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"), sums[0].alias("content_hash"), sums[1].alias("content_hash_low")
+    )

@@ -198,15 +198,17 @@ ORACLE: dict[str, str] = {
     "dedup_keep_earliest": _pick("ASC"),
     "latest_per_key": _pick("DESC"),
     "flatten_event_json": _FLAT,
-    "payment_detail": f"""
-        {_ROLES} SELECT id, id AS order_id, user_id, 'card' AS payment_type, md5(CAST(id AS VARCHAR)) AS trade_no,
-               payment_amount, 'purchase' AS payment_status,
+    "payment_detail": """
+        SELECT id, id AS order_id, user_id, 'card' AS payment_type, md5(CAST(id AS VARCHAR)) AS trade_no,
+               payment_amount, payment_status,
                CAST(date_trunc('milliseconds', create_time) AS TIMESTAMP) AS create_time,
                CAST(date_trunc('milliseconds', create_time + INTERVAL 1500 MILLISECOND) AS TIMESTAMP) AS callback_time
-        FROM purchase""",
-    "refund_detail": f"""
-        {_ROLES} SELECT order_id AS id, CAST(NULL AS BIGINT) AS user_id, order_id, sku_id, refund_amount,
-               'R' AS refund_status, create_time FROM refund""",
+        FROM (SELECT event_id AS id, user_id, CAST(value AS DECIMAL(16,2)) AS payment_amount, event_type AS payment_status,
+                     ts AS create_time FROM events) p""",
+    "refund_detail": """
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS user_id, l_orderkey AS order_id, l_partkey AS sku_id,
+               CAST(l_extendedprice AS DECIMAL(16,2)) AS refund_amount, l_returnflag AS refund_status,
+               l_shipdate AS create_time FROM lineitem""",
     "order_detail": f"""
         {_ROLES} SELECT order_id * 10 + l_linenumber AS id, order_id, sku_id,
                'sku ' || CAST(sku_id AS VARCHAR) AS sku_name, order_price, sku_num, create_time FROM line""",
@@ -242,6 +244,12 @@ ORACLE: dict[str, str] = {
     "trade_minute_stream": f"{_ROLES} {_closed(_TRADE_MINUTE, 'purchase', 'create_time')}",
     "ttl_dedup": _FLAT,
     "traffic_detail_stream": _FLAT,
+    "traffic_minute_chain_stream": _closed(_TRAFFIC_MINUTE, "events", "ts"),
+    "trade_minute_chain_stream": f"""
+        WITH purchase AS (
+            SELECT event_id AS id, CAST(value AS DECIMAL(16,2)) AS payment_amount, ts AS create_time
+            FROM events WHERE event_type IN ('purchase', 'click')
+        ) {_closed(_TRADE_MINUTE, 'events', 'ts')}""",
     "trade_day_stream": f"""
         WITH payment AS (
             SELECT event_id AS order_id, user_id, CAST(value AS DECIMAL(16,2)) AS payment_amount, 'F' AS payment_status,
@@ -357,11 +365,16 @@ ORACLE: dict[str, str] = {
     ),
     "key_completeness": _union(*[_completeness(name) for name in ("events", "orders", "lineitem")]),
     "replay_hash": f"""
-        {_ROLES} SELECT COUNT(*) AS row_count,
-               CAST(SUM(CAST('0x' || substr(md5(concat_ws(chr(31), CAST(id AS VARCHAR), CAST(order_id AS VARCHAR),
-                   CAST(user_id AS VARCHAR), payment_type, CAST(payment_amount AS VARCHAR), payment_status,
-                   CAST(dt AS VARCHAR))), 1, 15) AS BIGINT)) AS DECIMAL(38,0)) AS content_hash
-        FROM payment""",
+        {_ROLES}, hashed AS (
+            SELECT md5(concat_ws(chr(31), CAST(id AS VARCHAR), CAST(order_id AS VARCHAR), CAST(user_id AS VARCHAR),
+                   CAST(payment_amount AS VARCHAR), payment_status,
+                   CAST(CAST(create_time AS TIMESTAMP) AS VARCHAR))) AS digest
+            FROM payment
+        )
+        SELECT run, COUNT(*) AS row_count,
+               CAST(SUM(CAST('0x' || substr(digest, 1, 16) AS UBIGINT)) AS DECIMAL(38,0)) AS content_hash,
+               CAST(SUM(CAST('0x' || substr(digest, 17, 16) AS UBIGINT)) AS DECIMAL(38,0)) AS content_hash_low
+        FROM hashed, (VALUES (1), (2)) runs(run) GROUP BY run""",
     "gmv_day": f"""
         {_ROLES}, days AS (
             SELECT dt, SUM(payment_amount) AS gmv, COUNT(DISTINCT order_id) AS n, COUNT(DISTINCT user_id) AS u

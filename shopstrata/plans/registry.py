@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from shopstrata.functions.event_keys import event_id
-from shopstrata.functions.times import biz_date, local_to_epoch_ms
+from shopstrata.functions.times import biz_date, epoch_ms_to_local, local_to_epoch_ms
 from shopstrata.operators import changes, cleanse, metrics, quality, sequence
 from shopstrata.plans import marts, serving
-from shopstrata.schemas import DAY_KEY, DAY_METRIC, PAYMENT_DETAIL, TRAFFIC_DETAIL
+from shopstrata.schemas import DAY_KEY, DAY_METRIC, MINUTE_KEY, MINUTE_METRIC, PAYMENT_DETAIL, TRAFFIC_DETAIL
 from shopstrata.session import run_dir
 from shopstrata.sources import readers, retail
 from shopstrata.sources.retail import BROWSE, PAID, PURCHASE, REFUNDED, table
@@ -92,7 +92,7 @@ def flatten_event_json(spark, d):
 
 @query
 def payment_detail(spark, d):
-    raw = retail.purchases(_events(spark, d)).filter(F.col("payment_status") == PURCHASE)
+    raw = retail.purchases(_events(spark, d))
     return cleanse.payment_detail(
         raw.withColumn("payment_type", F.lit("card"))
         .withColumn("trade_no", F.md5(F.col("id").cast("string")))
@@ -102,9 +102,10 @@ def payment_detail(spark, d):
 
 @query
 def refund_detail(spark, d):
-    back = table(spark, d, "lineitem").filter(F.col("l_returnflag") == REFUNDED)
-    raw = retail.refunds(back).withColumn("user_id", F.lit(None).cast("bigint"))
-    return cleanse.refund_detail(raw.withColumn("id", F.col("order_id")))
+    """The supplier plays the user, which refunds of the test tables lack."""
+    lines = table(spark, d, "lineitem")
+    own = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return cleanse.refund_detail(retail.refunds(lines, own.alias("id"), F.col("l_suppkey").alias("user_id")))
 
 
 @query
@@ -237,6 +238,71 @@ def traffic_detail_stream(spark, d):
     return detail.snapshot()
 
 
+@query
+def traffic_minute_chain_stream(spark, d):
+    """Repeated events as a stream into the keyed detail table, and from there into minutes."""
+    flat = cleanse.flatten_events(_repeated(retail.nested_events(retail.table_stream(spark, d, "events"))))
+    folder = run_dir(spark, "traffic-minute-chain")
+    detail = KeyedTable(spark, f"{folder}/detail", TRAFFIC_DETAIL, ["event_id"], "biz_date")
+    result = KeyedTable(spark, f"{folder}/minutes", MINUTE_METRIC, MINUTE_KEY, "metric_date")
+    checkpoints = f"{folder}/detail-checkpoint", f"{folder}/minute-checkpoint"
+    run_hop(flat, hops.detail_hop(detail, checkpoints[0], dedup.earliest_changes, moves=False), checkpoints[0])
+    time = epoch_ms_to_local(F.col("event_time_ms"))
+    run_hop(detail.stream(), hops.minute_metric_hop(detail, result, checkpoints[1], metrics.traffic_minute, time), checkpoints[1])
+    return result.snapshot()
+
+
+def _payment_table(spark, path):
+    columns = ["id", "order_id", "user_id", "payment_amount", "payment_status", "create_time"]
+    schema = StructType([PAYMENT_DETAIL[name] for name in columns] + [StructField("pay_date", DateType())])
+    return KeyedTable(spark, path, schema, ["id"], "pay_date")
+
+
+@query
+def trade_minute_chain_stream(spark, d):
+    """Payment changes in batches that follow no time order, through the detail table into minutes.
+
+    Purchases are created pending and paid by an update in the batch after, clicks are created paid, views are created
+    paid and deleted in the batch after by a record without values, all others stay pending.
+    """
+    payments = retail.purchases(_events(spark, d))
+    kind = F.col("payment_status")
+    first = F.pmod(F.xxhash64("id"), F.lit(2))
+    status = F.when(kind.isin("click", "view"), "SUCCESS").otherwise("PENDING")
+    created = F.struct(F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("seq"), first.alias("part"), status.alias("status"))
+
+    def after(op):
+        return F.struct(F.lit(op).alias("op"), F.lit(2).cast("bigint").alias("seq"), (first + 1).alias("part"), F.lit("SUCCESS").alias("status"))
+
+    history = (
+        F.when(kind == "purchase", F.array(created, after("u")))
+        .when(kind == "view", F.array(created, after("d")))
+        .otherwise(F.array(created))
+    )
+    valued = F.col("change.op") != "d"
+    log = payments.withColumn("change", F.explode(history)).select(
+        "id",
+        *[F.when(valued, F.col(name)).alias(name) for name in ("order_id", "user_id", "payment_amount")],
+        F.when(valued, F.col("change.status")).alias("payment_status"),
+        F.when(valued, F.col("create_time")).alias("create_time"),
+        "change.op",
+        "change.seq",
+        "change.part",
+    )
+    folder = run_dir(spark, "trade-minute-chain")
+    detail = _payment_table(spark, f"{folder}/detail")
+    result = KeyedTable(spark, f"{folder}/minutes", MINUTE_METRIC, MINUTE_KEY, "metric_date")
+    checkpoints = f"{folder}/detail-checkpoint", f"{folder}/minute-checkpoint"
+    into_detail = hops.detail_hop(detail, checkpoints[0], time="create_time")
+    into_minutes = hops.minute_metric_hop(detail, result, checkpoints[1], metrics.trade_minute, F.col("create_time"))
+    arrived = log.drop("part")
+    for part in range(3):
+        log.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+        run_hop(spark.readStream.schema(arrived.schema).parquet(f"{folder}/in"), into_detail, checkpoints[0])
+        run_hop(detail.stream(), into_minutes, checkpoints[1])
+    return result.snapshot()
+
+
 @query
 def trade_day_stream(spark, d):
     """Payment changes as a stream into the detail table, and from there into daily metrics.
@@ -267,9 +333,7 @@ def trade_day_stream(spark, d):
         "id", "order_id", "user_id", "payment_amount", "change.row.*", "change.op", "change.seq", "change.before"
     )
     folder = run_dir(spark, "trade-day")
-    columns = ["id", "order_id", "user_id", "payment_amount", "payment_status", "create_time"]
-    schema = StructType([PAYMENT_DETAIL[name] for name in columns] + [StructField("pay_date", DateType())])
-    detail = KeyedTable(spark, f"{folder}/detail", schema, ["id"], "pay_date")
+    detail = _payment_table(spark, f"{folder}/detail")
     result = KeyedTable(spark, f"{folder}/metrics", DAY_METRIC, DAY_KEY, "metric_date")
     checkpoints = f"{folder}/detail-checkpoint", f"{folder}/metrics-checkpoint"
     run_hop(log, hops.detail_hop(detail, checkpoints[0], time="create_time"), checkpoints[0])
@@ -496,8 +560,12 @@ def key_completeness(spark, d):
 
 @query
 def replay_hash(spark, d):
-    payments = _payments(spark, d)
-    return quality.content_hash(payments.withColumn("create_time", F.to_date("create_time")))
+    """Two replays of the payments' changes: once, and with the paid ones sent again."""
+    log = _payments(spark, d).drop("payment_type").select("*", F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("seq"))
+    again = log.filter(F.col("payment_status") == PAID).unionByName(log)
+    replays = [changes.apply_changes(sent, ["id"]) for sent in (log, again)]
+    hashes = [quality.content_hash(rows).withColumn("run", F.lit(run)) for run, rows in enumerate(replays, 1)]
+    return hashes[0].unionByName(hashes[1])
 
 
 # Marts.

@@ -6,7 +6,7 @@ parquet scan; the status that counts as paid is PAID.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shopstrata.functions.numbers import money
 from shopstrata.functions.times import local_to_epoch_ms
@@ -109,8 +109,9 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def refunds(lineitem: DataFrame) -> DataFrame:
+def refunds(lineitem: DataFrame, *more: Column) -> DataFrame:
     return lineitem.select(
+        *more,
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         money(F.col("l_extendedprice")).alias("refund_amount"),

@@ -11,6 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from shopstrata.operators.cleanse import dedup_earliest
+
 # The state code travels to the executors by value, so they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -68,6 +70,16 @@ def ttl_dedup(events: DataFrame, ttl_ms: int = DAY_MS) -> DataFrame:
     )
 
 
+def earliest_changes(events: DataFrame) -> DataFrame:
+    """Change rows of the earliest event per `event_id` and business day of a batch, without state.
+
+    A keyed table keeps the earliest of all batches, as `seq` is the negated event time. Enough where the id is made
+    from the day; a repeat, however late, changes nothing.
+    """
+    first = dedup_earliest(events, ["event_id", "biz_date"], ["event_time_ms"])
+    return first.select("*", F.lit("u").alias("op"), (-F.col("event_time_ms")).alias("seq"))
+
+
 def daily_dedup(events: DataFrame, event_time: str, delay: str = "24 hours") -> DataFrame:
     """Change rows of the earliest event per `event_id` and business day, without leaving the JVM.
 

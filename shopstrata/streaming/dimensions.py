@@ -9,19 +9,16 @@ from pyspark.sql import DataFrame
 
 
 class CachedDimension:
-    """A dimension kept in memory for `ttl_seconds`, the longest a change of it may go unseen.
-
-    A dimension of more than `max_rows` rows is not cached; every batch then reads it afresh.
-    """
+    """A dimension kept in executor memory, and on disk beyond it, for `ttl_seconds`: the longest a change of it may
+    go unseen."""
 
     def __init__(
         self,
         read: Callable[[], DataFrame],
-        max_rows: int = 10_000,
         ttl_seconds: float = 30 * 60,
         clock: Callable[[], float] = time.monotonic,
     ):
-        self.read, self.max_rows, self.ttl, self.clock = read, max_rows, ttl_seconds, clock
+        self.read, self.ttl, self.clock = read, ttl_seconds, clock
         self.frame: DataFrame | None = None
         self.read_at = 0.0
 
@@ -30,9 +27,5 @@ class CachedDimension:
             return self.frame
         if self.frame is not None:
             self.frame.unpersist()
-            self.frame = None
-        fresh = self.read()
-        if fresh.limit(self.max_rows + 1).count() > self.max_rows:
-            return fresh
-        self.frame, self.read_at = fresh.persist(), self.clock()
+        self.frame, self.read_at = self.read().persist(), self.clock()
         return self.frame

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shopstrata.operators.changes import publish
+from shopstrata.operators.metrics import closed_windows
 from shopstrata.streaming.keyed_table import KeyedTable, batch_label, touched_days
 
 WriteBatch = Callable[[DataFrame, int], None]
@@ -73,16 +74,58 @@ def day_metric_hop(
     return write
 
 
+def _with_open_days(touched: Sequence, known: Sequence, done: Sequence[date]) -> list:
+    """The touched days, and before each that has no closed window yet the days whose last windows it may close."""
+    closed, found = set(done), set(touched)
+    for day in touched:
+        if _dates([day])[0] in closed:
+            continue
+        for earlier in sorted((other for other in known if other < day), reverse=True):
+            if earlier in touched:
+                break
+            found.add(earlier)
+            if _dates([earlier])[0] in closed:
+                break
+    return sorted(found)
+
+
+def minute_metric_hop(
+    detail: KeyedTable, result: KeyedTable, checkpoint: str, compute: Callable[[DataFrame], DataFrame], time: Column
+) -> WriteBatch:
+    """On changes of a detail table, recompute the closed minutes of the days they touch from the detail rows.
+
+    Rows may arrive in any order: a late, updated or deleted row corrects its minute, and none is dropped. A window
+    is closed by the latest `time` (wall time, on the row's day) the table has been sent, so the last one
+    stays open. Cost is bounded by the touched days.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        touched = touched_days(batch, detail.day)
+        if not touched:
+            return
+        label = batch_label("minute", checkpoint, batch_id)
+        known = touched_days(detail.changes(), detail.day)
+        done = touched_days(result.changes().filter(F.col("batch") != label), result.day)
+        days = _with_open_days(touched, known, done)
+        latest = detail.changes().filter(F.col(detail.day) == max(known)).agg(F.max(time))
+        minutes = compute(detail.snapshot(F.col(detail.day).isin(days)))
+        result.upsert(closed_windows(minutes, latest), label, _dates(days), F.lit(True))
+
+    return write
+
+
 def window_metric_hop(result: KeyedTable, checkpoint: str, name: str) -> WriteBatch:
-    """Write closed windows of an append stream."""
+    """Write closed windows of an append stream whose rows come about in time order; `late_rows` counts the others."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Kept for two uses, so that the stream's state is not gone through twice.
         windows = batch.persist()
-        days = touched_days(windows, result.day)
-        if days:
-            result.upsert(windows, batch_label(name, checkpoint, batch_id), days)
-        windows.unpersist()
+        try:
+            days = touched_days(windows, result.day)
+            if days:
+                result.upsert(windows, batch_label(name, checkpoint, batch_id), days)
+        finally:
+            windows.unpersist()
 
     return write
 

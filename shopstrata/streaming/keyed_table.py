@@ -26,14 +26,14 @@ class KeyedTable:
     much as the batch, whatever the table holds, and writing it again replaces only its own folder, so
     a repeated batch changes nothing. `day` is the date column the table is partitioned by. A key whose
     day changes needs a 'd' row on its old day; see `route`. `writers` is how many tasks share a day in batches
-    of stateful streams.
+    of stateful streams, by default as many as the session's shuffle partitions.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], day: str, writers: int = 16
+        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], day: str, writers: int | None = None
     ):
         self.spark, self.path, self.keys, self.day = spark, path.rstrip("/"), list(keys), day
-        self.writers = writers
+        self.writers = writers or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.columns = schema.fieldNames()
         self.log_schema = T.StructType(
             schema.fields

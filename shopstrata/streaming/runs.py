@@ -28,6 +28,11 @@ def run_hop(stream: DataFrame, write_batch: Callable[[DataFrame, int], None], ch
     start_hop(stream, write_batch, checkpoint, mode).awaitTermination()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a stream dropped behind its watermark, in the batches whose progress the session still keeps."""
+    return sum(step["numRowsDroppedByWatermark"] for batch in query.recentProgress for step in batch["stateOperators"])
+
+
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append stream over its present input into a new parquet table of the shared folder; return the table."""
     spark = stream.sparkSession

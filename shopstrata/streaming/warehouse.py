@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shopstrata.functions.times import epoch_ms_to_local
 from shopstrata.operators import cleanse, metrics
 from shopstrata.schemas import KEYED_TABLES
 from shopstrata.streaming import dedup, hops
@@ -54,9 +54,10 @@ class Warehouse:
             write = hops.detail_hop(self.tables[name], self.checkpoint(name), prepare, "create_time")
             return Hop(source, write)
 
-        traffic = hops.detail_hop(self.tables["dwd_traffic_event"], self.checkpoint("dwd_traffic_event"), moves=False)
+        events = "dwd_traffic_event"
+        traffic = hops.detail_hop(self.tables[events], self.checkpoint(events), dedup.earliest_changes, moves=False)
         return {
-            "dwd_traffic_event": Hop(lambda: dedup.ttl_dedup(cleanse.flatten_events(self.sources.events())), traffic),
+            events: Hop(lambda: cleanse.flatten_events(self.sources.events()), traffic),
             "dwd_payment_detail": detail("dwd_payment_detail", self.sources.payments, cleanse.payment_detail),
             "dwd_refund_detail": detail("dwd_refund_detail", self.sources.refunds, cleanse.refund_detail),
             "dwd_order_detail": detail("dwd_order_detail", self.sources.order_lines, cleanse.order_detail),
@@ -68,19 +69,18 @@ class Warehouse:
             write = hops.day_metric_hop(detail, self.tables[result], self.checkpoint(hop), compute, names)
             return hop, Hop(detail.stream, write, recomputes=True)
 
-        def created(source):
-            """First appearances of keys: what a window, which closes once, counts. A replay repeats them."""
-            return self.tables[source].stream().filter(F.col("op") == "c")
+        def minute(result, source, compute, time):
+            detail = self.tables[source]
+            write = hops.minute_metric_hop(detail, self.tables[result], self.checkpoint(result), compute, time)
+            return result, Hop(detail.stream, write, recomputes=True)
 
-        def minute(result, source, compute):
-            write = hops.window_metric_hop(self.tables[result], self.checkpoint(result), result)
-            return result, Hop(lambda: compute(created(source), unique=self.tables[source].keys[0]), write)
+        event_time = epoch_ms_to_local(F.col("event_time_ms"))
 
         from_sources = self.sources
         return dict(
             [
-                minute("dws_traffic_1m", "dwd_traffic_event", metrics.traffic_minute),
-                minute("dws_trade_1m", "dwd_payment_detail", metrics.trade_minute),
+                minute("dws_traffic_1m", "dwd_traffic_event", metrics.traffic_minute, event_time),
+                minute("dws_trade_1m", "dwd_payment_detail", metrics.trade_minute, F.col("create_time")),
                 day("traffic_day", "dwd_traffic_event", "dws_traffic_day", metrics.traffic_day, ["browse_pv", "day_uv"]),
                 day("payment_day", "dwd_payment_detail", "dws_trade_day", metrics.payment_day, list(metrics.PAYMENT_DAY)),
                 day("refund_day", "dwd_refund_detail", "dws_trade_day", metrics.refund_day, ["refund_amount"]),
@@ -110,9 +110,7 @@ class Warehouse:
         return dict(result(domain) for domain in ("traffic_1m", "traffic_day", "trade_1m", "trade_day"))
 
     def _launch(self, name: str, hop: Hop, follow: str | None = None) -> StreamingQuery:
-        settings = dedup.expiring_state(self.spark) if name == "dwd_traffic_event" else nullcontext()
-        with settings:
-            return start_hop(hop.stream(), hop.write, self.checkpoint(name), follow=follow)
+        return start_hop(hop.stream(), hop.write, self.checkpoint(name), follow=follow)
 
     def run_once(self) -> None:
         """Carry all present input through the layers; hops of a layer run side by side."""
@@ -121,7 +119,7 @@ class Warehouse:
                 query.awaitTermination()
 
     def start(self, follow: str = "30 seconds", recompute: str = "5 minutes") -> dict[str, StreamingQuery]:
-        """Start every hop as its own continuous query. Hops that recompute whole days do so every `recompute`."""
+        """Start every hop as its own continuous query. Hops that recompute days or minutes do so every `recompute`."""
         return {
             name: self._launch(name, hop, recompute if hop.recomputes else follow)
             for layer in self.layers

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")

@@ -14,7 +14,7 @@ from shopstrata.streaming import dedup, hops
 from shopstrata.streaming.dedup import expiring_state
 from shopstrata.streaming.dimensions import CachedDimension
 from shopstrata.streaming.keyed_table import KeyedTable, batch_label
-from shopstrata.streaming.runs import run_hop, run_to_table
+from shopstrata.streaming.runs import late_rows, run_hop, run_to_table
 from test_cleanse import BASE, event, write_lines
 
 PAY = T.StructType(
@@ -59,10 +59,11 @@ def test_late_rows_are_dropped_and_rows_of_a_batch_are_not(spark, tmp_path):
             .trigger(availableNow=True).start(out)
         )
         query.awaitTermination()
+        return late_rows(query)
 
-    run([event("a", BASE + 600_000), event("b", BASE + 1_000)])
-    run([event("c", BASE + 2_000), event("d", BASE + 700_000)])
-    run([event("e", BASE + 3_000), event("f", BASE + 900_000)])
+    assert run([event("a", BASE + 600_000), event("b", BASE + 1_000)]) == 0
+    late = run([event("c", BASE + 2_000), event("d", BASE + 700_000)])
+    assert late + run([event("e", BASE + 3_000), event("f", BASE + 900_000)]) > 0
     pv = spark.read.parquet(out).filter("metric_name = 'browse_pv'")
     assert as_set(pv, "window_start", "metric_value") == {
         (at("2026-09-01 08:00:00"), money("1.00")),
@@ -180,6 +181,36 @@ def test_windows_are_written_once_and_replays_add_nothing(spark, tmp_path):
     assert table.changes().count() == 1
 
 
+def test_minutes_follow_the_detail_table_in_any_order_of_arrival(spark, tmp_path):
+    detail = KeyedTable(spark, str(tmp_path / "detail"), PAY, ["id"], "pay_date")
+    minutes = KeyedTable(spark, str(tmp_path / "m"), schemas.MINUTE_METRIC, schemas.MINUTE_KEY, "metric_date")
+    write = hops.detail_hop(detail, "cp0", time="create_time")
+    cp = str(tmp_path / "cp")
+    hop = hops.minute_metric_hop(detail, minutes, cp, metrics.trade_minute, F.col("create_time"))
+    schema = "op string, seq bigint, " + PAYMENT
+
+    def send(batch_id, *rows):
+        write(spark.createDataFrame([(op, seq, *row) for op, seq, row in rows], schema), batch_id)
+        run_hop(detail.stream(), hop, cp)
+        return {(str(r.window_start)[5:16], r.metric_value) for r in minutes.snapshot().filter("metric_name = 'gmv'").collect()}
+
+    def pay(id, time, status="SUCCESS", amount="1.00"):
+        return payment(id, id, 7, amount, status, time)
+
+    assert send(0, ("c", 1, pay(1, f"{D1} 10:00:30")), ("c", 1, pay(2, f"{D1} 10:05:00", "PENDING"))) == {("09-01 10:00", money("1.00"))}
+    # Earlier than all before, and a payment that is confirmed by an update in the open minute.
+    got = send(1, ("c", 1, pay(3, f"{D1} 09:00:00")), ("u", 2, pay(2, f"{D1} 10:05:00")))
+    assert got == {("09-01 09:00", money("1.00")), ("09-01 10:00", money("1.00"))}
+    # The next day closes the last minute, but not its own; a deletion without values empties a minute.
+    got = send(2, ("c", 1, pay(4, f"{D2} 00:00:01")), ("d", 2, (1, None, None, None, None, None)))
+    assert got == {("09-01 09:00", money("1.00")), ("09-01 10:05", money("1.00"))}
+    got = send(3, ("c", 1, pay(5, "2026-09-03 08:00:00")))
+    assert got == {("09-01 09:00", money("1.00")), ("09-01 10:05", money("1.00")), ("09-02 00:00", money("1.00"))}
+    before = as_set(minutes.snapshot())
+    hop(detail.changes(), 0), hop(detail.changes(), 3)
+    assert as_set(minutes.snapshot()) == before
+
+
 def flat_events(spark, folder):
     return cleanse.flatten_events(readers.read_events(spark, folder, streaming=True))
 
@@ -239,9 +270,6 @@ def test_dimension_cache_expires_and_has_a_size_bound(spark):
     now[0] = 11
     cached.get()
     assert reads == [0.0, 11]
-    large = CachedDimension(read, max_rows=2, clock=lambda: now[0])
-    large.get(), large.get()
-    assert len(reads) == 4 and large.frame is None
 
 
 def test_batch_label_is_stable_per_checkpoint():
