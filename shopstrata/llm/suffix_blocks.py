@@ -23,23 +23,37 @@ def _dense(key: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def _ranks(keys: list[np.ndarray]) -> np.ndarray:
-    """Ranks of rows of several numbers; a number counts only where those before it tie."""
-    ranks = _dense(keys[0])
+def _sort(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows of several numbers, and for each place in it the first place of an equal row.
+
+    A number counts only where those before it tie, and only those rows are moved.
+    """
+    order = np.argsort(keys[0])
+    ordered = keys[0][order]
+    place = np.arange(len(order))
+    first = np.maximum.accumulate(np.where(np.r_[True, ordered[1:] != ordered[:-1]], place, 0)) if len(order) else place
     for key in keys[1:]:
-        tied = np.flatnonzero(np.bincount(ranks)[ranks] > 1) if len(ranks) else ranks
-        if not len(tied):
+        alone = first == place
+        alone[:-1] &= alone[1:]
+        open_ = np.flatnonzero(~alone)
+        if not len(open_):
             break
-        joined = ranks << 32
-        joined[tied] |= _dense(key[tied])
-        ranks = _dense(joined)
-    return ranks
+        group, values = first[open_], key[order[open_]]
+        new = np.argsort((group << 32) | _dense(values))
+        order[open_] = order[open_[new]]
+        values = values[new]
+        starts = np.r_[True, (group[1:] != group[:-1]) | (values[1:] != values[:-1])]
+        first[open_] = np.maximum.accumulate(np.where(starts, open_, 0))
+    return order, first
 
 
 class Text:
-    """Strings laid end to end; a suffix ends with its string and counts as zeros from there on."""
+    """Strings laid end to end; a suffix ends with its string and counts as zeros from there on.
+
+    With a `depth`, suffixes are put in order by that many bytes at least, otherwise by all they have.
+    """
 
-    def __init__(self, strings: list[bytes]) -> None:
+    def __init__(self, strings: list[bytes], depth: int | None = None) -> None:
         lengths = np.fromiter(map(len, strings), np.int64, len(strings))
         self.starts = np.cumsum(lengths) - lengths
         self.data = np.frombuffer(b"".join(strings) + bytes(80), np.uint8)
@@ -49,12 +63,17 @@ class Text:
         for width in (1, 2, 4):
             words = (words[:-width] << np.uint64(8 * width)) | words[width:]
         self.words = words
-        self.ranks = self._cover_ranks()
+        self.ranks = self._cover_ranks(depth)
 
     def word(self, at: np.ndarray, skip: int, most: int = 8) -> np.ndarray:
         """The `most` bytes from at + skip as one big-endian number, zeros behind the string's end."""
         place = at + skip
-        left = np.clip(self.ends[at] - place, 0, most)
+        left = self.ends[at] - place
+        if len(left) and left.min() >= most:
+            shift = np.uint64(8 * (8 - most))
+            found = self.words[place]
+            return (found >> shift) << shift if shift else found
+        left = np.clip(left, 0, most)
         drop = (np.minimum(8 - left, 7) * 8).astype(np.uint64)
         found = (self.words[np.minimum(place, len(self.words) - 1)] >> drop) << drop
         return np.where(left > 0, found, np.uint64(0)) if (left <= 0).any() else found
@@ -63,7 +82,7 @@ class Text:
         """The first 31 bytes."""
         return [self.word(at, 0), self.word(at, 8), self.word(at, 16), self.word(at, 24, 7)]
 
-    def _cover_ranks(self) -> np.ndarray:
+    def _cover_ranks(self, depth: int | None) -> np.ndarray:
         """Ranks of the sample suffixes, 0 elsewhere: by 31 bytes first, then by pairs of ranks at doubled distances."""
         ranks = np.zeros(self.size + 1, np.int64)
         sample = np.flatnonzero(_IN_COVER[np.arange(self.size) % PERIOD])
@@ -71,10 +90,11 @@ class Text:
             return ranks
         keys = self.head(sample)
         reach, longest = PERIOD, int((self.ends[sample] - sample).max())
+        longest = longest if depth is None else min(longest, depth)
         while True:
-            found = _ranks(keys)
-            ranks[sample] = found + 1
-            if reach >= longest or found.max() == len(sample) - 1:
+            order, first = _sort(keys)
+            ranks[sample[order]] = first + 1
+            if reach >= longest or (first == np.arange(len(first))).all():
                 return ranks
             ahead = sample + reach
             keys = [ranks[sample], np.where(ahead < self.ends[sample], ranks[np.minimum(ahead, self.size)], 0)]
@@ -88,11 +108,10 @@ class Text:
         return np.sign(rank_a - rank_b)
 
     def _sorted(self, at: np.ndarray) -> np.ndarray:
-        ranks = _ranks(self.head(at))
-        order = np.argsort(ranks)
+        order, group = _sort(self.head(at))
         at = at[order]
         # Ties are split three ways around a pivot each, all at once, until each is settled.
-        open_, group = np.arange(len(at)), ranks[order]
+        open_ = np.arange(len(at))
         while len(open_):
             starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             sizes = np.diff(np.r_[starts, len(group)])

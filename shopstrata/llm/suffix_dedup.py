@@ -207,7 +207,7 @@ def _verdicts(length: int):
         same = np.array([distinct.setdefault(piece, len(distinct)) for piece in pieces])
         least = np.full(len(distinct), LAST)
         np.minimum.at(least, same, low)
-        text = Text(list(distinct))
+        text = Text(list(distinct), depth=length)
         sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
         counts = sizes - length + 1
         first = np.cumsum(counts) - counts
