@@ -16,6 +16,8 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text that are treated as one unit.
 UNIT = 8 << 20
+#: Places whose hashes are held at a time.
+PLACES = 1 << 16
 LAST = (1 << 63) - 1
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -36,22 +38,31 @@ def _hashes(data: np.ndarray) -> np.ndarray:
         return out
 
 
+def _least(data: np.ndarray, length: int) -> np.ndarray:
+    """The least hash of the 20-byte strings within the `length` bytes from each place on, some places at a time."""
+    width = length - GRAM + 1
+    out = np.empty(len(data) - length + 1, np.uint64)
+    for a in range(0, len(out), PLACES):
+        least, span = _hashes(data[a : a + PLACES + length - 1]), 1
+        while span * 2 <= width:
+            least, span = np.minimum(least[:-span], least[span:]), span * 2
+        if span < width:
+            least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
+        out[a : a + PLACES] = least
+    return out
+
+
 def names(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one name: text number, first window and past-the-last window in the text, and the name.
 
     A window's name is the least hash of its 20-byte strings. Equal windows have equal names, and neighbours mostly share one.
     """
-    width = length - GRAM + 1
     whole = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     if len(whole) < length:
         empty = np.empty(0, np.int64)
         return empty, np.empty((0, 2), np.int64), empty.astype(np.uint64)
-    least, span = _hashes(whole), 1
-    while span * 2 <= width:
-        least, span = np.minimum(least[:-span], least[span:]), span * 2
-    if span < width:
-        least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
+    least = _least(whole, length)
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - length + 1, 0))
     counts = np.maximum(sizes - length + 1, 0)
