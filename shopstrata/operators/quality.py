@@ -43,6 +43,24 @@ def orphans(name: str, child: DataFrame, foreign_key: str, parent: DataFrame, pr
     )
 
 
+def orphans_by_condition(
+    child: DataFrame, foreign_key: str, parent: DataFrame, primary_key: str, checks: Mapping[str, tuple[Column, Column]]
+) -> DataFrame:
+    """Several orphan checks of one key in one pass: child rows that meet the first condition without a parent row that
+    meets the second."""
+    counts = child.groupBy(F.col(foreign_key).alias("_key")).agg(
+        *[F.count_if(rows).alias(f"_rows_{name}") for name, (rows, _) in checks.items()]
+    )
+    parents = parent.groupBy(F.col(primary_key).alias("_key")).agg(
+        *[F.bool_or(known).alias(f"_known_{name}") for name, (_, known) in checks.items()]
+    )
+    lost = {name: F.when(~F.coalesce(F.col(f"_known_{name}"), F.lit(False)), F.col(f"_rows_{name}")) for name in checks}
+    totals = counts.join(parents, "_key", "left").agg(
+        *[F.coalesce(F.sum(rows), F.lit(0)).alias(name) for name, rows in lost.items()]
+    )
+    return totals.unpivot([], list(checks), "check_name", "bad_count")
+
+
 def join_hits(name: str, left: DataFrame, left_key: str, right: DataFrame, right_key: str = "id") -> DataFrame:
     """Rows of the inner join of two tables, from their per-key counts instead of the joined rows."""
     pairs = key_counts(left, left_key).join(

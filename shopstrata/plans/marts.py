@@ -54,17 +54,25 @@ def sku_topn(
     """The n best-selling skus per day.
 
     The rank filter lets Spark keep n rows per day in every task before the shuffle, so a day is never
-    ranked whole in one task. Names and refunds are looked up for ranked rows only.
+    ranked whole in one task. Orders, names and refunds are looked up for ranked rows only.
     """
     amount = F.col("order_price") * F.col("sku_num")
-    sold = lines.groupBy(F.to_date("create_time").alias("dt"), "sku_id").agg(
-        F.count_distinct("order_id").alias("order_count"),
+    dated = lines.withColumn("dt", F.to_date("create_time"))
+    sold = dated.groupBy("dt", "sku_id").agg(
         F.sum("sku_num").alias("order_sku_num"),
         money(F.sum(amount)).alias("order_amount"),
     )
     best_first = W.partitionBy("dt").orderBy(F.desc("order_amount"), "sku_id")
     top = sold.withColumn("sku_rank", F.row_number().over(best_first)).filter(F.col("sku_rank") <= n)
-    back = _refunded(refunds, refunded).groupBy("dt", "sku_id").agg(F.sum("refund_amount").alias("refund_amount"))
+    keys = top.select(F.col("dt").alias("_dt"), F.col("sku_id").alias("_sku"))
+    ranked = F.col("dt").eqNullSafe(F.col("_dt")) & F.col("sku_id").eqNullSafe(F.col("_sku"))
+    ordered = dated.select("dt", "sku_id", "order_id").join(keys, ranked, "left_semi")
+    orders = ordered.groupBy(F.col("dt").alias("_dt"), F.col("sku_id").alias("_sku")).agg(
+        F.count_distinct("order_id").alias("order_count")
+    )
+    returned = _refunded(refunds, refunded).join(keys, ranked, "left_semi")
+    back = returned.groupBy("dt", "sku_id").agg(F.sum("refund_amount").alias("refund_amount"))
+    top = top.join(orders, ranked).drop("_dt", "_sku")
     named = lookup(top, skus, "sku_id", cols=["sku_name", "category_id"], how="left")
     named = lookup(named, categories.withColumnRenamed("name", "category_name"), "category_id", cols=["category_name"], how="left")
     return named.join(back, ["dt", "sku_id"], "left").select(
@@ -194,13 +202,16 @@ def flow_funnel(
 def user_retention(detail: DataFrame, days: int = 7) -> DataFrame:
     """Users active on a day and again n days later, for n = 1..days.
 
-    Events are first reduced to distinct (user, day) pairs. Every user's active days are then gathered in a
-    list, no longer than the calendar, so the self-comparison is local to a user and needs no join.
+    Events are first reduced to distinct (user, day) pairs. A frame n days ahead then tells whether the user
+    came back, so the work is linear in the pairs and needs no join.
     """
     active_days = detail.filter(F.col("uid").isNotNull()).select("uid", F.to_date("biz_date").alias("day")).distinct()
-    per_user = active_days.groupBy("uid").agg(F.collect_list("day").alias("active"))
-    starts = per_user.select("active", F.explode("active").alias("start_dt"))
-    back = {n: F.count_if(F.array_contains("active", F.date_add("start_dt", n))) for n in range(1, days + 1)}
+    by_day = W.partitionBy("uid").orderBy(F.unix_date("day"))
+    starts = active_days.select(
+        F.col("day").alias("start_dt"),
+        *[F.count(F.lit(1)).over(by_day.rangeBetween(n, n)).alias(f"_back_{n}") for n in range(1, days + 1)],
+    ).filter(F.col("start_dt").isNotNull())
+    back = {n: F.count_if(F.col(f"_back_{n}") > 0) for n in range(1, days + 1)}
     per_start = starts.groupBy("start_dt").agg(
         F.count(F.lit(1)).alias("start_users"), *[column.alias(str(n)) for n, column in back.items()]
     )

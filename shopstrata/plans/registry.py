@@ -443,15 +443,17 @@ def manifest_check(spark, d):
 def orphan_audit(spark, d):
     orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
     customer, nation = table(spark, d, "customer"), table(spark, d, "nation")
-    returned = lines.filter(F.col("l_returnflag") == REFUNDED)
-    paid = orders.filter(F.col("o_orderstatus") == PAID)
+    every = F.lit(True)
+    of_orders = {
+        "detail_without_order": (every, every),
+        "refund_without_order": (F.col("l_returnflag") == REFUNDED, every),
+        "detail_without_payment": (every, F.col("o_orderstatus") == PAID),
+    }
     return quality.union_checks(
         quality.orphans("order_without_user", orders, "o_custkey", customer, "c_custkey"),
         quality.orphans("user_without_province", customer, "c_nationkey", nation, "n_nationkey"),
-        quality.orphans("detail_without_order", lines, "l_orderkey", orders, "o_orderkey"),
         quality.orphans("detail_without_sku", lines, "l_partkey", table(spark, d, "part"), "p_partkey"),
-        quality.orphans("refund_without_order", returned, "l_orderkey", orders, "o_orderkey"),
-        quality.orphans("detail_without_payment", lines, "l_orderkey", paid, "o_orderkey"),
+        quality.orphans_by_condition(lines, "l_orderkey", orders, "o_orderkey", of_orders),
     )
 
 

@@ -40,8 +40,10 @@ class KeyedTable:
             + [T.StructField("op", T.StringType()), T.StructField("seq", T.LongType())]
             + [T.StructField(name, T.StringType()) for name in ("kind", "batch")]
         )
-        empty = spark.createDataFrame([], self.log_schema).drop("kind", "batch")
-        empty.write.mode("ignore").partitionBy(day).parquet(f"{self.path}/kind={LOG}/batch=none")
+        empty = spark.createDataFrame([], self.log_schema)
+        empty.drop("kind", "batch").write.mode("ignore").partitionBy(day).parquet(f"{self.path}/kind={LOG}/batch=none")
+        self.covered_path = f"{self.path}.covered"
+        empty.select("kind", "batch").write.mode("ignore").parquet(self.covered_path)
 
     @classmethod
     def named(cls, spark: SparkSession, root: str, name: str) -> "KeyedTable":
@@ -61,8 +63,15 @@ class KeyedTable:
             rows = rows.repartition(self.day, F.pmod(F.xxhash64(*self.keys), F.lit(self.writers)))
         rows.write.mode("overwrite").partitionBy(self.day).parquet(f"{self.path}/kind={kind}/batch={batch}")
 
+    def _covered(self) -> list[str]:
+        """Batches whose rows a later base holds: those since `retire` was last called."""
+        rows = self.spark.read.schema("kind string, batch string").parquet(self.covered_path)
+        return [f"{kind}/{batch}" for kind, batch in rows.distinct().collect()]
+
     def changes(self) -> DataFrame:
-        return self.spark.read.schema(self.log_schema).parquet(self.path)
+        """The newest base and every batch it does not cover; the other folders are pruned."""
+        folder = F.concat_ws("/", "kind", "batch")
+        return self.spark.read.schema(self.log_schema).parquet(self.path).filter(~folder.isin(self._covered()))
 
     def stream(self, files_per_batch: int | None = None) -> DataFrame:
         """New changes as a stream. A batch that was written twice shows up twice."""
@@ -136,12 +145,25 @@ class KeyedTable:
         self.write(changed, batch)
 
     def compact(self, batch: str) -> None:
-        """Write the last change of every key, deletions included, as one base batch.
+        """Write the last change of every key, deletions included, as one base batch; reads then skip what it covers.
 
-        Reading base and log together gives the same rows as before, so old log batches may be removed after this,
-        by whoever runs the storage, once no reader uses them.
+        Only batches that are complete when it starts are covered, and they count as covered once the base is written.
+        A label may be used for one base only. One compaction of a table runs at a time.
         """
-        self.write(self.latest(), batch, kind=BASE)
+        seen = self.changes().select("kind", "batch").distinct().collect()
+        if not seen:
+            return
+        folders = [f"{kind}/{label}" for kind, label in seen]
+        self.write(self.latest(F.concat_ws("/", "kind", "batch").isin(folders)), batch, kind=BASE)
+        covered = self.spark.createDataFrame(seen, "kind string, batch string")
+        covered.coalesce(1).write.mode("append").parquet(self.covered_path)
+
+    def retire(self) -> None:
+        """Delete the folders of covered batches. Call it when no reader or stream still needs them."""
+        for folder in self._covered():
+            kind, label = folder.split("/", 1)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/kind={kind}/batch={label}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def touched_days(changes: DataFrame, day: str) -> list:

@@ -168,6 +168,26 @@ def test_compaction_keeps_the_rows(chain):
     )
 
 
+def test_reads_skip_what_a_base_covers(chain):
+    p1, p2 = payment(1, 10, 7, "5.00"), payment(2, 11, 8, "3.00")
+    table = chain.detail
+    for batch in range(3):
+        chain([("c", 2 * batch + 1, p1, None), ("c", 2 * batch + 2, p2, None)], batch)
+    rows, files = as_set(table.snapshot()), len(table.changes().inputFiles())
+    table.compact("one")
+    read = table.changes().select("kind", "batch").distinct().collect()
+    assert as_set(table.snapshot()) == rows and [tuple(row) for row in read] == [("base", "one")]
+    table.compact("two")  # a base covers the one before it
+    assert {row.batch for row in table.changes().select("batch").collect()} == {"two"}
+    table.retire()
+    assert as_set(table.snapshot()) == rows and len(table.changes().inputFiles()) < files
+    chain([("d", 9, p2, f"{D1} 10:00:00")], 3)
+    assert len(as_set(table.snapshot())) == len(rows) - 1
+    table.compact("three")
+    table.retire()
+    assert len(as_set(table.snapshot())) == len(rows) - 1
+
+
 def test_windows_are_written_once_and_replays_add_nothing(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "m"), schemas.MINUTE_METRIC, schemas.MINUTE_KEY, "metric_date")
     rows = spark.createDataFrame(
