@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shopstrata.functions.times import to_precision
 
 
+# The columns of each detail table, here and in the functions below.
 def flatten_events(events: DataFrame) -> DataFrame:
     """Nested behaviour events to one flat row each."""
     return events.select(

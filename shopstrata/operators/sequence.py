@@ -45,7 +45,8 @@ def resequence(
 def time_order_check(df: DataFrame, arrival: str, time: str, chunk: int = 1_000_000) -> DataFrame:
     """How far arrival order departs from time order: one row of counts.
 
-    `steps_back` counts rows earlier than the row before, `behind` rows earlier than some row before.
+    `steps_back` counts rows earlier than the row before, `behind` rows earlier than some row before. A row without
+    a time is neither, nor is the row after it a step back.
     `arrival` is a unique number. Rows are windowed in chunks of the arrival range; chunk summaries, one row
     per million rows, carry the last and the latest time across chunk borders.
     """
@@ -59,6 +60,7 @@ def time_order_check(df: DataFrame, arrival: str, time: str, chunk: int = 1_000_
         "_arrival",
         "_time",
         F.lag("_time").over(in_order).alias("_previous"),
+        (F.row_number().over(in_order) == 1).alias("_first"),
         F.max("_time").over(before).alias("_latest"),
     )
     summary = chunks.groupBy("_chunk").agg(
@@ -71,7 +73,7 @@ def time_order_check(df: DataFrame, arrival: str, time: str, chunk: int = 1_000_
         F.max("_max").over(across.rowsBetween(W.unboundedPreceding, -1)).alias("_carried_latest"),
     )
     rows = marked.join(carried, "_chunk")
-    steps_back = F.col("_time") < F.coalesce("_previous", "_carried_previous")
+    steps_back = F.col("_time") < F.when(F.col("_first"), F.col("_carried_previous")).otherwise(F.col("_previous"))
     behind = F.col("_time") < F.greatest("_latest", "_carried_latest")
     return rows.agg(
         F.count(F.lit(1)).alias("rows_checked"),

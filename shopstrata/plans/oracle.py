@@ -472,6 +472,16 @@ ORACLE: dict[str, str] = {
                CAST(MAX(metric_value) FILTER (WHERE metric_name = 'browse_uv') AS DOUBLE) AS browse_uv,
                CAST(MAX(metric_value) FILTER (WHERE metric_name = 'gmv') AS DOUBLE) AS gmv
         FROM minutes WHERE metric_name IN ('browse_pv', 'browse_uv', 'gmv') GROUP BY 1 ORDER BY 1""",
+    "minute_series_range": f"""
+        {_ROLES}, minutes AS ({_TRAFFIC_MINUTE} UNION ALL {_TRADE_MINUTE})
+        SELECT window_start - INTERVAL 8 HOUR AS time,
+               CAST(MAX(metric_value) FILTER (WHERE metric_name = 'browse_pv') AS DOUBLE) AS browse_pv,
+               CAST(MAX(metric_value) FILTER (WHERE metric_name = 'browse_uv') AS DOUBLE) AS browse_uv,
+               CAST(MAX(metric_value) FILTER (WHERE metric_name = 'gmv') AS DOUBLE) AS gmv
+        FROM minutes
+        WHERE metric_name IN ('browse_pv', 'browse_uv', 'gmv')
+          AND window_start BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 12:30:00'
+        GROUP BY 1 ORDER BY 1""",
     "detail_last_3_days": f"""
         {_ROLES} {_recent(_union(_TRADE_DAY, _GMV_NATION, _AMOUNT_CATEGORY))} UNION ALL {_recent(_TRAFFIC_DAY)}
         ORDER BY metric_date DESC, metric_name, dimension_key""",

@@ -18,6 +18,7 @@ def struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# Column names and types of sources, details and results.
 EVENT = struct(
     common=struct(uid=BIG, platform=TEXT, province_id=BIG, ts=TEXT),
     page=struct(page_id=TEXT),

@@ -22,12 +22,13 @@ def upsert_jdbc(
     execute: Callable[[str], None],
     options: Mapping[str, str] | None = None,
     writers: int = 8,
+    staging: str | None = None,
 ) -> None:
     """Write `df` over JDBC to a staging table with at most `writers` connections, then let `execute` run the merge.
 
-    Repeating it leaves the same rows.
+    Repeating it leaves the same rows. Two writers of one table at a time need `staging` names of their own.
     """
-    staging = f"{table}_staging"
+    staging = staging or f"{table}_staging"
     writer = df.repartition(writers).write.format("jdbc").option("url", url).option("dbtable", staging)
     writer.option("truncate", "true").options(**(options or {})).mode("overwrite").save()
     execute(merge_statement(table, staging, df.columns, keys))

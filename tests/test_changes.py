@@ -73,6 +73,12 @@ def test_time_order_check_across_chunks(spark):
         assert tuple(row) == (97, steps, behind)
 
 
+def test_time_order_check_with_missing_times(spark):
+    df = spark.createDataFrame(list(enumerate([9, 8, None, 7, 6, None, 5, 9])), "n bigint, t bigint")
+    for chunk in (2, 3, 4, 100):
+        assert tuple(sequence.time_order_check(df, "n", "t", chunk=chunk).first()) == (8, 2, 4)
+
+
 def test_reconcile_reports_each_kind(spark):
     schema = "k bigint, metric_value decimal(18,2)"
     left = spark.createDataFrame([(1, money("1.00")), (2, money("2.00")), (3, None), (5, None)], schema)
