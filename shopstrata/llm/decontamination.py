@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: n-gram seeds near a diagonal, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -15,10 +15,6 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 from shopstrata.llm.common import non_empty, packed
 
 N = 3
-#: Among so many neighbouring n-grams of an item, the rarest in the corpus are seeds: those in at most
-#: RARE times as many documents, and RARE more, as the rarest of them.
-STRETCH = 4
-RARE = 8
 #: Words of benchmark text handled in one pass; what a pass sends to every task is bounded by it.
 BLOCK_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -44,15 +40,20 @@ def _codes(numbers: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Some benchmark items: word numbers, items as numbers, and which item holds which n-gram where."""
+    """Some benchmark items: word numbers, items as numbers, and which item holds which n-gram where.
+
+    Every n-gram of an item is a seed: which ones a copy still holds shows only in the copy, not in counts over the corpus.
+    """
 
     vocabulary: dict[bytes, int]
     ids: list
     items: list[np.ndarray]
     codes: np.ndarray
     starts: np.ndarray
-    places: list[tuple[int, int]]
-    needed: list[int]
+    place_item: np.ndarray
+    place_at: np.ndarray
+    needed: np.ndarray
+    held: list[tuple[np.ndarray, np.ndarray]]
 
     def numbers(self, text: str | None) -> np.ndarray:
         found = words(text)
@@ -74,21 +75,15 @@ def _block(rows: list[tuple]) -> Block:
     items = []
     for _, text in rows:
         items.append(np.array([vocabulary.setdefault(word, len(vocabulary) + 1) for word in words(text)], np.int64))
-    block = Block(vocabulary, [id for id, _ in rows], items, np.empty(0, np.int64), np.empty(0, np.int64), [], [])
-    return _index(block, [list(range(max(len(item) - N + 1, 0))) for item in items])
-
-
-def _index(block: Block, chosen: list[list[int]]) -> Block:
-    entries = []
-    needed = []
-    for k, (item, places) in enumerate(zip(block.items, chosen)):
-        codes = _codes(item)
-        entries += [(int(codes[q]), k, q) for q in places]
-        needed.append(min(2, len({int(codes[q]) for q in places})))
-    entries.sort()
-    every = np.array([code for code, _, _ in entries], np.int64)
-    codes, starts = np.unique(every, return_index=True)
-    return Block(block.vocabulary, block.ids, block.items, codes, np.r_[starts, len(every)], [(k, q) for _, k, q in entries], needed)
+    codes = [_codes(item) for item in items]
+    every = np.concatenate([*codes, np.empty(0, np.int64)])
+    place_item = np.repeat(np.arange(len(items)), [len(x) for x in codes])
+    place_at = np.concatenate([*(np.arange(len(x)) for x in codes), np.empty(0, np.int64)])
+    order = np.argsort(every, kind="stable")  # within one code by item, then place
+    distinct, starts = np.unique(every[order], return_index=True)
+    needed = np.array([min(2, len(np.unique(x))) for x in codes], np.int64)
+    held = [np.unique(item, return_counts=True) for item in items]
+    return Block(vocabulary, [id for id, _ in rows], items, distinct, np.r_[starts, len(every)], place_item[order], place_at[order], needed, held)
 
 
 def blocks(benchmark: DataFrame, id: str, text: str, most: int = BLOCK_WORDS) -> Iterator[Block]:
@@ -107,39 +102,6 @@ def blocks(benchmark: DataFrame, id: str, text: str, most: int = BLOCK_WORDS) ->
         yield _block(rows)
 
 
-def rare_seeds(docs: DataFrame, block: Block, text: str) -> Block:
-    """Keep as seeds, of every `STRETCH` neighbouring n-grams of an item, those in the fewest documents.
-
-    Rarity only compares n-grams of the item, so an item keeps its seeds however often its passage was copied; and it
-    compares roughly, so that the n-grams an edited copy still shares are not passed over for those it lacks.
-    Document counts cover the whole corpus.
-    """
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(len(block.codes), np.int64)
-        for batch in non_empty(batches):
-            for value in batch.column("text").to_pylist():
-                _, found = block.hits(block.numbers(value))
-                count[np.unique(found)] += 1
-        used = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count[used])], names=["code", "docs"])
-
-    given = docs.select(F.col(text).cast("string").alias("text"))
-    counts = given.mapInArrow(counted, "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
-    seen = np.zeros(len(block.codes), np.int64)
-    for row in counts.collect():  # one row for each n-gram of the block at most
-        seen[row.code] = row.docs
-    chosen = []
-    for item in block.items:
-        often = seen[np.searchsorted(block.codes, _codes(item))]
-        places: set[int] = set()
-        for i in range(max(len(often) - STRETCH, 0) + 1):
-            stretch = often[i : i + STRETCH]
-            places.update((i + np.flatnonzero(stretch <= RARE * stretch.min() + RARE)).tolist())
-        chosen.append(sorted(places))
-    return _index(block, chosen)
-
-
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman score of two word sequences and the first and past-the-last word of the passage's part.
 
@@ -166,32 +128,59 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, `counts` of them, one after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _may_align(block: Block, k: int, passage: np.ndarray) -> bool:
+    """False only if the passage holds too few of the item's words for any alignment to reach the least score."""
+    words_, counts = block.held[k]
+    at = np.minimum(np.searchsorted(words_, passage), len(words_) - 1)
+    there = np.bincount(at[words_[at] == passage], minlength=len(words_))
+    return np.minimum(there, counts).sum() >= LEAST * len(block.items[k])
+
+
 def copies(block: Block, text: str | None) -> list[tuple]:
     """(item id, similarity, seeds, first word, past the last word) for each item of which the text has a copy; the best copy."""
     numbers = block.numbers(text)
     at, found = block.hits(numbers)
     if not len(at):
         return []
-    near: dict[int, list[tuple[int, int, int]]] = {}
-    for p, f in zip(at.tolist(), found.tolist()):
-        for k, q in block.places[block.starts[f] : block.starts[f + 1]]:
-            near.setdefault(k, []).append((p - q, f, p))
+    at = at[np.argsort(found, kind="stable")]
+    code, many = np.unique(found, return_counts=True)
+    begin = np.cumsum(many) - many
+    places = block.starts[code + 1] - block.starts[code]
+    entry = _spread(block.starts[code], places)
+    of = np.repeat(np.arange(len(code)), places)
+    item_of = block.place_item[entry]
+    new = np.r_[True, (of[1:] != of[:-1]) | (item_of[1:] != item_of[:-1])]
+    near, shared = np.unique(item_of[new], return_counts=True)
+    near = near[shared >= block.needed[near]]
+    if not len(near):
+        return []
+    order = np.argsort(item_of, kind="stable")
+    cuts = np.searchsorted(item_of[order], np.r_[near, near + 1]).reshape(2, -1).T
     out = []
-    for k, hits in near.items():
+    for k, (a, b) in zip(near.tolist(), cuts.tolist()):
         item, best = block.items[k], None
-        hits.sort()
-        begin = 0
-        for i in range(1, len(hits) + 1):
-            if i < len(hits) and hits[i][0] - hits[i - 1][0] <= SLACK:
+        own = of[order[a:b]]
+        diagonal = at[_spread(begin[own], many[own])] - np.repeat(block.place_at[entry[order[a:b]]], many[own])
+        seed = np.repeat(own, many[own])
+        by = np.argsort(diagonal, kind="stable")
+        diagonal, seed = diagonal[by], seed[by]
+        group = np.cumsum(np.r_[False, np.diff(diagonal) > SLACK])
+        seeds = np.bincount(np.unique(group * len(code) + seed) // len(code))
+        firsts = np.searchsorted(group, np.arange(len(seeds)))
+        lasts = np.r_[firsts[1:], len(group)] - 1
+        for g in np.flatnonzero(seeds >= block.needed[k]).tolist():
+            low = max(int(diagonal[firsts[g]]) - SLACK, 0)
+            passage = numbers[low : int(diagonal[lasts[g]]) + len(item) + SLACK]
+            if not _may_align(block, k, passage):
                 continue
-            seeds = len({f for _, f, _ in hits[begin:i]})
-            if seeds >= block.needed[k]:
-                low = max(hits[begin][0] - SLACK, 0)
-                high = hits[i - 1][0] + len(item) + SLACK
-                score, first, end = align(item, numbers[low:high])
-                if best is None or score > best[0]:
-                    best = (score, seeds, low + first, low + end)
-            begin = i
+            score, first, end = align(item, passage)
+            if best is None or score > best[0]:
+                best = (score, int(seeds[g]), low + first, low + end)
         if best and best[0] >= LEAST * MATCH * len(item):
             out.append((block.ids[k], best[0] / (MATCH * len(item)), *best[1:]))
     return out
@@ -204,9 +193,10 @@ def leaks(
 
     Returns `row` (the columns `carry`, by default all), item_id, similarity (alignment score over the best possible one),
     seeds, first_word and end_word. Both tables name their text column `text`. The benchmark is the stated query set and is
-    taken in blocks of bounded size, each against all documents: one pass counts how many documents hold its
-    n-grams, one finds seeds and aligns around them. Each text is treated where it lies: nothing is shuffled but counts, and no
-    copy is lost to a cap. Two different seeds near one diagonal are needed (one if the item has no more).
+    taken in blocks of bounded size, each in one pass over all documents. Each text is treated where it lies and for itself:
+    nothing is shuffled, and how many other documents hold a passage does not matter. All n-grams of an item are seeds; two
+    different ones near one diagonal are needed (one if the item has no more). Where they meet, words are aligned unless too
+    few of the item's words are there for any alignment to count.
 
     Null and empty texts have no copies; items of fewer than three words have none either. Repeated rows and repeated items each
     give their own pairs; an empty table on either side gives no rows.
@@ -223,7 +213,7 @@ def leaks(
         ]
     )
     given = docs.select(packed(docs, carry), F.col(text).cast("string").alias("text"))
-    found = [given.mapInArrow(_pairs(rare_seeds(docs, block, text), shape), shape) for block in blocks(benchmark, id, text)]
+    found = [given.mapInArrow(_pairs(block, shape), shape) for block in blocks(benchmark, id, text)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], shape)
 
 
@@ -252,9 +242,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "item_id", te
     """The rows of `docs` that hold no copy of a benchmark item, by the rules of `leaks`."""
     kept = docs
     for block in blocks(benchmark, id, text):
-        seeded = rare_seeds(docs, block, text)
 
-        def run(batches: Iterator[pa.RecordBatch], block: Block = seeded) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in non_empty(batches):
                 clean = [not copies(block, value) for value in batch.column("text").to_pylist()]
                 yield batch.select(["row"]).filter(pa.array(clean, pa.bool_()))

@@ -150,6 +150,19 @@ def test_decontamination(spark):
     assert decontamination.leaks(docs(spark, *rows), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("many", [9, 3000])
+def test_copies_of_one_edited_passage(spark, many):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeioustrn") for _ in range(5))
+    item = [word() for _ in range(40)]
+    edited = " ".join(w if i % 6 else word() for i, w in enumerate(item))
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    rows = docs(spark, *((i, edited) for i in range(many)), (many, " ".join(word() for _ in range(40))))
+    found = decontamination.leaks(rows, bench).select("row.doc_id", "similarity").collect()
+    assert sorted(r.doc_id for r in found) == list(range(many)) and {r.similarity for r in found} == {found[0].similarity}
+    assert [r.doc_id for r in decontamination.without_leaks(rows, bench).collect()] == [many]
+
+
 def brute_align(item, passage):
     table = np.zeros((len(item) + 1, len(passage) + 1), int)
     for i, a in enumerate(item, 1):
