@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from shopstrata.llm.suffix_blocks import Text
@@ -18,6 +19,8 @@ GRAM = 20
 UNIT = 8 << 20
 #: Places whose hashes are held at a time.
 PLACES = 1 << 16
+#: A name that more texts have is cut into windows, so that its pieces do not all meet in one bucket.
+HOT = 4096
 LAST = (1 << 63) - 1
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -93,7 +96,7 @@ class _Unit:
 
     def __init__(self, rows: pa.Table, right: pa.Table, length: int) -> None:
         kinds = right.column("kind").to_pylist()
-        self.right = [row for row, kind in zip(right.select(["bucket", "data"]).to_pylist(), kinds) if kind == "repeated"]
+        self.right = [row for row, kind in zip(right.select(["bucket", "rank", "data"]).to_pylist(), kinds) if kind == "repeated"]
         self.verdicts = [data for data, kind in zip(right.column("data").to_pylist(), kinds) if kind == "verdict"]
         first = {(r, d) for r, d, kind in zip(right.column("rank").to_pylist(), right.column("digest").to_pylist(), kinds) if kind == "first"}
         self.rows = []
@@ -108,28 +111,43 @@ class _Unit:
         self.texts = [texts[key] for key in self.keys]
         self.owner, self.spans, self.name = names(self.texts, length)
 
-    def repeated(self, buckets: int) -> np.ndarray:
-        """Positions of the runs whose name another text has too."""
+    def repeated(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the runs whose name another text has too, and which of them have a hot name."""
         bucket = (self.name % np.uint64(buckets)).astype(np.int64)
-        keep = np.zeros(len(self.name), bool)
+        keep, hot = np.zeros(len(self.name), bool), np.zeros(len(self.name), bool)
         short = self.name >> np.uint64(24)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for row in self.right:
             own = order[cuts[row["bucket"]] : cuts[row["bucket"] + 1]]
-            keep[own] |= np.isin(short[own], _unpack(row["data"]))
-        return np.flatnonzero(keep)
-
-    def segments(self, buckets: int, length: int) -> tuple[dict[bytes, int], np.ndarray, list[bytes]]:
-        """Different pieces of text under repeated names, numbered; and for each repeated run its piece."""
-        runs = self.repeated(buckets)
+            known = _unpack(row["data"])
+            keep[own] |= np.isin(short[own], known)
+            hot[own] |= np.isin(short[own], known[row["rank"] :])
+        runs = np.flatnonzero(keep)
+        return runs, hot[runs]
+
+    def segments(self, buckets: int, length: int) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """Different pieces of text under repeated names, numbered; and of each occurrence text, first window, bucket and piece.
+
+        A run is one piece, which goes where its name goes. What lies around a passage differs between texts, so the runs of a hot
+        name are cut into windows, which go by their content: equal ones are one piece of the unit, others spread.
+        """
+        runs, hot = self.repeated(buckets)
+        spans = self.spans[runs]
+        many = np.where(hot, spans[:, 1] - spans[:, 0], 1)
+        of = np.repeat(np.arange(len(runs)), many)
+        begin = spans[of, 0] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+        end = np.where(hot[of], begin + 1, spans[of, 1]) + length - 1
+        owner = self.owner[runs][of]
+        bucket = (self.name[runs][of] % np.uint64(buckets)).astype(np.int64)
         number: dict[bytes, int] = {}
-        pieces = []
-        for run in runs.tolist():
-            a, b = self.spans[run]
-            pieces.append(self.texts[self.owner[run]][a : b + length - 1])
-        piece_of = [number.setdefault(piece, len(number)) for piece in pieces]
-        return number, runs, piece_of
+        piece_of = []
+        for i, (text, a, b, cut) in enumerate(zip(owner.tolist(), begin.tolist(), end.tolist(), hot[of].tolist())):
+            piece = self.texts[text][a:b]
+            piece_of.append(number.setdefault(piece, len(number)))
+            if cut:
+                bucket[i] = zlib.crc32(piece) % buckets
+        return number, owner, begin, bucket, piece_of
 
 
 def _name_rows(buckets: int, length: int):
@@ -143,44 +161,58 @@ def _name_rows(buckets: int, length: int):
         order = np.argsort(bucket, kind="stable")
         name, counts, bucket = name[order], counts[order], bucket[order]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-        out = {"bucket": [], "unit": [], "once": [], "more": []}
+        out = {"bucket": [], "unit": [], "once": [], "more": [], "texts": []}
         for a, b in zip(starts, [*starts[1:], len(bucket)]):
             out["bucket"].append(int(bucket[a]))
             out["unit"].append(key[0].as_py())
             out["once"].append(_pack(name[a:b][counts[a:b] == 1]))
             out["more"].append(_pack(name[a:b][counts[a:b] > 1]))
-        return pa.table(out, schema=pa.schema([("bucket", pa.int64()), ("unit", pa.int64()), ("once", pa.binary()), ("more", pa.binary())]))
+            out["texts"].append(counts[a:b][counts[a:b] > 1].astype(np.int32).tobytes())
+        kinds = [("bucket", pa.int64()), ("unit", pa.int64()), *((x, pa.binary()) for x in ("once", "more", "texts"))]
+        return pa.table(out, schema=pa.schema(kinds))
 
     return run
 
 
-def _common(key, rows):
-    """Names that two texts of any unit have, sent back to each unit that has them."""
-    units = rows.column("unit").to_pylist()
-    once = [_unpack(x) for x in rows.column("once").to_pylist()]
-    more = [_unpack(x) for x in rows.column("more").to_pylist()]
-    name, counts = np.unique(np.concatenate([np.concatenate(once), *(x for y in more for x in (y, y))]), return_counts=True)
-    name = name[counts > 1]
-    data = [np.r_[a, b][np.isin(np.r_[a, b], name)] for a, b in zip(once, more)]
-    kept = [i for i, x in enumerate(data) if len(x)]
-    return pa.table(
-        {"unit": [units[i] for i in kept], "bucket": [key[0].as_py()] * len(kept), "data": [_pack(data[i] << np.uint64(24)) for i in kept]},
-        schema=pa.schema([("unit", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())]),
-    )
+def _common(hot: int):
+    """Names that two texts of any unit have, sent back to each unit that has them; those of over `hot` texts come last."""
+
+    def run(key, rows):
+        units = rows.column("unit").to_pylist()
+        once = [_unpack(x) for x in rows.column("once").to_pylist()]
+        more = [_unpack(x) for x in rows.column("more").to_pylist()]
+        texts = [np.frombuffer(x, np.int32) for x in rows.column("texts").to_pylist()]
+        name, of = np.unique(np.concatenate([*once, *more]), return_inverse=True)
+        ones = np.ones(sum(map(len, once)), np.int64)
+        counts = np.bincount(of, np.concatenate([ones, *texts]), len(name)).astype(np.int64)
+        cold, often = name[(counts > 1) & (counts <= hot)], name[counts > max(hot, 1)]
+        out = {"unit": [], "bucket": [], "rank": [], "data": []}
+        for unit, a, b in zip(units, once, more):
+            own = np.r_[a, b]
+            first, last = own[np.isin(own, cold)], own[np.isin(own, often)]
+            if len(first) + len(last):
+                out["unit"].append(unit)
+                out["bucket"].append(key[0].as_py())
+                out["rank"].append(len(first))
+                out["data"].append(_pack(np.r_[first, last] << np.uint64(24)))
+        kinds = [("unit", pa.int64()), ("bucket", pa.int64()), ("rank", pa.int64()), ("data", pa.binary())]
+        return pa.table(out, schema=pa.schema(kinds))
+
+    return run
 
 
 def _segment_rows(buckets: int, length: int):
     def run(key, rows, right):
         unit = _Unit(rows, right, length)
-        number, runs, piece_of = unit.segments(buckets, length)
+        number, owner, _, to, piece_of = unit.segments(buckets, length)
         low = np.full(len(number), LAST)
         high = np.zeros(len(number), np.int64)
         bucket = np.zeros(len(number), np.int64)
         ranks = np.array([rank for rank, _ in unit.keys] or [0], np.int64)
-        np.minimum.at(low, piece_of, ranks[unit.owner[runs]])
+        np.minimum.at(low, piece_of, ranks[owner])
         high[:] = np.iinfo(np.int64).min
-        np.maximum.at(high, piece_of, ranks[unit.owner[runs]])
-        bucket[piece_of] = (unit.name[runs] % np.uint64(buckets)).astype(np.int64)
+        np.maximum.at(high, piece_of, ranks[owner])
+        bucket[piece_of] = to
         pieces = list(number)
         out = {"bucket": [], "unit": [], "numbers": [], "low": [], "high": [], "sizes": [], "data": []}
         order = np.argsort(bucket, kind="stable")
@@ -259,15 +291,13 @@ def _verdicts(length: int):
 def _removed(buckets: int, length: int, kept: bool):
     def run(key, rows, right):
         unit = _Unit(rows, right, length)
-        _, runs, piece_of = unit.segments(buckets, length)
+        _, owner, first, _, piece_of = unit.segments(buckets, length)
         verdict: dict[int, list] = {}
         for data in unit.verdicts:
             for number, a, b, rank in np.frombuffer(data, np.int64).reshape(-1, 4).tolist():
                 verdict.setdefault(number, []).append((a, b, rank))
         spans: dict[int, list[tuple[int, int]]] = {}
-        for run_, piece in zip(runs.tolist(), piece_of):
-            text = int(unit.owner[run_])
-            begin = int(unit.spans[run_][0])
+        for text, begin, piece in zip(owner.tolist(), first.tolist(), piece_of):
             for a, b, rank in verdict.get(piece, ()):
                 if rank < unit.keys[text][0]:
                     spans.setdefault(text, []).append((begin + a, begin + b + length - 1))
@@ -299,18 +329,19 @@ def _removed(buckets: int, length: int, kept: bool):
 
 
 def without_repeats(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, kept: bool = True, unit_bytes: int = UNIT
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, kept: bool = True, unit_bytes: int = UNIT, hot: int = HOT
 ) -> DataFrame:
     """Remove each byte covered by a `length`-byte string that also starts in a document with a smaller id.
 
     Returns id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that are left; null if `kept` is false).
 
     Equal texts are found by digest; only the one with the smallest id is searched, the others go whole. Texts are dealt out by id
-    into units of about `unit_bytes`. Windows are named by the least hash of their 20-byte strings; units exchange names only,
+    and digest into units of about `unit_bytes`. Windows are named by the least hash of their 20-byte strings; units exchange names only,
     and learn which of theirs another text has. The pieces under these names, each once per unit, meet by name. There their
     suffixes are sorted one block at a time, ties of over 31 bytes by the ranks of a difference-cover sample, and neighbours that
-    agree in `length` bytes share the smallest rank. Names only select; what decides is the text. A text a third of the rows
-    share costs each unit one piece.
+    agree in `length` bytes share the smallest rank. Names only select; what decides is the text. A piece reaches beyond the
+    passage that gave its name, so pieces around a common passage differ: a name that more than `hot` texts have is cut into
+    windows that are dealt out by content, each once per unit.
 
     Null counts as empty. A null id is larger than any other; rows of equal ids do not remove each other's bytes, and rows that
     repeat id and text get equal results. `length` is at least 20. An empty table gives no rows.
@@ -323,11 +354,10 @@ def without_repeats(
     total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     units = buckets = max(8, -(-total // unit_bytes))
 
-    def unit_of(column: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(units)).alias("unit")
-
-    rows = given.select("id", "rank", "text", unit_of("rank"))
-    firsts = given.groupBy(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")).agg(F.min("rank").alias("rank"))
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")
+    unit = F.pmod(F.xxhash64("rank", "digest"), F.lit(units)).alias("unit")
+    rows = given.select("id", "rank", "text", digest).select("id", "rank", "text", unit)
+    firsts = given.groupBy(digest).agg(F.min("rank").alias("rank"))
 
     def right(df: DataFrame, kind: str) -> DataFrame:
         have = set(df.columns)
@@ -335,12 +365,12 @@ def without_repeats(
         columns = [F.col(c) if c in have else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
         return df.select(columns[0], F.lit(kind).alias("kind"), *columns[1:])
 
-    first = right(firsts.select(unit_of("rank"), "rank", "digest"), "first")
+    first = right(firsts.select(unit, "rank", "digest"), "first")
     by_unit = rows.groupBy("unit")
     names_ = by_unit.cogroup(first.groupBy("unit")).applyInArrow(
-        _name_rows(buckets, length), "bucket long, unit long, once binary, more binary"
+        _name_rows(buckets, length), "bucket long, unit long, once binary, more binary, texts binary"
     )
-    common = right(names_.groupBy("bucket").applyInArrow(_common, "unit long, bucket long, data binary"), "repeated")
+    common = right(names_.groupBy("bucket").applyInArrow(_common(hot), "unit long, bucket long, rank long, data binary"), "repeated")
     known = first.union(common)
     pieces = by_unit.cogroup(known.groupBy("unit")).applyInArrow(
         _segment_rows(buckets, length),

@@ -132,6 +132,39 @@ def test_suffix_dedup_against_brute_force(spark, unit):
     assert suffix_dedup.without_repeats(docs(spark).limit(0)).count() == 0
 
 
+def bytes_by_bucket(texts, buckets, hot):
+    """Bytes of pieces each bucket gets from one unit that holds the texts."""
+    import pyarrow as pa
+
+    rows = pa.table({"rank": range(len(texts)), "text": texts, "id": range(len(texts))})
+    kinds = [("unit", pa.int64()), ("kind", pa.string()), ("bucket", pa.int64()), ("rank", pa.int64()), ("digest", pa.binary()), ("data", pa.binary())]
+    right = [{"kind": "first", "rank": i, "digest": hashlib.sha256(t.encode()).digest()} for i, t in enumerate(texts)]
+    named = suffix_dedup._name_rows(buckets, 50)([pa.scalar(0)], rows, pa.Table.from_pylist(right, pa.schema(kinds)))
+    for i in range(named.num_rows):
+        own = named.slice(i, 1)
+        known = suffix_dedup._common(hot)([own["bucket"][0]], own)
+        right += [{"kind": "repeated", **x} for x in known.to_pylist()]
+    dealt = suffix_dedup._segment_rows(buckets, 50)([pa.scalar(0)], rows, pa.Table.from_pylist(right, pa.schema(kinds)))
+    return {x["bucket"]: len(x["data"]) for x in dealt.to_pylist()}
+
+
+def test_a_common_line_is_spread(spark):
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line = letters(60)
+    texts = [letters(80) + line + letters(80) for _ in range(600)]
+    dealt = bytes_by_bucket(texts, 64, 500)
+    assert max(dealt.values()) < 0.1 * sum(dealt.values())
+    whole = bytes_by_bucket(texts, 64, 5000)
+    assert max(whole.values()) > 0.3 * sum(whole.values())  # uncut, the pieces meet under a few names of the line
+    some = [(i, t) for i, t in enumerate(texts[:40])] + [(None, texts[0]), (None, line), (3, line), (77, "ab" * 300), (78, "ba" * 200)]
+    want = brute_suffix([(suffix_dedup.LAST if i is None else i, t.encode()) for i, t in some], 50)
+    for unit in (700, 8 << 20):
+        found = suffix_dedup.without_repeats(docs(spark, *some), unit_bytes=unit, hot=3).collect()
+        assert len(found) == len(some)
+        assert all(bytes(r.kept) in want[suffix_dedup.LAST if r.id is None else r.id] for r in found)
+
+
 def test_decontamination(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("aeioustrn") for _ in range(5))
