@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from shopstrata.llm.common import non_empty, packed, written
@@ -83,6 +83,25 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _latest_before(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """For each asked (conv, hash, turn) the latest earlier turn in the index of that conversation and hash, if there is one.
+
+    Askers and holders stand in one order of conversation, hash and turn, cut into ranges; no pairs are made, and a range takes
+    over the last holder of the ranges before it. So a line that all messages of a conversation hold and quote is linear and spread.
+    """
+    held = index.select("conv", "hash", "turn", F.lit(True).alias("holds"))
+    every = held.unionByName(asked.withColumn("holds", F.lit(False)))
+    every = written(every.repartitionByRange("conv", "hash", "turn").withColumn("range", F.spark_partition_id()), "quote-order")
+    within = Window.partitionBy("range", "conv", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    holder = F.when(F.col("holds"), F.col("turn"))
+    near = every.withColumn("near", F.max(holder).over(within)).filter("NOT holds")
+    before = Window.partitionBy("conv", "hash").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range that a conversation and hash reach into.
+    far = every.groupBy("range", "conv", "hash").agg(F.max(holder).alias("last")).withColumn("far", F.max("last").over(before))
+    found = near.join(far.filter("far IS NOT NULL").select("range", "conv", "hash", "far"), ["range", "conv", "hash"], "left")
+    return found.select("conv", "hash", "turn", F.coalesce("near", "far").alias("from_turn")).filter("from_turn IS NOT NULL")
+
+
 def linked(
     messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", carry: Iterable[str] | None = None
 ) -> DataFrame:
@@ -95,8 +114,8 @@ def linked(
     conversation: root, then turn.
 
     Quotes are met by hashes of normalised text. The index keeps one row per hash and conversation and turn; what is looked up
-    is reduced per conversation before it is shuffled on, so a line that a third of all messages share costs no pairs:
-    a quote meets the turns of its own conversation only, and one first message besides. A message quoted within one chain
+    is reduced per conversation before it is shuffled on, so a line that a third of all messages share costs no pairs,
+    within a conversation or across: a quote meets the latest earlier turn of its own conversation and one first message. A message quoted within one chain
     is found whatever its level. Null and empty texts have no quotes and are quoted by none. Rows without a conversation or turn
     are returned unlinked. Repeated rows are treated alike; an empty table gives no rows.
     """
@@ -122,17 +141,10 @@ def linked(
     wanted = asked.select("hash").distinct()
     index = rows.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode("hashes").alias("hash"))
     index = written(index.join(wanted, "hash", "left_semi").distinct(), "passages")
-    mine = index.select("conv", "hash", F.col("turn").alias("from_turn"))
-    inside = (
-        asked.join(mine, ["conv", "hash"])
-        .filter("from_turn < turn")
-        .groupBy("conv", "turn", "level", "number", "part", "hash")
-        .agg(F.max("from_turn").alias("from_turn"))
-    )
+    inside = _latest_before(asked.select("conv", "hash", "turn").distinct(), index)
     first = index.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("origin"))
-    keys = ["conv", "turn", "level", "number", "part", "hash"]
     met = (
-        asked.join(inside, keys, "left")
+        asked.join(inside, ["conv", "hash", "turn"], "left")
         .join(first, "hash", "left")
         .withColumn("origin", F.when(F.col("from_turn").isNotNull(), F.struct(F.col("conv"), F.col("from_turn").alias("turn"))).otherwise(F.col("origin")))
         .filter("origin IS NOT NULL AND NOT (origin.conv = conv AND origin.turn >= turn)")

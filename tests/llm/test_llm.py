@@ -290,6 +290,17 @@ def test_quotes(spark):
     assert got[2, 0] == ("new", 1, 1, None, 0, [(1, 2)]) and got[2, 1][3:] == (None, 1, []) and got[None, 1][3] is None
 
 
+def test_one_line_held_and_quoted_throughout_a_conversation(spark):
+    n = 1500
+    rows = [(1, i, "Thanks") for i in range(0, 2 * n, 2)] + [(1, i, "> Thanks\nyes") for i in range(1, 2 * n, 2)]
+    found = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string"))
+    assert {r.row.turn: r.reply_to for r in found.collect()} == {i: i - 1 if i % 2 else None for i in range(2 * n)}
+    held = spark.createDataFrame([(1, 7, i) for i in range(0, 2 * n, 2)], "conv long, hash long, turn long")
+    asked = spark.createDataFrame([(1, 7, i) for i in range(1, 2 * n, 2)] + [(1, 7, 0), (2, 7, 5)], held.schema)
+    got = quotes._latest_before(asked, held)
+    assert sorted((r.turn, r.from_turn) for r in got.collect()) == [(i, i - 1) for i in range(1, 2 * n, 2)]
+
+
 def test_queries_and_pipeline(spark):
     import corpus_pipeline
     import duckdb
