@@ -62,18 +62,42 @@ def passages(own: str) -> set[int]:
     return {_hash(x) for x in found if x}
 
 
+def lookups(lines: list[str]) -> list[tuple[int, int, int, int]]:
+    """What a quoted passage is looked up by: (tier, first line, past the last line, hash), the whole before its parts.
+
+    Tier 0 is the whole, 1 its paragraphs (empty quoted lines part them), 2 lines put together again where a client has
+    wrapped them, 3 single lines. A line goes on in the next one if that one's first word would not have fitted beside it,
+    the longest line of the paragraph being the width.
+    """
+    ranges: dict[tuple[int, int], int] = {(0, len(lines)): 0}
+    filled = [bool(line.strip()) for line in lines]
+    starts = [i for i, x in enumerate(filled) if x and not (i and filled[i - 1])]
+    ends = [i + 1 for i, x in enumerate(filled) if x and not (i + 1 < len(lines) and filled[i + 1])]
+    for first, past in zip(starts, ends):
+        ranges.setdefault((first, past), 1)
+        width = max(len(lines[i].rstrip()) for i in range(first, past))
+        begin = first
+        for i in range(first, past):
+            ranges.setdefault((i, i + 1), 3)
+            if i + 1 == past or len(lines[i].rstrip()) + 1 + len(lines[i + 1].split()[0]) <= width:
+                ranges.setdefault((begin, i + 1), 2)
+                begin = i + 1
+    found = [(tier, a, b, normalised(lines[a:b])) for (a, b), tier in ranges.items()]
+    return [(tier, a, b, _hash(x)) for tier, a, b, x in found if x]
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    quote = pa.struct([("level", pa.int32()), ("number", pa.int32()), ("hashes", pa.list_(pa.int64()))])
+    part = pa.struct([("tier", pa.int32()), ("first", pa.int32()), ("past", pa.int32()), ("hash", pa.int64())])
+    quote = pa.struct([("level", pa.int32()), ("number", pa.int32()), ("parts", pa.list_(part))])
     for batch in non_empty(batches):
         texts, quoted, hashes = [], [], []
         for value in batch.column("text").to_pylist():
             own, quotes = parse(value or "")
             texts.append(own)
             hashes.append(sorted(passages(own)))
-            # A passage is looked up as a whole first; if that is no message's, by its lines.
             quoted.append(
                 [
-                    {"level": level, "number": i, "hashes": [_hash(normalised(lines)), *(_hash(x) for x in map(normalised, ([y] for y in lines)) if x)]}
+                    {"level": level, "number": i, "parts": [dict(zip(("tier", "first", "past", "hash"), x)) for x in lookups(lines)]}
                     for i, (level, lines) in enumerate(quotes)
                 ]
             )
@@ -106,7 +130,7 @@ def linked(
     messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", carry: Iterable[str] | None = None
 ) -> DataFrame:
     """Link every quoted passage to the latest earlier message of its conversation that has it, or else to the first message
-    anywhere that has it; and order each conversation so that replies follow what they quote.
+    of another conversation that has it; and order each conversation so that replies follow what they quote.
 
     Returns `row` (the columns `carry`, by default all), own_text (without quotes), n_quotes, deepest (quote level), n_linked,
     reply_to (turn of the conversation that most quotes of the shallowest level point to, then the latest), root (turn at the head
@@ -115,14 +139,16 @@ def linked(
 
     Quotes are met by hashes of normalised text. The index keeps one row per hash and conversation and turn; what is looked up
     is reduced per conversation before it is shuffled on, so a line that a third of all messages share costs no pairs,
-    within a conversation or across: a quote meets the latest earlier turn of its own conversation and one first message. A message quoted within one chain
+    within a conversation or across. A passage is looked up whole, then by paragraph, then by line, wrapped lines also put together; of what is found as one
+    the parts do not count, and what is cut within a line is not found. A quote meets the latest earlier turn of its own conversation and one first message. A message quoted within one chain
     is found whatever its level. Null and empty texts have no quotes and are quoted by none. Rows without a conversation or turn
     are returned unlinked. Repeated rows are treated alike; an empty table gives no rows.
     """
     given = messages.select(
         packed(messages, carry), F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(text).cast("string").alias("text")
     )
-    quote = StructType([StructField("level", IntegerType()), StructField("number", IntegerType()), StructField("hashes", ArrayType(LongType()))])
+    part = StructType([*(StructField(name, IntegerType()) for name in ("tier", "first", "past")), StructField("hash", LongType())])
+    quote = StructType([StructField("level", IntegerType()), StructField("number", IntegerType()), StructField("parts", ArrayType(part))])
     shape = StructType(
         [
             *given.drop("text").schema.fields,
@@ -135,25 +161,32 @@ def linked(
     asked = (
         rows.filter("size(quotes) > 0 AND conv IS NOT NULL AND turn IS NOT NULL")
         .select("conv", "turn", F.explode("quotes").alias("q"))
-        .select("conv", "turn", "q.level", "q.number", F.posexplode("q.hashes").alias("part", "hash"))
+        .select("conv", "turn", "q.level", "q.number", F.explode("q.parts").alias("p"))
+        .select("conv", "turn", "level", "number", "p.tier", "p.first", "p.past", "p.hash")
         .distinct()
     )
     wanted = asked.select("hash").distinct()
     index = rows.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode("hashes").alias("hash"))
     index = written(index.join(wanted, "hash", "left_semi").distinct(), "passages")
     inside = _latest_before(asked.select("conv", "hash", "turn").distinct(), index)
-    first = index.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("origin"))
+    # The first origin of a hash, and the first outside of that one's conversation, for askers in that conversation.
+    by_conv = index.groupBy("hash", "conv").agg(F.min("turn").alias("turn"))
+    first = by_conv.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("origin"))
+    others = by_conv.join(first, "hash").filter("conv <> origin.conv").groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("other"))
+    first = first.join(others, "hash", "left")
+    anywhere = F.when(F.col("origin.conv") == F.col("conv"), F.col("other")).otherwise(F.col("origin"))
     met = (
         asked.join(inside, ["conv", "hash", "turn"], "left")
         .join(first, "hash", "left")
-        .withColumn("origin", F.when(F.col("from_turn").isNotNull(), F.struct(F.col("conv"), F.col("from_turn").alias("turn"))).otherwise(F.col("origin")))
-        .filter("origin IS NOT NULL AND NOT (origin.conv = conv AND origin.turn >= turn)")
-    )
-    # Of a passage that some message has as a whole, the single lines do not count.
-    of_quote = met.groupBy("conv", "turn", "level", "number").agg(F.min("part").alias("least"), F.collect_set(F.struct("part", "origin")).alias("found"))
-    of_quote = of_quote.select(
-        "conv", "turn", "level", F.explode(F.expr("transform(filter(found, x -> least > 0 OR x.part = 0), x -> x.origin)")).alias("origin")
+        .withColumn("origin", F.when(F.col("from_turn").isNotNull(), F.struct(F.col("conv"), F.col("from_turn").alias("turn"))).otherwise(anywhere))
+        .filter("origin IS NOT NULL")
     )
+    # Of what some message has as one, the parts do not count.
+    found = F.collect_set(F.struct("tier", "first", "past", "origin")).alias("found")
+    of_quote = met.groupBy("conv", "turn", "level", "number").agg(found)
+    covers = of_quote.withColumn("wider", F.expr("filter(found, x -> x.tier < 3)"))
+    kept = "filter(found, x -> NOT exists(wider, y -> y.tier < x.tier AND y.first <= x.first AND y.past >= x.past))"
+    of_quote = covers.select("conv", "turn", "level", F.explode(F.expr(f"transform({kept}, x -> x.origin)")).alias("origin"))
     of_message = of_quote.groupBy("conv", "turn").agg(F.count("*").alias("n_linked"), F.sort_array(F.collect_set("origin")).alias("quoted_from"))
     votes = of_quote.filter("origin.conv = conv").groupBy("conv", "turn", "level", F.col("origin.turn").alias("to")).agg(F.count("*").alias("n"))
     answers = votes.groupBy("conv", "turn").agg(F.max(F.struct(-F.col("level"), "n", "to")).alias("best"))

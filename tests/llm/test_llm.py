@@ -301,6 +301,21 @@ def test_one_line_held_and_quoted_throughout_a_conversation(spark):
     assert sorted((r.turn, r.from_turn) for r in got.collect()) == [(i, i - 1) for i in range(1, 2 * n, 2)]
 
 
+def test_wrapped_paragraphs_and_later_own_turns(spark):
+    first, second, third = "The first paragraph goes on for a while here.", "A second one is in between.", "The third paragraph is also a long one."
+    wrapped = "> The first paragraph goes\n> on for a while here.\n>\n> A second one is in\n> between.\nAgreed."
+    rows = [
+        (1, 0, f"{first}\n\n{second}\n\n{third}"), (1, 1, wrapped),
+        (2, 0, f"{third}\n{second}\nEnd."), (2, 1, "> The third paragraph is\n> also a long one.\n> End.\nFine."),
+        (5, 3, "> Only said later\nwhat?"), (5, 4, "Only said later"), (6, 2, "Only said later"), (6, 9, "Only said later"),
+    ]
+    found = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    got = {(r.row.conv_id, r.row.turn): (r.n_linked, r.reply_to, r.root, [tuple(q) for q in r.quoted_from]) for r in found}
+    assert got[1, 1] == (2, 0, 0, [(1, 0)])
+    assert got[2, 1] == (2, 0, 0, [(2, 0)])
+    assert got[5, 3] == (1, None, 3, [(6, 2)])
+
+
 def test_queries_and_pipeline(spark):
     import corpus_pipeline
     import duckdb
