@@ -267,6 +267,24 @@ def test_surrogates(spark):
     assert pii._luhn([int(c) for c in card]) == 0
 
 
+def test_one_entity_in_many_forms(spark):
+    rows = docs(
+        spark,
+        (1, "4539 5787 6362 1486|4539-5787-6362-1486|4539578763621486|DE89 3704 0044 0532 0130 00|DE89370400440532013000|+49 30 1234567|+49301234567|(212) 555-0143|+1 212 555 0143"),
+        (2, "Mr. Adam Stone|Mr. Stone|Stone|Adam Stone|Ms. Eva Stone"),
+        (3, "Frau Anna Weber|Dr. Anna Weber"),
+        (4, "Dr. Anna Weber"),
+    )
+    found = {r.row.doc_id: r.text.split("|") for r in pii.replaced(rows, b"k").collect()}
+    plain = ["".join(filter(str.isalnum, x)) for x in found[1]]
+    assert len(set(plain[:3])) == len(set(plain[3:5])) == len(set(plain[5:7])) == 1 and plain[8] == "1" + plain[7]
+    assert [len(x) for x in found[1]] == [19, 19, 16, 27, 22, 14, 12, 14, 15] and found[1][0][4] == " " and found[1][1][4] == "-"
+    given, family = found[2][0].split(" ")[1:]
+    assert found[2][1:4] == [f"Mr. {family}", family, f"{given} {family}"] and family not in found[2][4] and "Stone" not in str(found[2])
+    assert found[3][0].removeprefix("Frau ") == found[3][1].removeprefix("Dr. ") == found[4][0].removeprefix("Dr. ")
+    assert found[3][0].split(" ")[1] in pii.FIRST["latin"]["f"]
+
+
 def test_surrogates_stay_distinct(spark):
     many = spark.createDataFrame([("phone", f"+1 {i:02d}") for i in range(60)], "kind string, entity string")  # 100 numbers in all
     with pytest.raises(RuntimeError):
