@@ -285,6 +285,12 @@ def test_one_entity_in_many_forms(spark):
     assert found[3][0].split(" ")[1] in pii.FIRST["latin"]["f"]
 
 
+@pytest.mark.parametrize("token", ["sk-" + "abcDE" * 5, "ghp_" + "xY" * 18, "AKIA" + "QWER" * 4, "deadbeef" * 4, "FACE" * 8])
+@pytest.mark.parametrize("around", ["key {}.", "key {}, 7.", "key {} of a@b.org"])
+def test_secrets_without_digits(token, around):
+    assert ("secret", token) in [x[2:] for x in pii.detect(around.format(token))]
+
+
 def test_surrogates_stay_distinct(spark):
     many = spark.createDataFrame([("phone", f"+1 {i:02d}") for i in range(60)], "kind string, entity string")  # 100 numbers in all
     with pytest.raises(RuntimeError):
