@@ -21,9 +21,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked fingerprints; rows without an id stay if no row of theirs has one."""
-    found = simhash.near_duplicates(docs)
-    return found.filter("id <=> component_id").select("row.*")
+    """One document of each group of linked fingerprints: one with the smallest id, or one without if no row has an id."""
+    return simhash.near_duplicates(docs).filter("kept").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

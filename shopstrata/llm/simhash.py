@@ -141,21 +141,24 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: Iterable[str] | None = None) -> DataFrame:
     """Fingerprint every whole text and link fingerprints of three or fewer differing bits.
 
-    Returns `row` (the columns `carry`, by default all), id, fingerprint (16 hex digits) and component_id, the smallest id
-    that links reach. Equal fingerprints are one node, so copies cost nothing after the first aggregation.
+    Returns `row` (the columns `carry`, by default all), id, fingerprint (16 hex digits), component_id, the smallest id
+    that links reach, and kept, true for exactly one row of each component: one with the smallest id, or one of those without
+    if no row has an id. Equal fingerprints are one node, so copies cost nothing after the first aggregation.
 
     Null and empty texts have fingerprint zero and are linked like any other. Rows with a null id never name a component; if
     no row of it has an id, component_id is null. Repeated rows share a component. No rows in, no rows out.
     """
     given = docs.select(packed(docs, carry), F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
     shape = StructType([*given.drop("text").schema.fields, StructField("print", LongType())])
-    rows = written(given.mapInArrow(_fingerprints, shape), "fingerprints")
-    nodes = rows.groupBy("print").agg(F.min("id").alias("id"))
+    numbered = given.mapInArrow(_fingerprints, shape).withColumn("number", F.monotonically_increasing_id())
+    rows = written(numbered, "fingerprints")
+    head = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("head")
+    nodes = rows.groupBy("print").agg(F.min("id").alias("id"), head)
     buckets = variants(nodes).repartition("key").sortWithinPartitions("key")
     root = roots(buckets.mapInArrow(_links, "a long, b long"))
-    rooted = nodes.join(root, nodes["print"] == root["a"], "left").select("print", "id", F.coalesce("b", "print").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = rooted.join(least, "root").select("print", "component_id")
+    rooted = nodes.join(root, nodes["print"] == root["a"], "left").select("print", "id", "head", F.coalesce("b", "print").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"), F.min("head").alias("first"))
+    named = rooted.join(least, "root").select("print", "component_id", F.col("first.number").alias("first"))
     return rows.join(named, "print").select(
-        "row", "id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
+        "row", "id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", (F.col("number") == F.col("first")).alias("kept")
     )

@@ -76,6 +76,17 @@ def test_simhash_against_brute_force(spark):
     assert simhash.near_duplicates(docs(spark).limit(0)).count() == 0
 
 
+def test_one_near_copy_stays(spark):
+    import corpus_pipeline
+
+    rng = random.Random(10)
+    text = lambda seed: " ".join(f"{seed}{rng.randrange(10**6)}" for _ in range(50))
+    a, b, c = text("a"), text("b"), text("c")
+    rows = docs(spark, (None, a), (None, a), (None, a.upper()), (4, b), (4, b.upper()), (None, b), (9, b), (7, c))
+    left = corpus_pipeline.near_duplicates(spark, rows, SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in left) == [(0, a), (4, b), (7, c)]
+
+
 def test_hot_bucket_is_cut_again():
     rng = np.random.default_rng(3)
     near = [5 ^ sum(1 << int(b) for b in set((rng.choice(32, 2, replace=False) + 32).tolist())) for _ in range(900)]
