@@ -145,7 +145,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, id: str = "item_id
     lists = index.filter(F.col("kind") == LISTS).drop("n_terms")
     hits = written(lists.join(small(wanted.select("term").distinct()), "term"), "query-lists")
     about = index.filter(F.col("kind") == DOCS).select("shard", "kind", "n_rows", "n_terms", "payload")
-    docs, total = about.agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
+    shards, docs, total = about.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_rows"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * docs + 2) / (2 * F.sum("n_rows") + 1))).cast("long")
     weights = written(hits.groupBy("term").agg(weight.alias("weight")).filter("weight > 0"), "query-weights")
     used = hits.join(small(weights.join(users, "term")), "term")
@@ -176,7 +176,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, id: str = "item_id
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table({"query": pa.array(columns[0], pa.int64()), "doc_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.int64())})
 
-    found = used.groupBy("shard", "part").applyInArrow(run, "query long, doc_id long, score long")
+    tasks = min(max(shards * parts // 2, 1), 100_000)  # a task has two shards or so, however many there are
+    found = used.repartition(tasks, "shard", "part").groupBy("shard", "part").applyInArrow(run, "query long, doc_id long, score long")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     top = found.withColumn("rank", rank).filter(F.col("rank") <= k)
     names = wanted.select("query", "query_id").distinct()
