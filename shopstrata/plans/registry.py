@@ -17,6 +17,7 @@ from shopstrata.sources import readers, retail
 from shopstrata.sources.retail import BROWSE, PAID, PURCHASE, REFUNDED, table
 from shopstrata.streaming import dedup, hops
 from shopstrata.streaming.dedup import expiring_state
+from shopstrata.streaming.incremental import SignedMetrics
 from shopstrata.streaming.keyed_table import KeyedTable
 from shopstrata.streaming.runs import run_hop, run_to_table
 
@@ -252,15 +253,17 @@ def traffic_minute_chain_stream(spark, d):
     return result.snapshot()
 
 
-def _payment_table(spark, path):
+def _signed_payments(spark, folder, names, minutes=False):
+    """Payment metrics kept up to date by signed changes, in new tables under `folder`."""
     columns = ["id", "order_id", "user_id", "payment_amount", "payment_status", "create_time"]
-    schema = StructType([PAYMENT_DETAIL[name] for name in columns] + [StructField("pay_date", DateType())])
-    return KeyedTable(spark, path, schema, ["id"], "pay_date")
+    schema = StructType([PAYMENT_DETAIL[name] for name in columns])
+    specs = {name: metrics.PAYMENT_DAY[name] for name in names}
+    return SignedMetrics(spark, folder, schema, ["id"], specs, F.col("payment_status") == "SUCCESS", minutes=minutes)
 
 
 @query
 def trade_minute_chain_stream(spark, d):
-    """Payment changes in batches that follow no time order, through the detail table into minutes.
+    """Payment changes in batches that follow no time order, as signed changes into minutes.
 
     Purchases are created pending and paid by an update in the batch after, clicks are created paid, views are created
     paid and deleted in the batch after by a record without values, all others stay pending.
@@ -290,22 +293,18 @@ def trade_minute_chain_stream(spark, d):
         "change.part",
     )
     folder = run_dir(spark, "trade-minute-chain")
-    detail = _payment_table(spark, f"{folder}/detail")
-    result = KeyedTable(spark, f"{folder}/minutes", MINUTE_METRIC, MINUTE_KEY, "metric_date")
-    checkpoints = f"{folder}/detail-checkpoint", f"{folder}/minute-checkpoint"
-    into_detail = hops.detail_hop(detail, checkpoints[0], time="create_time")
-    into_minutes = hops.minute_metric_hop(detail, result, checkpoints[1], metrics.trade_minute, F.col("create_time"))
+    signed = _signed_payments(spark, f"{folder}/signed", ["gmv", "payment_order_count"], minutes=True)
     arrived = log.drop("part")
     for part in range(3):
         log.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
-        run_hop(spark.readStream.schema(arrived.schema).parquet(f"{folder}/in"), into_detail, checkpoints[0])
-        run_hop(detail.stream(), into_minutes, checkpoints[1])
-    return result.snapshot()
+        changed = spark.readStream.schema(arrived.schema).parquet(f"{folder}/in")
+        run_hop(changed, signed.hop(f"{folder}/checkpoint"), f"{folder}/checkpoint")
+    return signed.closed()
 
 
 @query
 def trade_day_stream(spark, d):
-    """Payment changes as a stream into the detail table, and from there into daily metrics.
+    """Payment changes as a stream, as signed changes into daily metrics.
 
     Purchases are paid, clicks are paid a day after they are created, views are paid and then deleted.
     """
@@ -333,13 +332,9 @@ def trade_day_stream(spark, d):
         "id", "order_id", "user_id", "payment_amount", "change.row.*", "change.op", "change.seq", "change.before"
     )
     folder = run_dir(spark, "trade-day")
-    detail = _payment_table(spark, f"{folder}/detail")
-    result = KeyedTable(spark, f"{folder}/metrics", DAY_METRIC, DAY_KEY, "metric_date")
-    checkpoints = f"{folder}/detail-checkpoint", f"{folder}/metrics-checkpoint"
-    run_hop(log, hops.detail_hop(detail, checkpoints[0], time="create_time"), checkpoints[0])
-    recompute = hops.day_metric_hop(detail, result, checkpoints[1], metrics.payment_day, list(metrics.PAYMENT_DAY))
-    run_hop(detail.stream(), recompute, checkpoints[1])
-    return result.snapshot()
+    signed = _signed_payments(spark, f"{folder}/signed", list(metrics.PAYMENT_DAY))
+    run_hop(log.drop("before"), signed.hop(f"{folder}/checkpoint"), f"{folder}/checkpoint")
+    return signed.metrics()
 
 
 @query
