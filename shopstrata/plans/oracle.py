@@ -212,6 +212,22 @@ ORACLE: dict[str, str] = {
     "order_detail": f"""
         {_ROLES} SELECT order_id * 10 + l_linenumber AS id, order_id, sku_id,
                'sku ' || CAST(sku_id AS VARCHAR) AS sku_name, order_price, sku_num, create_time FROM line""",
+    "payment_log_stream": f"""
+        WITH p AS ({_PAYMENT})
+        SELECT id, order_id, user_id, payment_type, md5(CAST(id AS VARCHAR)) AS trade_no, payment_amount,
+               CASE payment_status WHEN 'P' THEN 'F' ELSE payment_status END AS payment_status,
+               CASE payment_status WHEN 'P' THEN create_time + INTERVAL 1 DAY ELSE create_time END AS create_time,
+               create_time + INTERVAL 1500 MILLISECOND AS callback_time
+        FROM p WHERE NOT (payment_status = 'F' AND payment_type = '5-LOW')""",
+    "refund_log_stream": f"""
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS user_id, l_orderkey AS order_id, l_partkey AS sku_id,
+               CAST(l_extendedprice AS DECIMAL(16,2)) AS refund_amount, 'R' AS refund_status, l_shipdate AS create_time
+        FROM ({_pick('ASC')}) line WHERE l_returnflag IN ('A', 'R')""",
+    "order_log_stream": f"""
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id, 'sku ' || CAST(l_partkey AS VARCHAR) AS sku_name,
+               CAST(CAST(l_extendedprice AS DECIMAL(16,2)) + CASE l_linenumber WHEN 6 THEN 1 ELSE 0 END AS DECIMAL(16,2)) AS order_price,
+               CAST(CAST(l_quantity AS BIGINT) + CASE l_linenumber WHEN 1 THEN 1 ELSE 0 END AS BIGINT) AS sku_num, l_shipdate AS create_time
+        FROM ({_pick('ASC')}) line""",
     "narrow_scan": """
         SELECT user_id AS uid, event_type AS action_id, strftime(ts, '%Y-%m-%d') AS biz_date,
                CAST(event_id AS VARCHAR) AS event_id FROM events""",

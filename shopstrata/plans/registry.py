@@ -5,21 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shopstrata.functions.event_keys import event_id
 from shopstrata.functions.times import biz_date, epoch_ms_to_local, local_to_epoch_ms
 from shopstrata.operators import changes, cleanse, metrics, quality, sequence
 from shopstrata.plans import marts, serving
-from shopstrata.schemas import DAY_KEY, DAY_METRIC, MINUTE_KEY, MINUTE_METRIC, PAYMENT_DETAIL, TRAFFIC_DETAIL
+from shopstrata.schemas import MINUTE_KEY, MINUTE_METRIC, ORDER_LINE, PAYMENT_DETAIL, REFUND_DETAIL, TRAFFIC_DETAIL
 from shopstrata.session import run_dir
 from shopstrata.sources import readers, retail
+from shopstrata.sources.change_log import read_change_log
 from shopstrata.sources.retail import BROWSE, PAID, PURCHASE, REFUNDED, table
 from shopstrata.streaming import dedup, hops
 from shopstrata.streaming.dedup import expiring_state
 from shopstrata.streaming.incremental import SignedMetrics
 from shopstrata.streaming.keyed_table import KeyedTable
-from shopstrata.streaming.runs import run_hop, run_to_table
+from shopstrata.streaming.runs import run_hop, run_to_table, start_hop, stop_hop, wait_for_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,6 +338,80 @@ def trade_day_stream(spark, d):
     return signed.metrics()
 
 
+# A snapshot, then its change log.
+
+
+def _from_log(spark, detail, as_of, current, later, purpose, prepare, stopped=False):
+    """Detail rows from a table's snapshot and log, read to the end; or two files at a time, stopped on the way and resumed.
+
+    `current` is the table as of number `as_of`, `later` its changes above. The log also repeats the creation of every
+    row of the snapshot, which the stream has to leave out.
+    """
+    folder = run_dir(spark, purpose)
+    current.repartition(4).write.parquet(f"{folder}/in/snapshot")
+    created = current.select(F.lit("c").alias("op"), F.pmod(F.xxhash64("id"), F.lit(as_of)).alias("seq"), *current.columns)
+    log = created.unionByName(later.select(created.columns))
+    log.repartitionByRange(4, "seq").sortWithinPartitions("seq").write.parquet(f"{folder}/in/log")
+    table = KeyedTable(spark, f"{folder}/table", StructType([*detail, StructField("bucket", IntegerType())]), ["id"], "bucket")
+    write = hops.keyed_detail_hop(table, f"{folder}/checkpoint", prepare)
+    if stopped:
+        stream = read_change_log(spark, f"{folder}/in", current.schema, as_of, files_per_batch=2, progress=f"{folder}/progress")
+        started = start_hop(stream, write, f"{folder}/checkpoint", follow="0 seconds")
+        wait_for_batches(started, 2)
+        stop_hop(started, spark)
+    run_hop(read_change_log(spark, f"{folder}/in", current.schema, as_of), write, f"{folder}/checkpoint")
+    return table.snapshot().drop("bucket")
+
+
+AS_OF = 1_000_000
+
+
+def _unique_lines(spark, d):
+    """One row for each line number of an order, of which the test table repeats some."""
+    return cleanse.dedup_earliest(table(spark, d, "lineitem"), LINE_KEY, LINE_ORDER)
+
+
+def _later(current, op, number, where, **new):
+    """Changes above the snapshot's number, one of each row that `where` picks."""
+    seq = F.lit(AS_OF) + F.lit(number) * F.lit(10**10) + F.col("id")
+    changed = current.filter(where).withColumns({name: column.cast(current.schema[name].dataType) for name, column in new.items()})
+    return changed.select(F.lit(op).alias("op"), seq.cast("bigint").alias("seq"), *current.columns)
+
+
+@query
+def payment_log_stream(spark, d):
+    """Payments as of a number; then open ones are paid a day later, and low-priority paid ones are deleted."""
+    names = ["id", "order_id", "user_id", "payment_type", "payment_amount", "payment_status", "create_time"]
+    paid = _payments(spark, d).select(*names[:4], F.md5(F.col("id").cast("string")).alias("trade_no"), *names[4:])
+    current = paid.withColumn("callback_time", F.col("create_time") + F.expr("INTERVAL '1.5' SECOND"))
+    later = _later(current, "u", 1, F.col("payment_status") == "P", payment_status=F.lit(PAID), create_time=F.col("create_time") + F.expr("INTERVAL 1 DAY"))
+    gone = _later(current, "d", 2, (F.col("payment_status") == PAID) & (F.col("payment_type") == "5-LOW"))
+    return _from_log(spark, PAYMENT_DETAIL, AS_OF, current, later.unionByName(gone), "payment-log", cleanse.payment_detail, stopped=True)
+
+
+@query
+def refund_log_stream(spark, d):
+    """Refunds as of a number; then those asked for are granted."""
+    lines = _unique_lines(spark, d)
+    own = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    current = retail.refunds(lines, own.alias("id"), F.col("l_suppkey").alias("user_id")).filter(F.col("refund_status") != "N")
+    later = _later(current, "u", 1, F.col("refund_status") == "A", refund_status=F.lit(REFUNDED))
+    return _from_log(spark, REFUND_DETAIL, AS_OF, current, later, "refund-log", cleanse.refund_detail)
+
+
+@query
+def order_log_stream(spark, d):
+    """Order lines as of a number; then every first line has one piece more, every sixth line is deleted and comes back a unit dearer."""
+    lines = retail.order_lines(_unique_lines(spark, d))
+    current = lines.withColumn("id", F.col("order_id") * 10 + F.col("line_number")).drop("line_number")
+    current = current.withColumn("sku_name", F.concat(F.lit("sku "), F.col("sku_id").cast("string")))
+    number = F.col("id") % 10
+    more = _later(current, "u", 1, number == 1, sku_num=F.col("sku_num") + 1)
+    gone = _later(current, "d", 1, number == 6)
+    back = _later(current, "c", 2, number == 6, order_price=F.col("order_price") + 1)
+    return _from_log(spark, ORDER_LINE, AS_OF, current, more.unionByName(gone).unionByName(back), "order-log", cleanse.order_detail)
+
+
 @query
 def default_dimension(spark, d):
     keyed = _payments(spark, d).withColumn("priority", F.nullif(F.col("payment_type"), F.lit("4-NOT SPECIFIED")))

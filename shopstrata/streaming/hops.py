@@ -49,6 +49,21 @@ def detail_hop(
     return write
 
 
+def keyed_detail_hop(
+    table: KeyedTable, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda changes: changes, buckets: int = 8
+) -> WriteBatch:
+    """Write change rows to a detail table that lies in folders by a hash of its key, its column `bucket`.
+
+    A key never leaves its folder, so no change needs an old image or a look at the table, whatever it changes.
+    """
+    bucket = F.pmod(F.xxhash64(*table.keys), F.lit(buckets)).cast("int")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write(prepare(batch).withColumn(table.day, bucket), batch_label("keyed", checkpoint, batch_id))
+
+    return write
+
+
 def day_metric_hop(
     detail: KeyedTable,
     result: KeyedTable,
