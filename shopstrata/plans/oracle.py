@@ -212,6 +212,11 @@ ORACLE: dict[str, str] = {
     "order_detail": f"""
         {_ROLES} SELECT order_id * 10 + l_linenumber AS id, order_id, sku_id,
                'sku ' || CAST(sku_id AS VARCHAR) AS sku_name, order_price, sku_num, create_time FROM line""",
+    "gmv_province_stream": f"{_ROLES} {_GMV_NATION}",
+    "order_amount_category_stream": f"""
+        SELECT CAST(l_shipdate AS DATE) AS metric_date, 'order_amount_category' AS metric_name, p_type AS dimension_key,
+               {_metric("SUM(CAST(l_extendedprice AS DECIMAL(16,2)) * (CAST(l_quantity AS BIGINT) + CASE l_linenumber WHEN 1 THEN 1 ELSE 0 END))")} AS metric_value
+        FROM ({_pick('ASC')}) line JOIN part ON p_partkey = l_partkey WHERE l_linenumber <> 6 GROUP BY 1, 3""",
     "payment_log_stream": f"""
         WITH p AS ({_PAYMENT})
         SELECT id, order_id, user_id, payment_type, md5(CAST(id AS VARCHAR)) AS trade_no, payment_amount,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from shopstrata.functions.event_keys import event_id
 from shopstrata.functions.times import biz_date, epoch_ms_to_local, local_to_epoch_ms
@@ -18,6 +18,7 @@ from shopstrata.sources.change_log import read_change_log
 from shopstrata.sources.retail import BROWSE, PAID, PURCHASE, REFUNDED, table
 from shopstrata.streaming import dedup, hops
 from shopstrata.streaming.dedup import expiring_state
+from shopstrata.streaming.dimensions import KeyCache, looked_up
 from shopstrata.streaming.incremental import SignedMetrics
 from shopstrata.streaming.keyed_table import KeyedTable
 from shopstrata.streaming.runs import run_hop, run_to_table, start_hop, stop_hop, wait_for_batches
@@ -338,6 +339,57 @@ def trade_day_stream(spark, d):
     return signed.metrics()
 
 
+# Breakdowns of a stream, through cached lookups.
+
+
+def _broken_down(spark, batches, schema, spec, where, dimension, caches, purpose):
+    """A metric by a looked-up name, kept up to date by the change rows of each of `batches`."""
+    folder = run_dir(spark, purpose)
+    columns = StructType([*schema, StructField(dimension, StringType())])
+    signed = SignedMetrics(spark, f"{folder}/signed", columns, ["id"], spec, where, dimension=dimension)
+    lookups = [(on, KeyCache(spark, f"{folder}/{on}", read, names)) for on, read, names in caches]
+    write = signed.hop(f"{folder}/checkpoint", lambda rows: looked_up(rows, lookups).withColumnRenamed("name", dimension))
+    for batch in batches:
+        batch.write.mode("append").parquet(f"{folder}/in")
+        run_hop(spark.readStream.schema(batch.schema).parquet(f"{folder}/in"), write, f"{folder}/checkpoint")
+    return signed.metrics()
+
+
+def _change(rows, op, seq):
+    return rows.select("*", F.lit(op).alias("op"), F.lit(seq).cast("bigint").alias("seq"))
+
+
+@query
+def gmv_province_stream(spark, d):
+    """Every payment arrives as paid; a second batch gives each its stored status, which takes many back."""
+    stored = _payments(spark, d).select("id", "user_id", "payment_amount", "payment_status", "create_time")
+    first = _change(stored.withColumn("payment_status", F.lit(PAID)), "c", 1)
+    second = _change(stored.filter(F.col("payment_status") != PAID), "u", 2)
+    caches = [("user_id", lambda: _users(spark, d), ["province_id"]), ("province_id", lambda: _provinces(spark, d), ["name"])]
+    spec = {"gmv_province": metrics.total("payment_amount")}
+    return _broken_down(spark, [first, second], stored.schema, spec, F.col("payment_status") == PAID, "province", caches, "gmv-province")
+
+
+@query
+def order_amount_category_stream(spark, d):
+    """Order lines arrive; a second batch adds a piece to every first line and deletes every sixth."""
+    lines = retail.order_lines(_unique_lines(spark, d))
+    stored = lines.select(
+        (F.col("order_id") * 10 + F.col("line_number")).alias("id"), "sku_id", "create_time", "order_price", "sku_num",
+        (F.col("order_price") * F.col("sku_num")).cast("decimal(18,2)").alias("line_amount"),
+    )
+    number, more = F.col("id") % 10, F.col("line_amount") + F.col("order_price")
+    added = _change(stored.filter(number == 1).withColumn("line_amount", more.cast("decimal(18,2)")), "u", 2)
+    second = added.unionByName(_change(stored.filter(number == 6), "d", 2))
+    caches = [
+        ("sku_id", lambda: _skus(spark, d), ["category_id"]),
+        ("category_id", lambda: _categories(spark, d), ["name"]),
+    ]
+    spec, kept = {"order_amount_category": metrics.total("line_amount")}, ["id", "sku_id", "create_time", "line_amount"]
+    schema = StructType([stored.schema[name] for name in kept])
+    return _broken_down(spark, [_change(stored, "c", 1), second], schema, spec, F.lit(True), "category", caches, "order-amount-category")
+
+
 # A snapshot, then its change log.
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from shopstrata.operators import retraction
 from shopstrata.operators.cleanse import latest_per_key
@@ -30,7 +30,9 @@ class SignedMetrics:
     and keys it touches alone; of the metrics it reads the days it touches. Every table is written under the label of the batch
     and read without it, so repeating a batch changes nothing, and nor does a change that comes again in a later batch.
 
-    `where` picks the rows that count, `time` is the column that dates them.
+    `where` picks the rows that count, `time` is the column that dates them. `dimension` is a column to break the metrics down by; a row
+    without it counts nowhere. It is kept with the row, so what is taken back later is what was counted, even
+    if a lookup would give another value by then.
     """
 
     def __init__(
@@ -43,6 +45,7 @@ class SignedMetrics:
         where: Column | str,
         time: str = "create_time",
         minutes: bool = False,
+        dimension: str | None = None,
         buckets: int = 8,
     ):
         self.specs, self.where, self.time, self.keys, self.buckets = dict(specs), where, time, list(keys), buckets
@@ -50,6 +53,8 @@ class SignedMetrics:
         self.groups = {"metric_date": F.to_date(time)}
         if minutes:
             self.groups["window_start"] = F.window(time, "1 minute").getField("start")
+        if dimension is not None:
+            self.groups["dimension_key"] = F.col(dimension)
         value_key = [*self.groups, "metric_name", "value"]
         metric, metric_key = (MINUTE_METRIC, MINUTE_KEY) if minutes else (DAY_METRIC, DAY_KEY)
         group_fields = [metric[name] for name in self.groups]
@@ -99,34 +104,45 @@ class SignedMetrics:
         signed = retraction.counted(retraction.weighted(net), self.groups, self.where)
         moves = retraction.total_changes(signed, groups, self.specs).persist()
         deltas = retraction.value_changes(signed, groups, self.specs).withColumn(BUCKET, self._bucket(self.values.keys)).persist()
+        distinct = any(spec.kind == "distinct" for spec in self.specs.values())
+        of_days = moves.select("metric_date", self._bucket(["metric_date"]).alias("_of_day"))
+        places = of_days.unionByName(deltas.select(BUCKET), allowMissingColumns=True) if distinct else of_days.withColumn(BUCKET, F.lit(None))
+        side_by_side = inheritable_thread_target(net.sparkSession)
         with ThreadPoolExecutor(2) as pool:  # the tables are written side by side, as none reads another
-            jobs = [pool.submit(inheritable_thread_target(net.sparkSession)(self.rows.write), rows, label)]
-            place = F.struct("metric_date", self._bucket(["metric_date"]).alias("of_date"))
-            places = moves.select(place.alias("day"), F.lit(None).alias(BUCKET)).unionByName(deltas.select(F.lit(None).alias("day"), BUCKET))
-            days, buckets = places.agg(F.collect_set("day"), F.collect_set(BUCKET)).first()  # the touched days and folders
-            steps = retraction.stepped(deltas, self._known(self.values, deltas, buckets, label), self.values.keys).persist()
-            values = steps.withColumn("op", F.when(F.col("n") == 0, "d").otherwise("u"))
-            jobs.append(pool.submit(inheritable_thread_target(net.sparkSession)(self.values.write), values, label))
-            counts = steps.filter("step <> 0").select(
-                *keys, F.lit(0).cast("bigint").alias("n_rows"), F.col("step").cast("decimal(18,2)").alias("metric_value")
-            )
-            summed = moves.unionByName(counts).groupBy(*keys).agg(F.sum("metric_value").alias("_change"), F.sum("n_rows").alias("_rows"))
-            self.totals.write(self._added(summed.filter("_change <> 0 OR _rows <> 0"), days, label), label)
+            jobs = [pool.submit(side_by_side(self.rows.write), rows, label)]
+            touched = places.agg(  # bounds and folders
+                F.min("metric_date").alias("first_day"),
+                F.max("metric_date").alias("last_day"),
+                F.collect_set("_of_day").alias("of_days"),
+                F.collect_set(BUCKET).alias("of_values"),
+            ).first()
+            summed, steps = moves, None
+            if distinct:
+                steps = retraction.stepped(deltas, self._known(self.values, deltas, touched.of_values, label), self.values.keys).persist()
+                values = steps.withColumn("op", F.when(F.col("n") == 0, "d").otherwise("u"))
+                jobs.append(pool.submit(side_by_side(self.values.write), values, label))
+                counts = steps.filter("step <> 0").select(
+                    *keys, F.lit(0).cast("bigint").alias("n_rows"), F.col("step").cast("decimal(18,2)").alias("metric_value")
+                )
+                summed = moves.unionByName(counts)
+            summed = summed.groupBy(*keys).agg(F.sum("metric_value").alias("_change"), F.sum("n_rows").alias("_rows"))
+            self.totals.write(self._added(summed.filter("_change <> 0 OR _rows <> 0"), touched, label), label)
             for job in jobs:
                 job.result()
         for frame in (moves, deltas, steps):
-            frame.unpersist()
+            if frame is not None:
+                frame.unpersist()
 
-    def _added(self, summed: DataFrame, days: list, label: str) -> DataFrame:
-        """The metrics of the touched days with their changes; one without rows is deleted."""
+    def _added(self, summed: DataFrame, touched: Row, label: str) -> DataFrame:
+        """The changed metrics with their changes; one without rows is deleted. Read are the folders and the span of the touched days."""
         keys = [*self.groups, "metric_name"]
-        touched = F.col("metric_date").isin([day.metric_date for day in days]) & F.col(BUCKET).isin([day.of_date for day in days])
-        known = self.totals.latest(touched, without_batch=label)
+        near = F.col(BUCKET).isin(touched.of_days) & F.col("metric_date").between(F.lit(touched.first_day), F.lit(touched.last_day))
+        known = self.totals.latest(near, without_batch=label)
         known = known.select(*keys, "metric_value", "n_rows", F.col("seq").alias("_seq"))
         rows = F.col("_rows") + F.coalesce("n_rows", F.lit(0))
         return summed.join(known, keys, "left").select(
             *keys,
-            F.lit(ALL).alias("dimension_key"),
+            *([] if "dimension_key" in keys else [F.lit(ALL).alias("dimension_key")]),
             (F.col("_change") + F.coalesce("metric_value", F.lit(0))).cast("decimal(18,2)").alias("metric_value"),
             rows.alias("n_rows"),
             self._bucket(["metric_date"]),
