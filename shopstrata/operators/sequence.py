@@ -80,3 +80,22 @@ def time_order_check(df: DataFrame, arrival: str, time: str, chunk: int = 1_000_
         F.count_if(F.coalesce(steps_back, F.lit(False))).alias("steps_back"),
         F.count_if(F.coalesce(behind, F.lit(False))).alias("behind"),
     )
+
+
+def sequence_gaps(df: DataFrame, seq: str, first: int = 0, chunk: int = 1_000_000) -> DataFrame:
+    """The runs of whole numbers from `first` on that `seq` lacks before its last one: `lost_from`, `lost_to`, `lost`.
+
+    A run that begins at `first` is a lost head, any other an inner gap; numbers after the last cannot be told from ones never
+    written. Repeats of a number do not count, nor do numbers before `first`. Rows are windowed in chunks of the
+    range; one row a chunk carries the last number across chunk borders.
+    """
+    numbers = df.select(F.col(seq).cast("bigint").alias("_seq")).filter(F.col("_seq") >= first)
+    chunks = numbers.withColumn("_chunk", F.floor((F.col("_seq") - first) / F.lit(chunk)))
+    before = F.lag("_seq").over(W.partitionBy("_chunk").orderBy("_seq"))
+    ends = chunks.groupBy("_chunk").agg(F.max("_seq").alias("_last"))
+    carried = ends.select("_chunk", F.lag("_last").over(W.orderBy("_chunk")).alias("_carried"))
+    rows = chunks.withColumn("_before", before).join(carried, "_chunk")
+    previous = F.coalesce("_before", "_carried", F.lit(first - 1))
+    found = rows.select((previous + 1).alias("lost_from"), (F.col("_seq") - 1).alias("lost_to"))
+    found = found.filter("lost_to >= lost_from")
+    return found.select("*", (F.col("lost_to") - F.col("lost_from") + 1).alias("lost"))

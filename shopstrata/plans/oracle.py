@@ -212,6 +212,39 @@ ORACLE: dict[str, str] = {
     "order_detail": f"""
         {_ROLES} SELECT order_id * 10 + l_linenumber AS id, order_id, sku_id,
                'sku ' || CAST(sku_id AS VARCHAR) AS sku_name, order_price, sku_num, create_time FROM line""",
+    "copy_manifest_check": _union(
+        *[f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, COUNT(*) AS expected, 0 AS bad_files, TRUE AS ok FROM {name}" for name in _KEYS]
+    ),
+    "late_rows_stream": """
+        WITH batches AS (SELECT event_id % 3 AS batch_id, ts FROM events),
+        latest AS (SELECT batch_id, MAX(ts) AS latest, COUNT(*) AS n_rows FROM batches GROUP BY batch_id),
+        marks AS (SELECT batch_id, MAX(latest) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM latest)
+        SELECT batch_id, n_rows, latest,
+               COUNT(*) FILTER (date_trunc('minute', ts) + INTERVAL 1 MINUTE <= mark - INTERVAL 5 SECOND) AS late_rows
+        FROM batches JOIN latest USING (batch_id) JOIN marks USING (batch_id) GROUP BY batch_id, n_rows, latest""",
+    "sequence_gaps": """
+        SELECT lost_from, lost_to, lost_to - lost_from + 1 AS lost FROM (
+            SELECT coalesce(LAG(event_id) OVER (ORDER BY event_id), -1) + 1 AS lost_from, event_id - 1 AS lost_to
+            FROM events WHERE event_type = 'purchase'
+        ) g WHERE lost_to >= lost_from""",
+    "uv_from_minutes": f"""
+        SELECT CAST(ts AS DATE) AS metric_date, 'day_uv' AS metric_name, 'ALL' AS dimension_key,
+               {_metric('COUNT(DISTINCT user_id)')} AS metric_value
+        FROM events WHERE event_type = 'view' GROUP BY 1""",
+    "flow_funnel_stages": f"""
+        WITH days AS (
+            SELECT CAST(ts AS DATE) AS dt, COUNT(DISTINCT user_id) FILTER (WHERE event_type = 'signup') AS a,
+                   COUNT(DISTINCT user_id) FILTER (WHERE event_type = 'view') AS b,
+                   COUNT(DISTINCT user_id) FILTER (WHERE event_type = 'click') AS c,
+                   COUNT(DISTINCT user_id) FILTER (WHERE event_type = 'error') AS k,
+                   COUNT(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS o,
+                   COUNT(DISTINCT user_id) FILTER (WHERE event_type = 'purchase' AND event_id % 2 = 0) AS p
+            FROM events GROUP BY 1
+        )
+        SELECT dt, a AS launch_users, b AS browse_users, c AS click_users, k AS add_cart_users, o AS order_users, p AS pay_users,
+               {_ratio('c', 'b', 4)} AS click_rate, {_ratio('k', 'c', 4)} AS add_cart_rate, {_ratio('o', 'k', 4)} AS order_rate,
+               {_ratio('p', 'o', 4)} AS pay_rate
+        FROM days""",
     "gmv_province_stream": f"{_ROLES} {_GMV_NATION}",
     "order_amount_category_stream": f"""
         SELECT CAST(l_shipdate AS DATE) AS metric_date, 'order_amount_category' AS metric_name, p_type AS dimension_key,
@@ -516,3 +549,6 @@ ORACLE: dict[str, str] = {
                COUNT(*) AS detail_rows
         FROM line l JOIN part ON sku_id = p_partkey GROUP BY l.dt, p_type ORDER BY 3 DESC, 1, 2""",
 }
+
+ORACLE["stored_replay_hash"] = ORACLE["replay_hash"]
+ORACLE["ordered_replay_stream"] = ORACLE["trade_minute_stream"]

@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from shopstrata.functions.event_keys import event_id
 from shopstrata.functions.times import biz_date, epoch_ms_to_local, local_to_epoch_ms
-from shopstrata.operators import changes, cleanse, metrics, quality, sequence
+from shopstrata.operators import bitmaps, changes, cleanse, metrics, quality, sequence
 from shopstrata.plans import marts, serving
 from shopstrata.schemas import MINUTE_KEY, MINUTE_METRIC, ORDER_LINE, PAYMENT_DETAIL, REFUND_DETAIL, TRAFFIC_DETAIL
 from shopstrata.session import run_dir
-from shopstrata.sources import readers, retail
+from shopstrata.sources import manifest, readers, retail
 from shopstrata.sources.change_log import read_change_log
 from shopstrata.sources.retail import BROWSE, PAID, PURCHASE, REFUNDED, table
-from shopstrata.streaming import dedup, hops
+from shopstrata.streaming import dedup, hops, replay
 from shopstrata.streaming.dedup import expiring_state
 from shopstrata.streaming.dimensions import KeyCache, looked_up
 from shopstrata.streaming.incremental import SignedMetrics
@@ -339,6 +339,33 @@ def trade_day_stream(spark, d):
     return signed.metrics()
 
 
+# Time order.
+
+
+@query
+def ordered_replay_stream(spark, d):
+    """Purchases in no order, sorted into numbered files and sent file by file: no minute is lost."""
+    bought = retail.purchases(_events(spark, d).filter(F.col("event_type") == PURCHASE)).repartition(4, "user_id")
+    folder = run_dir(spark, "ordered-replay")
+    schema = replay.write_in_order(bought, ["id"], ["create_time"], ["create_time", "id"], folder, 4)
+    ordered = replay.read_in_order(spark, folder, schema, f"{folder}/progress", files_per_batch=2)
+    minutes, _ = replay.run_batches_to_table(metrics.trade_minute(ordered, PURCHASE), "ordered-minutes")
+    return minutes
+
+
+@query
+def late_rows_stream(spark, d):
+    """Events in three batches by their number: the rows of each that come behind the minutes closed by those before."""
+    folder = run_dir(spark, "late-rows")
+    events = _events(spark, d).select("event_id", "ts")
+    found = replay.late_table(spark, f"{folder}/late")
+    write = replay.late_rows_hop(found, f"{folder}/checkpoint", "ts")
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{folder}/in")
+        run_hop(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), write, f"{folder}/checkpoint")
+    return found.snapshot().drop("part")
+
+
 # Breakdowns of a stream, through cached lookups.
 
 
@@ -557,8 +584,8 @@ def row_count_audit(spark, d):
 def manifest_check(spark, d):
     tables = {name: table(spark, d, name) for name in AUDITED}
     per_key = [quality.key_completeness(name, tables[name], key) for name, key in AUDITED.items()]
-    manifest = quality.union_checks(*per_key).select("table_name", F.col("key_count").alias("expected"))
-    return quality.manifest_check(tables, manifest)
+    expected = quality.union_checks(*per_key).select("table_name", F.col("key_count").alias("expected"))
+    return quality.manifest_check(tables, expected)
 
 
 @query
@@ -692,6 +719,69 @@ def replay_hash(spark, d):
     return hashes[0].unionByName(hashes[1])
 
 
+@query
+def copy_manifest_check(spark, d):
+    """Each table's copy, its rows and key range counted file by file, against the manifest taken from the footers when it was written."""
+    folder, checks = run_dir(spark, "copies"), []
+    for name, key in AUDITED.items():
+        copy = f"{folder}/{name}"
+        table(spark, d, name).write.parquet(copy)
+        noted = manifest.file_manifest(spark, copy, key[0])
+        noted.coalesce(1).write.parquet(f"{folder}/manifests/{name}")
+        kept = spark.read.schema(manifest.SCHEMA).parquet(f"{folder}/manifests/{name}")
+        checks.append(manifest.audit(name, spark.read.parquet(copy), key[0], kept))
+    return quality.union_checks(*checks)
+
+
+@query
+def stored_replay_hash(spark, d):
+    """Two runs of the payments' changes into tables of their own: one straight through, one a file at a time, stopped, resumed and
+    sent the paid ones again. The hashes are those of the stored tables."""
+    folder = run_dir(spark, "replays")
+    log = _change(_payments(spark, d).drop("payment_type"), "c", 1)
+    for k in range(2):
+        log.repartition(2, "id").write.parquet(f"{folder}/in-{k}")
+
+    def run(k, stopped):
+        checkpoint = f"{folder}/checkpoint-{k}"
+        schema = StructType([*log.drop("op", "seq").schema, StructField("bucket", IntegerType())])
+        stored = KeyedTable(spark, f"{folder}/table-{k}", schema, ["id"], "bucket")
+        write = hops.keyed_detail_hop(stored, checkpoint)
+        reader = spark.readStream.schema(log.schema)
+        if stopped:
+            started = start_hop(reader.option("maxFilesPerTrigger", 1).parquet(f"{folder}/in-{k}"), write, checkpoint, follow="0 seconds")
+            wait_for_batches(started, 1)
+            stop_hop(started, spark)
+            log.filter(F.col("payment_status") == PAID).write.mode("append").parquet(f"{folder}/in-{k}")
+        run_hop(reader.parquet(f"{folder}/in-{k}"), write, checkpoint)
+        return quality.content_hash(stored.snapshot().drop("bucket")).withColumn("run", F.lit(k + 1))
+
+    return run(0, stopped=False).unionByName(run(1, stopped=True))
+
+
+@query
+def sequence_gaps(spark, d):
+    """The event ids that are not purchases, as runs between those that are: a lost head and inner gaps of their numbers."""
+    return sequence.sequence_gaps(_events(spark, d).filter(F.col("event_type") == PURCHASE), "event_id")
+
+
+@query
+def uv_from_minutes(spark, d):
+    """Daily visitors merged from minutes. Every third event comes late, and the minutes it touches replace what was stored."""
+    browsed = _traffic(spark, d).filter(F.col("action_id") == BROWSE)
+    minute = F.window(epoch_ms_to_local(F.col("event_time_ms")), "1 minute").getField("start")
+    browsed = browsed.select("uid", F.col("event_id").cast("bigint").alias("number"), F.col("biz_date").alias("metric_date"), minute.alias("window_start"))
+    late = F.col("number") % 3 == 0
+    keys = ["metric_date", "window_start"]
+    schema = StructType([*MINUTE_METRIC.fields[:2], StructField(bitmaps.PART, LongType()), StructField(bitmaps.SET, BinaryType())])
+    stored = KeyedTable(spark, f"{run_dir(spark, 'uv-minutes')}/minutes", schema, [*keys, bitmaps.PART], "metric_date")
+    touched = browsed.filter(late).select(*keys).distinct()
+    for seq, rows in enumerate([browsed.filter(~late), browsed.join(touched, keys, "left_semi")], 1):
+        sets = bitmaps.id_sets(rows, keys, "uid")
+        stored.write(sets.select("*", F.lit("u").alias("op"), F.lit(seq).cast("bigint").alias("seq")), f"batch-{seq}")
+    return bitmaps.set_sizes(bitmaps.merged(stored.snapshot(), ["metric_date"]), ["metric_date"], "day_uv")
+
+
 # Marts.
 
 
@@ -732,6 +822,18 @@ def flow_funnel(spark, d):
     return marts.flow_funnel(_traffic(spark, d), stages, rates)
 
 
+@query
+def flow_funnel_stages(spark, d):
+    """The funnel in all its stages: an error plays the cart, every purchase is an order, one with an even number is paid."""
+    kind = F.col("action_id")
+    paid = F.when(F.col("event_id").cast("bigint") % 2 == 0, F.array(F.lit("order"), F.lit("pay"))).otherwise(F.array(F.lit("order")))
+    plays = {"signup": "launch", "view": "browse", "click": "click", "error": "add_cart"}
+    actions = F.when(kind == PURCHASE, paid)
+    for stored, stage in plays.items():
+        actions = actions.when(kind == stored, F.array(F.lit(stage)))
+    return marts.flow_funnel(_traffic(spark, d).withColumn("action_id", F.explode(actions)))
+
+
 @query
 def user_retention(spark, d):
     return marts.user_retention(_traffic(spark, d))
