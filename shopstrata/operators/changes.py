@@ -39,6 +39,23 @@ def upsert(
     return joined.select(*[value(name) for name in target.columns])
 
 
+def merge_partial(log: DataFrame, keys: Sequence[str], columns: Sequence[str], mask: str = "mask", seq: str = "seq") -> DataFrame:
+    """The rows a log of partial upserts leaves behind: merged on read, without a join of the target.
+
+    The first row of a key by `seq` inserts it whole. A later one sets only the columns named in its `mask`, an array, to null
+    if it holds null; for each column the last row that sets it counts. Rows are reduced in the map tasks first.
+    """
+    inserted = F.min_by(F.struct(*columns), seq).alias("_first")
+    sets = [F.max_by(F.struct(F.col(name).alias("v")), F.when(F.array_contains(mask, name), F.col(seq))).alias(f"_set_{name}") for name in columns]
+    merged = log.groupBy(*keys).agg(inserted, *sets)
+
+    def value(name: str):
+        put = F.col(f"_set_{name}")
+        return F.when(put.isNotNull(), put["v"]).otherwise(F.col(f"_first.{name}")).alias(name)
+
+    return merged.select(*keys, *[value(name) for name in columns])
+
+
 def update_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Overwrite the columns of `updates` on matching keys; unmatched updates do nothing."""
     changed = [name for name in updates.columns if name not in keys]

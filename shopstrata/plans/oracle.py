@@ -222,6 +222,23 @@ ORACLE: dict[str, str] = {
         SELECT batch_id, n_rows, latest,
                COUNT(*) FILTER (date_trunc('minute', ts) + INTERVAL 1 MINUTE <= mark - INTERVAL 5 SECOND) AS late_rows
         FROM batches JOIN latest USING (batch_id) JOIN marks USING (batch_id) GROUP BY batch_id, n_rows, latest""",
+    "publish_stream": f"""
+        {_ROLES}, counted AS (
+            SELECT dt, SUM(payment_amount) FILTER (WHERE user_id % 100 <> 0) AS a2, COUNT(DISTINCT id) FILTER (WHERE user_id % 100 <> 0) AS b2,
+                   COUNT(DISTINCT user_id) FILTER (WHERE user_id % 100 <> 0) AS c2,
+                   SUM(payment_amount) AS a1, COUNT(DISTINCT id) AS b1, COUNT(DISTINCT user_id) AS c1
+            FROM (SELECT event_id AS id, user_id, CAST(value AS DECIMAL(16,2)) AS payment_amount, CAST(ts AS DATE) AS dt
+                  FROM events WHERE event_type = 'purchase') e GROUP BY dt
+        )
+        SELECT dt AS metric_date, 'gmv' AS metric_name, 'ALL' AS dimension_key, {_metric('a2')} AS metric_value, a1 <> a2 AS rewritten FROM counted WHERE b2 > 0
+        UNION ALL SELECT dt, 'payment_order_count', 'ALL', {_metric('b2')}, b1 <> b2 FROM counted WHERE b2 > 0
+        UNION ALL SELECT dt, 'payment_user_count', 'ALL', {_metric('c2')}, c1 <> c2 FROM counted WHERE b2 > 0""",
+    "upsert_partial_log": f"""
+        WITH p AS ({_PAYMENT})
+        SELECT id, CASE payment_status WHEN 'F' THEN 'F' ELSE 'PAID' END AS payment_status,
+               CAST(payment_amount + CASE payment_status WHEN 'F' THEN 0 ELSE 1 END AS DECIMAL(16,2)) AS payment_amount,
+               CASE payment_status WHEN 'F' THEN create_time WHEN 'O' THEN create_time + INTERVAL 1 DAY ELSE create_time + INTERVAL 2 DAY END AS create_time
+        FROM p WHERE payment_status IN ('F', 'O', 'P')""",
     "sequence_gaps": """
         SELECT lost_from, lost_to, lost_to - lost_from + 1 AS lost FROM (
             SELECT coalesce(LAG(event_id) OVER (ORDER BY event_id), -1) + 1 AS lost_from, event_id - 1 AS lost_to
@@ -552,3 +569,4 @@ ORACLE: dict[str, str] = {
 
 ORACLE["stored_replay_hash"] = ORACLE["replay_hash"]
 ORACLE["ordered_replay_stream"] = ORACLE["trade_minute_stream"]
+ORACLE["watermark_dedup_stream"] = ORACLE["ttl_dedup"]

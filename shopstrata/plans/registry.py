@@ -11,7 +11,7 @@ from shopstrata.functions.event_keys import event_id
 from shopstrata.functions.times import biz_date, epoch_ms_to_local, local_to_epoch_ms
 from shopstrata.operators import bitmaps, changes, cleanse, metrics, quality, sequence
 from shopstrata.plans import marts, serving
-from shopstrata.schemas import MINUTE_KEY, MINUTE_METRIC, ORDER_LINE, PAYMENT_DETAIL, REFUND_DETAIL, TRAFFIC_DETAIL
+from shopstrata.schemas import DAY_KEY, DAY_METRIC, KEYED_TABLES, MINUTE_KEY, MINUTE_METRIC, ORDER_LINE, PAYMENT_DETAIL, REFUND_DETAIL, TRAFFIC_DETAIL
 from shopstrata.session import run_dir
 from shopstrata.sources import manifest, readers, retail
 from shopstrata.sources.change_log import read_change_log
@@ -20,7 +20,7 @@ from shopstrata.streaming import dedup, hops, replay
 from shopstrata.streaming.dedup import expiring_state
 from shopstrata.streaming.dimensions import KeyCache, looked_up
 from shopstrata.streaming.incremental import SignedMetrics
-from shopstrata.streaming.keyed_table import KeyedTable
+from shopstrata.streaming.keyed_table import KeyedTable, touched_days
 from shopstrata.streaming.runs import run_hop, run_to_table, start_hop, stop_hop, wait_for_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +229,15 @@ def ttl_dedup(spark, d):
     return changes.apply_changes(emitted, ["event_id", "biz_date"])
 
 
+@query
+def watermark_dedup_stream(spark, d):
+    """Repeated events through state that expires with event time, in the JVM."""
+    flat = cleanse.flatten_events(_repeated(retail.nested_events(retail.table_stream(spark, d, "events"))))
+    timed = flat.withColumn("event_time", F.timestamp_millis("event_time_ms"))
+    emitted = run_to_table(dedup.watermark_dedup(timed, "event_time"), "watermark-dedup")
+    return changes.apply_changes(emitted, ["event_id"])
+
+
 @query
 def traffic_detail_stream(spark, d):
     """Repeated events as a stream into the keyed detail table."""
@@ -548,6 +557,30 @@ def upsert_partial_columns(spark, d):
     return changes.upsert(known, given, ["id"], ["payment_status", "payment_amount"])
 
 
+@query
+def upsert_partial_log(spark, d):
+    """Partial upserts of orders as a stored log: all but open ones inserted, then open and pending ones sent with status and amount
+    to set, then pending ones with the time alone."""
+    orders = _payments(spark, d).select("id", "payment_status", "payment_amount", "create_time")
+    day_later = (F.col("create_time") + F.expr("INTERVAL 1 DAY")).alias("create_time")
+    more = (F.col("payment_amount") + 1).cast("decimal(16,2)").alias("payment_amount")
+
+    def sent(seq, statuses, mask, *columns):
+        rows = orders.filter(F.col("payment_status").isin(*statuses)).select("id", *columns)
+        return rows.select("*", F.array(*map(F.lit, mask)).alias("mask"), F.lit(seq).alias("seq"))
+
+    columns = ["payment_status", "payment_amount", "create_time"]
+    log = [
+        sent(1, ["F", "P"], columns, *columns),
+        sent(2, ["O", "P"], ["payment_status", "payment_amount"], F.lit("PAID").alias("payment_status"), more, day_later),
+        sent(3, ["P"], ["create_time"], F.lit("LOST").alias("payment_status"), more, (F.col("create_time") + F.expr("INTERVAL 2 DAY")).alias("create_time")),
+    ]
+    folder = run_dir(spark, "partial-log")
+    for batch in log:
+        batch.write.mode("append").parquet(folder)
+    return changes.merge_partial(spark.read.schema(log[0].schema).parquet(folder), ["id"], columns)
+
+
 @query
 def keyed_update(spark, d):
     orders = _payments(spark, d).select("id", "user_id", "payment_status", F.col("create_time").alias("operate_time"))
@@ -561,6 +594,25 @@ def publish_result(spark, d):
     return changes.publish(trade_minute_gmv(spark, d))
 
 
+@query
+def publish_stream(spark, d):
+    """Daily metrics published, computed again without every hundredth user, and published again: the result, and which rows were
+    written a second time. The others keep their `updated_at`."""
+    bought = retail.purchases(_events(spark, d))
+    folder = run_dir(spark, "publish")
+    day = KeyedTable(spark, f"{folder}/day", DAY_METRIC, DAY_KEY, "metric_date")
+    result = KeyedTable(spark, f"{folder}/result", *KEYED_TABLES["ads_trade_day"])
+    write = hops.publish_hop(day, result, f"{folder}/checkpoint")
+    for k, rows in enumerate([bought, bought.filter(F.col("user_id") % 100 != 0)]):
+        found = metrics.payment_day(rows, PURCHASE).persist()
+        day.upsert(found, f"batch-{k}", touched_days(found, "metric_date"), F.lit(True))
+        found.unpersist()
+        run_hop(day.stream(), write, f"{folder}/checkpoint")
+    first = result.changes().groupBy(*DAY_KEY).agg(F.min("updated_at").alias("_first"))
+    again = (F.col("updated_at") > F.col("_first")).alias("rewritten")
+    return result.snapshot().join(first, DAY_KEY).select(*DAY_KEY, "metric_value", again)
+
+
 # Audits.
 
 AUDITED = {

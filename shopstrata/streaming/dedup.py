@@ -97,6 +97,16 @@ def daily_dedup(events: DataFrame, event_time: str, delay: str = "24 hours") ->
     return row.withColumn("op", F.lit("u")).withColumn("seq", -F.col("event_time_ms"))
 
 
+def watermark_dedup(events: DataFrame, event_time: str, ttl: str = "24 hours") -> DataFrame:
+    """Change rows of the distinct (id, time) pairs, without leaving the JVM; a pair is forgotten `ttl` behind the latest event time.
+
+    For ids of any kind, into a table keyed by `event_id` alone: `seq` is the negated event time, so the earliest event of an id wins
+    there in any order of arrival and on whatever day, and what comes again after `ttl` changes nothing.
+    """
+    kept = events.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark(["event_id", "event_time_ms"])
+    return kept.drop(event_time).withColumn("op", F.lit("u")).withColumn("seq", -F.col("event_time_ms"))
+
+
 @contextmanager
 def expiring_state(spark: SparkSession):
     """Settings for queries started inside whose state expires.

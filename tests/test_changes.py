@@ -134,3 +134,23 @@ def test_merge_statement_updates_only_values():
     assert merge_statement("t", "s", ["k", "v"], ["k"]) == (
         "INSERT INTO t (k, v) SELECT k, v FROM s ON DUPLICATE KEY UPDATE v = VALUES(v)"
     )
+
+
+def test_partial_upserts_merge_column_by_column(spark):
+    log = spark.createDataFrame(
+        [
+            (1, 3, "late", 30, ["status"]),
+            (1, 1, "new", 10, ["status", "amount"]),
+            (1, 2, "lost", 20, ["amount"]),
+            (1, 4, None, 40, []),
+            (2, 7, None, 5, ["amount"]),  # the first of its key inserts all it holds
+            (3, 1, "a", 1, ["status"]),
+            (3, 2, None, None, ["status", "amount"]),  # sets nulls
+            (4, 5, "x", 2, None),
+            (4, 6, "y", 3, None),
+        ],
+        "id int, seq int, status string, amount int, mask array<string>",
+    )
+    want = {(1, "late", 20), (2, None, 5), (3, None, None), (4, "x", 2)}
+    assert as_set(changes.merge_partial(log, ["id"], ["status", "amount"])) == want
+    assert changes.merge_partial(log.limit(0), ["id"], ["status", "amount"]).count() == 0
