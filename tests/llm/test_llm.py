@@ -302,6 +302,45 @@ def test_secrets_without_digits(token, around):
     assert ("secret", token) in [x[2:] for x in pii.detect(around.format(token))]
 
 
+NAMES = [
+    ("господин Семёнов пришёл", "Семёнов"), ("Dr. Hans Peter Weber sagt", "Hans Peter Weber"), ("Mr. McDonald said", "McDonald"), ("Frau Anna-Maria Weber, die", "Anna-Maria Weber"),
+    ("Mr. O'Brien went", "O'Brien"), ("Mr. O’Brien went", "O’Brien"), ("MR. ADAM STONE IS", "ADAM STONE IS"), ("Mr. Łukasz Nowak i", "Łukasz Nowak"), ("господин Ёлкин", "Ёлкин"),
+    ("Herr Otto von der Heide kam", "Otto von der Heide"), ("Señora María de la Cruz Ñúñez vino", "María de la Cruz Ñúñez"), ("Mme Ève Été parle", "Ève Été"),
+]
+
+
+@pytest.mark.parametrize("text,name", NAMES)
+def test_names_of_any_script_and_number_of_parts(text, name):
+    ((start, end, kind, entity),) = pii.detect(text)
+    assert kind.startswith("name") and text[start:end] == entity == name
+
+
+def test_no_part_of_a_name_stays(spark):
+    texts = [f"{text}. {name.split(' ')[-1]} again" for text, name in NAMES]
+    found = {r.row.doc_id: r.text for r in pii.replaced(docs(spark, *enumerate(texts)), b"k").collect()}
+    found = [found[i] for i in range(len(texts))]
+    for text, (_, name) in zip(found, NAMES, strict=True):
+        assert not any(part in text for part in name.split(" ") if part[0].isupper() and len(part) > 2), text
+    assert " von " not in found[9] and "die" in found[3] and found[6].startswith("MR. ") and found[6].split(".")[1].isupper()
+
+
+def test_numbers_that_are_phones_or_cards():
+    for text in ("020 7946 0958", "0049 30 1234567", "0049301234567", "+49 30 1234567"):
+        assert [x[2] for x in pii.detect(f"call {text} now")] == ["phone"], text
+    assert pii.canonical("phone", "0049 30 1234567") == pii.canonical("phone", "+49 30 1234567")
+    assert pii.rendered("phone", "+49 301234567", "+49 987654321", "0049 30 1234567") == "0049 98 7654321"
+    assert [x[2] for x in pii.detect("card 4539578763621486")] == ["card"] and pii.detect("number 4539578763621487, 1234567890123") == []
+
+
+def test_a_form_with_all_values_in_use_grows(spark):
+    letters = "abcdefghijklmnopqrst"
+    texts = [(i, f"to {a}@{b}.com now") for i, (a, b) in enumerate((a, b) for a in letters for b in letters)]  # 400 of 676
+    found = [r.text.split(" ")[1] for r in pii.replaced(docs(spark, *texts), b"k").collect()]
+    assert len(set(found)) == 400 and not set(found) & {t.split(" ")[1] for _, t in texts}
+    assert all(x.endswith(".com") and x.count("@") == 1 for x in found)
+    assert pii.rendered("ssn", "123-45-6789", "987-65-43210", "123-45-6789") == "987-65-43210"
+
+
 def test_surrogates_stay_distinct(spark):
     many = spark.createDataFrame([("phone", f"+1 {i:02d}") for i in range(60)], "kind string, entity string")  # 100 numbers in all
     with pytest.raises(RuntimeError):
