@@ -239,6 +239,18 @@ ORACLE: dict[str, str] = {
                CAST(payment_amount + CASE payment_status WHEN 'F' THEN 0 ELSE 1 END AS DECIMAL(16,2)) AS payment_amount,
                CASE payment_status WHEN 'F' THEN create_time WHEN 'O' THEN create_time + INTERVAL 1 DAY ELSE create_time + INTERVAL 2 DAY END AS create_time
         FROM p WHERE payment_status IN ('F', 'O', 'P')""",
+    "published_cards": f"""
+        WITH bought AS (
+            SELECT user_id, event_id, CAST(value AS DECIMAL(16,2)) AS amount, CAST(ts AS DATE) AS dt FROM events WHERE event_type = 'purchase'
+        ), days AS (
+            SELECT dt AS metric_date, 'gmv' AS metric_name, {_metric('SUM(amount)')} AS metric_value FROM bought GROUP BY 1
+            UNION ALL SELECT dt, 'payment_order_count', {_metric('COUNT(DISTINCT event_id)')} FROM bought GROUP BY 1
+            UNION ALL SELECT dt, 'payment_user_count', {_metric('COUNT(DISTINCT user_id)')} FROM bought GROUP BY 1
+            UNION ALL SELECT metric_date, metric_name, metric_value FROM ({_TRAFFIC_DAY}) t
+        )
+        SELECT metric_name, metric_date, CAST(metric_value AS DECIMAL(20,2)) AS metric_value FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY metric_name ORDER BY metric_date DESC) AS rn FROM days
+        ) r WHERE rn = 1""",
     "sequence_gaps": """
         SELECT lost_from, lost_to, lost_to - lost_from + 1 AS lost FROM (
             SELECT coalesce(LAG(event_id) OVER (ORDER BY event_id), -1) + 1 AS lost_from, event_id - 1 AS lost_to

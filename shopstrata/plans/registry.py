@@ -904,6 +904,20 @@ def latest_cards(spark, d):
     return serving.latest_cards(metrics.union_metrics(paid, traffic_day(spark, d)))
 
 
+@query
+def published_cards(spark, d):
+    """The cards read from published tables, of their latest day alone."""
+    folder, shown = run_dir(spark, "published"), []
+    bought = metrics.payment_day(retail.purchases(_events(spark, d)), PURCHASE)
+    for name, rows in (("ads_trade_day", bought), ("ads_traffic_day", traffic_day(spark, d))):
+        result = KeyedTable.named(spark, folder, name)
+        rows = changes.publish(rows).persist()
+        result.upsert(rows, "all", touched_days(rows, "metric_date"))
+        rows.unpersist()
+        shown.append(serving.published(result).drop("updated_at"))
+    return serving.latest_cards(metrics.union_metrics(*shown))
+
+
 @query
 def refund_total(spark, d):
     return serving.refund_total(metrics.refund_day(_refunds(spark, d), REFUNDED))

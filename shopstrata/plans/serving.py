@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from shopstrata.functions.times import shift_zone
+from shopstrata.streaming.keyed_table import KeyedTable
 
 # The metrics shown as cards.
 CARDS = ("gmv", "payment_order_count", "payment_user_count", "browse_pv", "day_uv")
 
 
+def published(result: KeyedTable, days: int = 1) -> DataFrame:
+    """The published rows of the last `days` days up to the latest day ever published: the folders of other days are not read."""
+    last = result.changes().agg(F.max(result.day)).first()[0]
+    if last is None:
+        return result.snapshot(F.lit(False))
+    return result.snapshot(F.col(result.day) > F.lit(last - timedelta(days=days)))
+
+
 def latest_cards(days: DataFrame, names: Sequence[str] = CARDS) -> DataFrame:
     """Each metric's value on its latest day."""
     return (

@@ -10,9 +10,14 @@ from helpers import as_set, at, money
 
 from pyspark.sql import functions as F
 
+from test_retraction import read_rows
+
 from shopstrata.operators import bitmaps, metrics, sequence
+from shopstrata.plans import serving
+from shopstrata.schemas import KEYED_TABLES
 from shopstrata.sources import manifest
 from shopstrata.streaming import replay
+from shopstrata.streaming.keyed_table import KeyedTable
 from shopstrata.streaming.runs import run_hop
 
 
@@ -117,3 +122,19 @@ def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
         run_hop(spark.readStream.schema("t timestamp_ntz").parquet(source), write, checkpoint)
     # 10:05:04 less 5 seconds closes what ends by 10:04:59, and 10:09:00 what ends by 10:08:55.
     assert as_set(table.snapshot(), "batch_id", "n_rows", "late_rows") == {(0, 1, 0), (1, 4, 1), (2, 3, 1)}
+
+
+@pytest.mark.parametrize("days", [1, 3])
+def test_panels_read_the_latest_days_alone(spark, tmp_path, days):
+    table = KeyedTable(spark, str(tmp_path / "result"), *KEYED_TABLES["ads_traffic_day"])
+    assert serving.published(table, days).count() == 0
+    ids = F.col("id")
+    rows = spark.range(3000).select(
+        F.date_add(F.lit("2026-09-01").cast("date"), (ids % 30).cast("int")).alias("metric_date"), F.concat(F.lit("m"), ids).alias("metric_name"), F.lit("ALL").alias("dimension_key"),
+        F.lit(1).cast("decimal(18,2)").alias("metric_value"), F.lit(None).cast("timestamp_ntz").alias("updated_at"), F.lit("u").alias("op"), F.lit(1).cast("bigint").alias("seq"),
+    )
+    table.write(rows, "all")
+    shown, found = serving.published(table, days), {}
+    read = read_rows(spark, lambda: found.update(n=shown.count()))
+    assert found["n"] == read == 100 * days
+    assert {str(row[0]) for row in shown.select("metric_date").distinct().collect()} == {f"2026-09-{30 - k}" for k in range(days)}
