@@ -222,6 +222,52 @@ def test_alignment_against_brute_force():
         assert decontamination.align(item, passage)[0] == brute_align(item, passage)
 
 
+def brute_copies(item, text):
+    item, text = decontamination.words(item), decontamination.words(text)
+    numbers = {w: i for i, w in enumerate(sorted({*item, *text}), 1)}
+    if len(item) < decontamination.FEWEST:
+        return False
+    return brute_align([numbers[w] for w in item], [numbers[w] for w in text]) >= decontamination.least_score(len(item))
+
+
+def edit(rng, item, rate):
+    out = []
+    for w in item:
+        kind = rng.random()
+        if kind < rate:
+            out += rng.choice([[], [rng.choice("xyz") + w], [w, rng.choice("xyz") + w], [w, "uu", "vv"]])
+        else:
+            out.append(w)
+    return " ".join(out)
+
+
+def test_leaks_against_alignment_of_all_pairs(spark):
+    rng = random.Random(12)
+    common = ["the", "of", "a", "to"]
+    word = lambda: rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice("aeioustrn") for _ in range(3))
+    items = [" ".join(word() for _ in range(rng.choice([3, 4, 6, 9, 15, 25, 40]))) for _ in range(24)]
+    items += [items[3], "the the the the the the the the the", "the of the of the of the of the of", "三人行必有我師焉擇其善者而從之", "one", ""]
+    texts = [" ".join(word() for _ in range(rng.choice([0, 5, 60, 200]))) for _ in range(25)]
+    for rate in (0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.7):
+        for item in items[:24]:
+            noise = [" ".join(word() for _ in range(rng.randrange(30))) for _ in range(2)]
+            texts.append(f"{noise[0]} {edit(rng, item.split(), rate)} {noise[1]}")
+    texts += ["the " * 120, "x " * 30 + " y ".join(items[6].split()), "子曰三人行必有我師焉擇其善者而從之其不善者而改之", *texts[30:33]]
+    texts.append(" ".join(w if i % 3 < 2 else "q" for i, w in enumerate(items[5].split())))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontamination.leaks(docs(spark, *enumerate(texts)), bench, carry=["doc_id"]).collect()
+    want = {(i, j) for i, text in enumerate(texts) for j, item in enumerate(items) if brute_copies(item, text)}
+    assert len(found) == len(want) > 100 and {(r.row.doc_id, r.item_id) for r in found} == want
+    clean = decontamination.without_leaks(docs(spark, *enumerate(texts)), bench)
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {i for i, _ in want}
+
+
+def test_a_text_of_one_word_is_linear(spark):
+    bench = spark.createDataFrame([(1, "a " * 300), (2, "b c d e")], "item_id long, text string")
+    found = decontamination.leaks(docs(spark, (1, "a " * 30_000), (2, "b " * 30_000)), bench).collect()
+    assert [(r.row.doc_id, r.item_id, r.similarity) for r in found] == [(1, 1, 1.0)]
+
+
 def test_html(spark):
     page = (
         '<html><head><title>No</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/">Menu</a></li></ul></nav>'
