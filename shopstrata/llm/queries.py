@@ -21,7 +21,7 @@ from shopstrata.llm import (
     token_counts,
     toxicity,
 )
-from shopstrata.llm.common import held_out, table
+from shopstrata.llm.common import held_out, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,8 +124,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    """Every message without its quotes, with what it quotes and its place among the replies."""
-    found = quotes.linked(table(spark, folder, "conversations"), carry=["conv_id", "turn", "role"])
+    """Every message without its quotes, with what it quotes and its place among the replies; the given messages, made to quote each other."""
+    messages = written(quotes.with_quotes(table(spark, folder, "conversations")), "quoting")
+    found = quotes.linked(messages, carry=["conv_id", "turn", "role"])
     return found.select(
         "row.conv_id", "row.turn", "row.role", "own_text", "n_quotes", "deepest", "n_linked", "reply_to", "root", "quoted_from", "reply_order"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -13,8 +14,14 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from shopstrata.llm.common import non_empty, packed, written
 
 _MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
-#: The line that names whom a quote is from, in the languages of the corpus.
-_SAID = re.compile(r"^\s*(?:On|Am|Le|El|Il|Op|Em)?\b.{0,200}\b(?:wrote|schrieb|écrit|a écrit|escribió|ha scritto|schreef|escreveu)\b.{0,80}:\s*$", re.I)
+#: The line that names whom a quote is from, in the languages of the corpus, and how it begins where it is broken in two.
+_SAID = re.compile(
+    r"^\s*(?:On|Am|Le|El|Il|Op|Em|В)?\b.{0,200}\b(?:wrote|schrieb|écrit|a écrit|escribió|ha scritto|schreef|escreveu|пишет|писала?|написала?)\b.{0,80}:\s*$",
+    re.I,
+)
+_BROKEN = re.compile(r"^\s*(?:(?:On|Am|Le|El|Il|Op|Em|В)\b.*\d|.*<[^<>\s]+@[^<>\s]+>)", re.I)
+#: Marks from which lines that stand alone are taken for an interpreter's prompt.
+PROMPT = 3
 _PLAIN = re.compile(r"\W+")
 
 
@@ -27,31 +34,44 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _level(line: str) -> tuple[int, str]:
+    marks = _MARK.match(line)
+    return (marks.group(1).count(">"), line[marks.end() :]) if marks else (0, line)
+
+
+def _without_source(own: list[str]) -> bool:
+    """Take the line or two that say whom a quote is from off the end, with empty lines after; False if there is none."""
+    end = len(own)
+    while end and not own[end - 1].strip():
+        end -= 1
+    if not end or not _SAID.match(own[end - 1]):
+        return False
+    broken = end > 1 and not _BROKEN.match(own[end - 1]) and _BROKEN.match(own[end - 2])
+    del own[end - 2 if broken else end - 1 :]
+    return True
+
+
 def parse(text: str) -> tuple[str, list[tuple[int, list[str]]]]:
     """A message's own text, and its quoted passages: level, and lines at that level in a row.
 
-    The level is the number of marks in front. A line that says who wrote what follows goes with the quote.
+    The level is the number of marks in front. A line that says who wrote what follows goes with the quote, also where it is broken
+    in two. Lines of three or more marks that no line with fewer and no such line goes with are a prompt's: own text.
     """
     own: list[str] = []
     quotes: list[tuple[int, list[str]]] = []
-    level_before = 0
-    for line in text.split("\n"):
-        marks = _MARK.match(line)
-        level = marks.group(1).count(">") if marks else 0
-        if level:
-            if not level_before:
-                while own and not own[-1].strip():
-                    own.pop()
-                if own and _SAID.match(own[-1]):
-                    own.pop()
-            rest = line[marks.end() :]
-            if level != level_before:
-                quotes.append((level, []))
-            if not _SAID.match(rest):
-                quotes[-1][1].append(rest)
-        else:
-            own.append(line)
-        level_before = level
+    for quoted, run in groupby(text.split("\n"), key=lambda line: _level(line)[0] > 0):
+        lines = list(run)
+        if not quoted:
+            own += lines
+            continue
+        levels = [_level(line) for line in lines]
+        if not _without_source(own) and min(level for level, _ in levels) >= PROMPT and all(line.lstrip().startswith(">" * PROMPT) for line in lines):
+            own += lines
+            continue
+        while own and not own[-1].strip():
+            own.pop()
+        for level, group in groupby(levels, key=lambda x: x[0]):
+            quotes.append((level, [rest for _, rest in group if not _SAID.match(rest)]))
     return "\n".join(own).strip("\n"), [(level, lines) for level, lines in quotes if normalised(lines)]
 
 
@@ -62,8 +82,8 @@ def passages(own: str) -> set[int]:
     return {_hash(x) for x in found if x}
 
 
-def lookups(lines: list[str]) -> list[tuple[int, int, int, int]]:
-    """What a quoted passage is looked up by: (tier, first line, past the last line, hash), the whole before its parts.
+def lookups(lines: list[str]) -> list[tuple[int, int, int, int, int]]:
+    """What a quoted passage is looked up by: (tier, first line, past the last line, hash, words), the whole before its parts.
 
     Tier 0 is the whole, 1 its paragraphs (empty quoted lines part them), 2 lines put together again where a client has
     wrapped them, 3 single lines. A line goes on in the next one if that one's first word would not have fitted beside it,
@@ -83,11 +103,11 @@ def lookups(lines: list[str]) -> list[tuple[int, int, int, int]]:
                 ranges.setdefault((begin, i + 1), 2)
                 begin = i + 1
     found = [(tier, a, b, normalised(lines[a:b])) for (a, b), tier in ranges.items()]
-    return [(tier, a, b, _hash(x)) for tier, a, b, x in found if x]
+    return [(tier, a, b, _hash(x), len(x.split())) for tier, a, b, x in found if x]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part = pa.struct([("tier", pa.int32()), ("first", pa.int32()), ("past", pa.int32()), ("hash", pa.int64())])
+    part = pa.struct([("tier", pa.int32()), ("first", pa.int32()), ("past", pa.int32()), ("hash", pa.int64()), ("words", pa.int32())])
     quote = pa.struct([("level", pa.int32()), ("number", pa.int32()), ("parts", pa.list_(part))])
     for batch in non_empty(batches):
         texts, quoted, hashes = [], [], []
@@ -97,7 +117,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes.append(sorted(passages(own)))
             quoted.append(
                 [
-                    {"level": level, "number": i, "parts": [dict(zip(("tier", "first", "past", "hash"), x)) for x in lookups(lines)]}
+                    {"level": level, "number": i, "parts": [dict(zip(("tier", "first", "past", "hash", "words"), x)) for x in lookups(lines)]}
                     for i, (level, lines) in enumerate(quotes)
                 ]
             )
@@ -126,28 +146,84 @@ def _latest_before(asked: DataFrame, index: DataFrame) -> DataFrame:
     return found.select("conv", "hash", "turn", F.coalesce("near", "far").alias("from_turn")).filter("from_turn IS NOT NULL")
 
 
+def _depth_first(messages: DataFrame, replies: DataFrame) -> DataFrame:
+    """(conv, turn, place): the place of each message when its conversation is walked depth first, earlier turns first.
+
+    The walk enters and leaves every message; each step knows the next one. Every round doubles how far a step sees, adding up the
+    messages entered on the way, so a conversation of n messages takes log2(2n) joins on (conv, turn, leaving), whatever its depth.
+    A conversation with a third of all rows is spread as any other; a message's replies are sorted together, on disk if need be.
+    """
+    tree = messages.join(replies.select("conv", "turn", F.col("reply_to").alias("up")), ["conv", "turn"], "left")
+    tree = written(tree.withColumn("beside", F.lead("turn").over(Window.partitionBy("conv", "up").orderBy("turn"))), "reply-tree")
+    below = tree.filter("up IS NOT NULL").groupBy("conv", F.col("up").alias("turn")).agg(F.min("turn").alias("below"))
+    step = lambda to, leaving: F.struct(to.alias("turn"), F.lit(leaving).alias("leaving"))
+    known = tree.join(below, ["conv", "turn"], "left")
+    enter = F.when(F.col("below").isNotNull(), step(F.col("below"), False)).otherwise(step(F.col("turn"), True))
+    leave = F.when(F.col("beside").isNotNull(), step(F.col("beside"), False)).when(F.col("up").isNotNull(), step(F.col("up"), True))
+    steps = known.select("conv", step(F.col("turn"), False).alias("at"), F.lit(1).cast("long").alias("entered"), enter.alias("to"))
+    steps = steps.unionByName(known.select("conv", step(F.col("turn"), True).alias("at"), F.lit(0).cast("long").alias("entered"), leave.alias("to")))
+    steps = written(steps, "walk")
+    while not steps.filter("to IS NOT NULL").isEmpty():
+        ahead = steps.select("conv", F.col("at").alias("to"), F.col("entered").alias("more"), F.col("to").alias("further"))
+        on = steps.join(ahead, ["conv", "to"], "left")
+        steps = written(on.select("conv", "at", (F.col("entered") + F.coalesce("more", F.lit(0))).alias("entered"), F.col("further").alias("to")), "walk")
+    total = messages.groupBy("conv").count()
+    entered = steps.filter("NOT at.leaving").select("conv", F.col("at.turn").alias("turn"), "entered")
+    return entered.join(total, "conv").select("conv", "turn", (F.col("count") - F.col("entered")).alias("place"))
+
+
+def with_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
+    """A table of messages as a mail archive would have them: many quote one of the three turns before them.
+
+    Which one, and how, follows from a hash of conversation and turn: three of four messages quote, a third of those what the quoted one
+    itself quotes, too; a third of the quotes are wrapped, a fifth written in capitals. No message is left out, and each
+    keeps its own text whole, after the quote. A turn that is not there is not quoted; null texts quote nothing and stay null.
+    """
+    dice = lambda name: F.xxhash64(F.col(conv), F.col(turn), F.lit(name))
+    pick = lambda name, of: F.pmod(dice(name), F.lit(of))
+    mark = lambda value: F.regexp_replace(value, r"(?m)^", "> ")
+    wrap = lambda value: F.regexp_replace(value, r"([^\n]{30,60}) (?=[^\n])", "$1\n")
+
+    def quoting(rows: DataFrame, sources: DataFrame) -> DataFrame:
+        source = sources.groupBy(F.col(conv).alias("_c"), F.col(turn).alias("_t")).agg(F.max(text).alias("_s"))
+        target = F.when(pick("quotes", 4) > 0, F.col(turn) - 1 - pick("which", 3))
+        joined = rows.withColumn("_to", target).join(source, (F.col(conv) == F.col("_c")) & (F.col("_to") == F.col("_t")), "left")
+        said = F.when(pick("wrap", 3) == 0, wrap(F.col("_s"))).when(pick("capitals", 5) == 0, F.upper("_s")).otherwise(F.col("_s"))
+        quote = F.concat(F.lit("On Monday at 10, Someone wrote:\n"), mark(said), F.lit("\n\n"), F.col(text))
+        return joined.withColumn("_q", F.when(F.trim("_s") != "", quote)).drop("_c", "_t", "_s", "_to")
+
+    once = quoting(messages, messages)
+    outer = once.withColumn(text, F.coalesce("_q", text)).drop("_q")
+    twice = quoting(messages, outer).withColumnRenamed("_q", "_nested")
+    quoted = F.when(pick("nested", 3) == 0, F.col("_nested"))
+    plain = quoting(twice, messages)
+    return plain.withColumn(text, F.coalesce(quoted, F.col("_q"), F.col(text))).select(messages.columns)
+
+
 def linked(
-    messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", carry: Iterable[str] | None = None
-) -> DataFrame:
+    messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", carry: Iterable[str] | None = None,
+    abroad_words: int = 5,
+) -> DataFrame:
     """Link every quoted passage to the latest earlier message of its conversation that has it, or else to the first message
-    of another conversation that has it; and order each conversation so that replies follow what they quote.
+    of another conversation that has it, if it has `abroad_words` words (a short line like "Thanks" is everyone's); and order each
+    conversation depth first, so that every reply follows what it quotes and that one's earlier replies.
 
     Returns `row` (the columns `carry`, by default all), own_text (without quotes), n_quotes, deepest (quote level), n_linked,
     reply_to (turn of the conversation that most quotes of the shallowest level point to, then the latest), root (turn at the head
-    of its chain of replies), quoted_from (array of conv and turn of all linked messages) and reply_order, a struct that sorts a
-    conversation: root, then turn.
+    of its chain of replies), quoted_from (array of conv and turn of all linked messages) and reply_order, the message's place in
+    its conversation, from 0: sorted by it, own texts are the conversation without quotes.
 
     Quotes are met by hashes of normalised text. The index keeps one row per hash and conversation and turn; what is looked up
     is reduced per conversation before it is shuffled on, so a line that a third of all messages share costs no pairs,
     within a conversation or across. A passage is looked up whole, then by paragraph, then by line, wrapped lines also put together; of what is found as one
     the parts do not count, and what is cut within a line is not found. A quote meets the latest earlier turn of its own conversation and one first message. A message quoted within one chain
     is found whatever its level. Null and empty texts have no quotes and are quoted by none. Rows without a conversation or turn
-    are returned unlinked. Repeated rows are treated alike; an empty table gives no rows.
+    are returned unlinked and without a place. Conversations and turns are whole numbers. Repeated rows are treated alike; an empty table gives no rows.
     """
     given = messages.select(
         packed(messages, carry), F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(text).cast("string").alias("text")
     )
-    part = StructType([*(StructField(name, IntegerType()) for name in ("tier", "first", "past")), StructField("hash", LongType())])
+    part = StructType([*(StructField(name, IntegerType()) for name in ("tier", "first", "past")), StructField("hash", LongType()), StructField("words", IntegerType())])
     quote = StructType([StructField("level", IntegerType()), StructField("number", IntegerType()), StructField("parts", ArrayType(part))])
     shape = StructType(
         [
@@ -162,7 +238,7 @@ def linked(
         rows.filter("size(quotes) > 0 AND conv IS NOT NULL AND turn IS NOT NULL")
         .select("conv", "turn", F.explode("quotes").alias("q"))
         .select("conv", "turn", "q.level", "q.number", F.explode("q.parts").alias("p"))
-        .select("conv", "turn", "level", "number", "p.tier", "p.first", "p.past", "p.hash")
+        .select("conv", "turn", "level", "number", "p.tier", "p.first", "p.past", "p.hash", "p.words")
         .distinct()
     )
     wanted = asked.select("hash").distinct()
@@ -174,7 +250,8 @@ def linked(
     first = by_conv.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("origin"))
     others = by_conv.join(first, "hash").filter("conv <> origin.conv").groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("other"))
     first = first.join(others, "hash", "left")
-    anywhere = F.when(F.col("origin.conv") == F.col("conv"), F.col("other")).otherwise(F.col("origin"))
+    abroad = F.when(F.col("origin.conv") == F.col("conv"), F.col("other")).otherwise(F.col("origin"))
+    anywhere = F.when(F.col("words") >= abroad_words, abroad)
     met = (
         asked.join(inside, ["conv", "hash", "turn"], "left")
         .join(first, "hash", "left")
@@ -197,7 +274,8 @@ def linked(
         if moved.filter("higher IS NOT NULL").isEmpty():
             break
         replies = written(moved.select("conv", "turn", "reply_to", F.coalesce("higher", "root").alias("root")), "replies")
-    found = rows.join(of_message, ["conv", "turn"], "left").join(replies, ["conv", "turn"], "left")
+    placed = _depth_first(rows.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn").distinct(), replies)
+    found = rows.join(of_message, ["conv", "turn"], "left").join(replies, ["conv", "turn"], "left").join(placed, ["conv", "turn"], "left")
     root = F.coalesce("root", "turn")
     return found.select(
         "row",
@@ -208,5 +286,5 @@ def linked(
         "reply_to",
         root.alias("root"),
         F.coalesce("quoted_from", F.array().cast("array<struct<conv:bigint,turn:bigint>>")).alias("quoted_from"),
-        F.struct(root.alias("root"), F.col("turn").alias("turn")).alias("reply_order"),
+        F.col("place").alias("reply_order"),
     )

@@ -401,7 +401,7 @@ def test_quotes(spark):
         (1, 2, "> > Hello there how are you?\n> Fine, thanks.\nGood!"), (1, 3, None), (1, 4, "> Second line.\nWhat?"), (2, 0, "> Good!\nnew"),
         (2, 1, ">never said\nx"), (None, 1, "> Good!"), (3, 0, ""), (3, 0, ""),
     ]
-    found = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    found = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string"), abroad_words=1).collect()
     got = {(r.row.conv_id, r.row.turn): (r.own_text, r.n_quotes, r.deepest, r.reply_to, r.root, [tuple(q) for q in r.quoted_from]) for r in found}
     assert len(found) == len(rows)
     assert got[1, 1] == ("Fine, thanks.", 1, 1, 0, 0, [(1, 0)])
@@ -429,19 +429,96 @@ def test_wrapped_paragraphs_and_later_own_turns(spark):
         (2, 0, f"{third}\n{second}\nEnd."), (2, 1, "> The third paragraph is\n> also a long one.\n> End.\nFine."),
         (5, 3, "> Only said later\nwhat?"), (5, 4, "Only said later"), (6, 2, "Only said later"), (6, 9, "Only said later"),
     ]
-    found = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    found = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string"), abroad_words=3).collect()
     got = {(r.row.conv_id, r.row.turn): (r.n_linked, r.reply_to, r.root, [tuple(q) for q in r.quoted_from]) for r in found}
     assert got[1, 1] == (2, 0, 0, [(1, 0)])
     assert got[2, 1] == (2, 0, 0, [(2, 0)])
     assert got[5, 3] == (1, None, 3, [(6, 2)])
 
 
+def brute_links(rows):
+    """What `linked` has to find, message by message against all others, for rows of distinct (conv, turn, text)."""
+    own = {(c, t): quotes.parse(x or "") for c, t, x in rows}
+    held = {at: quotes.passages(text) for at, (text, _) in own.items()}
+    out, up = {}, {}
+    for (c, t), (_, quoted) in own.items():
+        links, votes = [], {}
+        for level, lines in quoted:
+            met = []
+            for tier, first, past, key, size in quotes.lookups(lines):
+                inside = [(c, x) for x in sorted({k[1] for k in own if k[0] == c and k[1] < t}) if key in held[c, x]]
+                abroad = sorted(k for k in own if k[0] != c and key in held[k]) if size >= 5 else []
+                if inside or abroad:
+                    met.append((tier, first, past, inside[-1] if inside else abroad[0]))
+            for x in met:
+                if not any(y[0] < 3 and y[0] < x[0] and y[1] <= x[1] and y[2] >= x[2] for y in met):
+                    links.append(x[3])
+                    if x[3][0] == c:
+                        votes[level, x[3][1]] = votes.get((level, x[3][1]), 0) + 1
+        up[c, t] = max(((-level, n, to) for (level, to), n in votes.items()), default=(0, 0, None))[2]
+        out[c, t] = [len(links), up[c, t], sorted(set(links))]
+    for c in {c for c, _ in own}:
+        order = []
+
+        def walk(turn, root):
+            order.append((turn, root))
+            for reply in sorted(t for (d, t), to in up.items() if d == c and to == turn):
+                walk(reply, root)
+
+        for turn in sorted(t for (d, t), to in up.items() if d == c and to is None):
+            walk(turn, turn)
+        for place, (turn, root) in enumerate(order):
+            out[c, turn] += [root, place]
+    return out
+
+
+def test_links_against_brute_force(spark):
+    given = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    made = quotes.with_quotes(given).cache()
+    assert made.columns == given.columns and made.count() == given.count()
+    rows = [(r.conv_id, r.turn, r.text) for r in made.collect()]
+    want = brute_links(rows)
+    found = quotes.linked(made).collect()
+    got = {(r.row.conv_id, r.row.turn): [r.n_linked, r.reply_to, [tuple(q) for q in r.quoted_from], r.root, r.reply_order] for r in found}
+    assert got == want
+    assert sum(x[0] > 0 for x in got.values()) > len(got) / 3
+    assert max(r.deepest for r in found) >= 2
+
+
+def test_replies_depth_first(spark):
+    say = "This is what message number {} has to say."
+    to = {1: 0, 2: 0, 3: 1, 5: 3, 6: 2}
+    rows = [(7, i, (f"> {say.format(to[i])}\n" if i in to else "") + say.format(i)) for i in range(7)] + [(None, 1, "x"), (7, None, "y")]
+    rows += [(8, i, (f"> {say.format(i - 1)} \n" if i else "") + say.format(i)) for i in range(300)]
+    frame = spark.createDataFrame([(*r, "k", 1) for r in rows], "conv_id long, turn long, text string, own string, place int")
+    got = {(r.row.conv_id, r.row.turn): r.reply_order for r in quotes.linked(frame).collect()}
+    assert sorted(range(7), key=lambda i: got[7, i]) == [0, 1, 3, 5, 2, 6, 4]
+    assert [got[8, i] for i in range(300)] == list(range(300)) and got[None, 1] is None and got[7, None] is None
+    assert quotes.linked(frame.limit(0)).count() == 0
+
+
+def test_own_text_of_prompts_and_broken_sources():
+    assert quotes.parse("Try this:\n>>> print(1)\n1") == ("Try this:\n>>> print(1)\n1", [])
+    assert quotes.parse("A wrote:\n>>> deep\nown") == ("own", [(3, ["deep"])])
+    assert quotes.parse(">>> deep\n> near\nown") == ("own", [(3, ["deep"]), (1, ["near"])])
+    assert quotes.parse("Hi\nOn Monday at 10, Bob Smith <bob@example.org>\nwrote:\n> x\nown") == ("Hi\nown", [(1, ["x"])])
+    assert quotes.parse("12 мая Иван пишет:\n> да\nнет") == ("нет", [(1, ["да"])])
+
+
+@pytest.mark.parametrize("words", [1, 4])
+def test_short_lines_link_within_a_conversation_only(spark, words):
+    line = " ".join(["Thanks"] * words)
+    rows = spark.createDataFrame([(1, 0, line), (9, 0, f"> {line}\nno"), (9, 1, line), (9, 2, f"> {line}\nyes")], "conv_id long, turn long, text string")
+    assert {(r.row.conv_id, r.row.turn): r.n_linked for r in quotes.linked(rows).collect()} == {(1, 0): 0, (9, 0): 0, (9, 1): 0, (9, 2): 1}
+
+
 def test_queries_and_pipeline(spark):
     import corpus_pipeline
     import duckdb
 
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for name in ("documents", "benchmark", "conversations"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     for name, sql in ORACLE.items():
         want = duck.execute(sql)
         columns = [column[0] for column in want.description]
