@@ -163,10 +163,10 @@ def _depth_first(messages: DataFrame, replies: DataFrame) -> DataFrame:
     steps = known.select("conv", step(F.col("turn"), False).alias("at"), F.lit(1).cast("long").alias("entered"), enter.alias("to"))
     steps = steps.unionByName(known.select("conv", step(F.col("turn"), True).alias("at"), F.lit(0).cast("long").alias("entered"), leave.alias("to")))
     steps = written(steps, "walk")
-    while not steps.filter("to IS NOT NULL").isEmpty():
+    while not (open_ := steps.filter("to IS NOT NULL")).isEmpty():  # steps that see the end are joined no more
         ahead = steps.select("conv", F.col("at").alias("to"), F.col("entered").alias("more"), F.col("to").alias("further"))
-        on = steps.join(ahead, ["conv", "to"], "left")
-        steps = written(on.select("conv", "at", (F.col("entered") + F.coalesce("more", F.lit(0))).alias("entered"), F.col("further").alias("to")), "walk")
+        further = open_.join(ahead, ["conv", "to"]).select("conv", "at", (F.col("entered") + F.col("more")).alias("entered"), F.col("further").alias("to"))
+        steps = written(further.unionByName(steps.filter("to IS NULL")), "walk")
     total = messages.groupBy("conv").count()
     entered = steps.filter("NOT at.leaving").select("conv", F.col("at.turn").alias("turn"), "entered")
     return entered.join(total, "conv").select("conv", "turn", (F.col("count") - F.col("entered")).alias("place"))
