@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -146,15 +147,70 @@ def _latest_before(asked: DataFrame, index: DataFrame) -> DataFrame:
     return found.select("conv", "hash", "turn", F.coalesce("near", "far").alias("from_turn")).filter("from_turn IS NOT NULL")
 
 
-def _depth_first(messages: DataFrame, replies: DataFrame) -> DataFrame:
-    """(conv, turn, place): the place of each message when its conversation is walked depth first, earlier turns first.
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Root and place of the messages of whole conversations, that come one after the other, by turn; one conversation is held at a time.
+
+    A reply stands behind what it replies to: backwards, sizes of subtrees add up; forwards, each message takes the next places of its parent's.
+    """
+
+    def placed(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        convs, turns = table.column("conv").to_pylist(), table.column("turn").to_pylist()
+        ups = table.column("reply_to").to_pylist()
+        roots, places = list(turns), [0] * len(turns)
+        start = 0
+        for _, run in groupby(convs):
+            end = start + sum(1 for _ in run)
+            at = {turns[i]: i for i in range(start, end)}
+            parents = [None if up is None else at[up] for up in ups[start:end]]
+            sizes = dict.fromkeys(range(start, end), 1)
+            for i in range(end - 1, start - 1, -1):
+                if parents[i - start] is not None:
+                    sizes[parents[i - start]] += sizes[i]
+            free, heads = {}, 0
+            for i in range(start, end):
+                parent = parents[i - start]
+                if parent is None:
+                    places[i] = heads
+                    heads += sizes[i]
+                else:
+                    roots[i], places[i] = roots[parent], free[parent]
+                    free[parent] += sizes[i]
+                free[i] = places[i] + 1
+            start = end
+        columns = [*(table.column(name).combine_chunks() for name in ("conv", "turn", "reply_to")), pa.array(roots, pa.int64()), pa.array(places, pa.int64())]
+        yield from pa.table(columns, names=["conv", "turn", "reply_to", "root", "place"]).to_batches()
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in non_empty(batches):
+        convs = batch.column("conv").to_numpy()
+        if waiting and convs[0] != waiting[-1].column("conv")[-1].as_py():
+            yield from placed(pa.Table.from_batches(waiting))
+            waiting = []
+        last = int(np.searchsorted(convs, convs[-1]))  # where the conversation begins that may go on in the next batch
+        if last:
+            yield from placed(pa.Table.from_batches([*waiting, batch.slice(0, last)]))
+            waiting = []
+        waiting.append(batch.slice(last))
+    if waiting:
+        yield from placed(pa.Table.from_batches(waiting))
+
+
+def _long_walk(tree: DataFrame) -> DataFrame:
+    """As `_walk`, for conversations of any length, by doubling.
 
     The walk enters and leaves every message; each step knows the next one. Every round doubles how far a step sees, adding up the
     messages entered on the way, so a conversation of n messages takes log2(2n) joins on (conv, turn, leaving), whatever its depth.
     A conversation with a third of all rows is spread as any other; a message's replies are sorted together, on disk if need be.
     """
-    tree = messages.join(replies.select("conv", "turn", F.col("reply_to").alias("up")), ["conv", "turn"], "left")
+    tree = tree.withColumnRenamed("reply_to", "up")
     tree = written(tree.withColumn("beside", F.lead("turn").over(Window.partitionBy("conv", "up").orderBy("turn"))), "reply-tree")
+    roots = written(tree.select("conv", "turn", F.coalesce("up", "turn").alias("root")), "roots")
+    while True:  # every round doubles the part of a chain that is known
+        above = roots.select("conv", F.col("turn").alias("root"), F.col("root").alias("higher"))
+        moved = roots.join(above, ["conv", "root"])
+        if moved.filter("higher <> root").isEmpty():
+            break
+        roots = written(moved.select("conv", "turn", F.col("higher").alias("root")), "roots")
     below = tree.filter("up IS NOT NULL").groupBy("conv", F.col("up").alias("turn")).agg(F.min("turn").alias("below"))
     step = lambda to, leaving: F.struct(to.alias("turn"), F.lit(leaving).alias("leaving"))
     known = tree.join(below, ["conv", "turn"], "left")
@@ -167,9 +223,26 @@ def _depth_first(messages: DataFrame, replies: DataFrame) -> DataFrame:
         ahead = steps.select("conv", F.col("at").alias("to"), F.col("entered").alias("more"), F.col("to").alias("further"))
         further = open_.join(ahead, ["conv", "to"]).select("conv", "at", (F.col("entered") + F.col("more")).alias("entered"), F.col("further").alias("to"))
         steps = written(further.unionByName(steps.filter("to IS NULL")), "walk")
-    total = messages.groupBy("conv").count()
+    total = tree.groupBy("conv").count()
     entered = steps.filter("NOT at.leaving").select("conv", F.col("at.turn").alias("turn"), "entered")
-    return entered.join(total, "conv").select("conv", "turn", (F.col("count") - F.col("entered")).alias("place"))
+    placed = entered.join(total, "conv").select("conv", "turn", (F.col("count") - F.col("entered")).alias("place"))
+    found = tree.select("conv", "turn", F.col("up").alias("reply_to")).join(roots, ["conv", "turn"])
+    return found.join(placed, ["conv", "turn"])
+
+
+def _depth_first(tree: DataFrame, most: int) -> DataFrame:
+    """Adds to messages (conv, turn, reply_to: an earlier turn, or null) their root, the head of their chain of replies, and their place
+    when the conversation is walked depth first, earlier turns first.
+
+    Conversations of up to `most` messages are each walked in a task, which holds three numbers a message; longer ones by doubling.
+    """
+    tree = written(tree, "replies")
+    long = written(tree.groupBy("conv").count().filter(F.col("count") > most).select("conv"), "long")
+    whole = tree.join(long, "conv", "left_anti").repartition("conv").sortWithinPartitions("conv", "turn")
+    walked = whole.mapInArrow(_walk, "conv long, turn long, reply_to long, root long, place long")
+    if long.isEmpty():
+        return walked
+    return walked.unionByName(_long_walk(tree.join(long, "conv", "left_semi")))
 
 
 def with_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
@@ -202,7 +275,7 @@ def with_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 def linked(
     messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", carry: Iterable[str] | None = None,
-    abroad_words: int = 5,
+    abroad_words: int = 5, walk: int = 1 << 18,
 ) -> DataFrame:
     """Link every quoted passage to the latest earlier message of its conversation that has it, or else to the first message
     of another conversation that has it, if it has `abroad_words` words (a short line like "Thanks" is everyone's); and order each
@@ -211,7 +284,8 @@ def linked(
     Returns `row` (the columns `carry`, by default all), own_text (without quotes), n_quotes, deepest (quote level), n_linked,
     reply_to (turn of the conversation that most quotes of the shallowest level point to, then the latest), root (turn at the head
     of its chain of replies), quoted_from (array of conv and turn of all linked messages) and reply_order, the message's place in
-    its conversation, from 0: sorted by it, own texts are the conversation without quotes.
+    its conversation, from 0: sorted by it, own texts are the conversation without quotes. Conversations of up to `walk` messages are put in
+    order by one task each, longer ones by joins, with the same result.
 
     Quotes are met by hashes of normalised text. The index keeps one row per hash and conversation and turn; what is looked up
     is reduced per conversation before it is shuffled on, so a line that a third of all messages share costs no pairs,
@@ -241,6 +315,7 @@ def linked(
         .select("conv", "turn", "level", "number", "p.tier", "p.first", "p.past", "p.hash", "p.words")
         .distinct()
     )
+    asked = written(asked, "asked")
     wanted = asked.select("hash").distinct()
     index = rows.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode("hashes").alias("hash"))
     index = written(index.join(wanted, "hash", "left_semi").distinct(), "passages")
@@ -267,15 +342,10 @@ def linked(
     of_message = of_quote.groupBy("conv", "turn").agg(F.count("*").alias("n_linked"), F.sort_array(F.collect_set("origin")).alias("quoted_from"))
     votes = of_quote.filter("origin.conv = conv").groupBy("conv", "turn", "level", F.col("origin.turn").alias("to")).agg(F.count("*").alias("n"))
     answers = votes.groupBy("conv", "turn").agg(F.max(F.struct(-F.col("level"), "n", "to")).alias("best"))
-    replies = written(answers.select("conv", "turn", F.col("best.to").alias("reply_to"), F.col("best.to").alias("root")), "replies")
-    while True:  # every round doubles the part of a chain that is known
-        above = replies.select("conv", F.col("turn").alias("root"), F.col("root").alias("higher"))
-        moved = replies.join(above, ["conv", "root"], "left")
-        if moved.filter("higher IS NOT NULL").isEmpty():
-            break
-        replies = written(moved.select("conv", "turn", "reply_to", F.coalesce("higher", "root").alias("root")), "replies")
-    placed = _depth_first(rows.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn").distinct(), replies)
-    found = rows.join(of_message, ["conv", "turn"], "left").join(replies, ["conv", "turn"], "left").join(placed, ["conv", "turn"], "left")
+    replies = answers.select("conv", "turn", F.col("best.to").alias("reply_to"))
+    every = rows.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn").distinct()
+    walked = _depth_first(every.join(replies, ["conv", "turn"], "left"), walk)
+    found = rows.join(of_message, ["conv", "turn"], "left").join(walked, ["conv", "turn"], "left")
     root = F.coalesce("root", "turn")
     return found.select(
         "row",

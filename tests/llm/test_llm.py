@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -472,26 +473,50 @@ def brute_links(rows):
     return out
 
 
-def test_links_against_brute_force(spark):
+@pytest.mark.parametrize("walk", [1 << 18, 4])
+def test_links_against_brute_force(spark, walk):
     given = spark.read.parquet(f"{SMALL}/conversations.parquet")
     made = quotes.with_quotes(given).cache()
     assert made.columns == given.columns and made.count() == given.count()
     rows = [(r.conv_id, r.turn, r.text) for r in made.collect()]
     want = brute_links(rows)
-    found = quotes.linked(made).collect()
+    found = quotes.linked(made, walk=walk).collect()
     got = {(r.row.conv_id, r.row.turn): [r.n_linked, r.reply_to, [tuple(q) for q in r.quoted_from], r.root, r.reply_order] for r in found}
     assert got == want
     assert sum(x[0] > 0 for x in got.values()) > len(got) / 3
     assert max(r.deepest for r in found) >= 2
 
 
-def test_replies_depth_first(spark):
+@pytest.mark.parametrize("size", [1, 2, 5, 100])
+def test_conversations_across_batches(size):
+    chance = random.Random(size)
+    rows = [(c, t, chance.randrange(t) if t and chance.random() < 0.7 else None) for c in range(12) for t in range(chance.randrange(1, 15))]
+
+    def down(conv, turn, root):
+        yield turn, root
+        for c, t, up in rows:
+            if c == conv and up == turn:
+                yield from down(conv, t, root)
+
+    want = {}
+    for c in range(12):
+        order = [x for d, t, up in rows if d == c and up is None for x in down(c, t, t)]
+        want |= {(c, t): (root, place) for place, (t, root) in enumerate(order)}
+    shape = pa.schema([("conv", pa.int64()), ("turn", pa.int64()), ("reply_to", pa.int64())])
+    batches = pa.Table.from_pylist([dict(zip(shape.names, r)) for r in rows], shape).to_batches(max_chunksize=size)
+    got = pa.Table.from_batches(quotes._walk(iter([batches[0].slice(0, 0), *batches]))).to_pylist()
+    assert {(r["conv"], r["turn"]): (r["root"], r["place"]) for r in got} == want and len(got) == len(rows)
+    assert list(quotes._walk(iter([]))) == []
+
+
+@pytest.mark.parametrize("walk", [1 << 18, 10])
+def test_replies_depth_first(spark, walk):
     say = "This is what message number {} has to say."
     to = {1: 0, 2: 0, 3: 1, 5: 3, 6: 2}
     rows = [(7, i, (f"> {say.format(to[i])}\n" if i in to else "") + say.format(i)) for i in range(7)] + [(None, 1, "x"), (7, None, "y")]
     rows += [(8, i, (f"> {say.format(i - 1)} \n" if i else "") + say.format(i)) for i in range(300)]
     frame = spark.createDataFrame([(*r, "k", 1) for r in rows], "conv_id long, turn long, text string, own string, place int")
-    got = {(r.row.conv_id, r.row.turn): r.reply_order for r in quotes.linked(frame).collect()}
+    got = {(r.row.conv_id, r.row.turn): r.reply_order for r in quotes.linked(frame, walk=walk).collect()}
     assert sorted(range(7), key=lambda i: got[7, i]) == [0, 1, 3, 5, 2, 6, 4]
     assert [got[8, i] for i in range(300)] == list(range(300)) and got[None, 1] is None and got[7, None] is None
     assert quotes.linked(frame.limit(0)).count() == 0
