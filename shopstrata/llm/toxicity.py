@@ -5,11 +5,12 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from shopstrata.llm.common import as_bytes, labelled_sample, non_empty, packed, written
 
@@ -67,68 +68,73 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
 
 
-class _Sums:
-    """Sums per row and per column of a sparse 0/1 matrix given as sorted positions."""
-
-    def __init__(self, owner: np.ndarray, count: int) -> None:
-        self.order = np.argsort(owner, kind="stable")
-        self.starts = np.flatnonzero(np.r_[True, np.diff(owner[self.order]) > 0]) if len(owner) else np.empty(0, int)
-        self.present = owner[self.order][self.starts] if len(owner) else np.empty(0, int)
-        self.count = count
-
-    def __call__(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.count, *values.shape[1:]))
-        if len(self.starts):
-            out[self.present] = np.add.reduceat(values[self.order], self.starts, axis=0)
-        return out
-
-
-def train(rows: list[np.ndarray], labels: np.ndarray, size: int, rank: int, rounds: int, rate: float, decay: float, seed: int):
-    """Logistic loss by Adam over all rows; bias, weights and factors."""
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
-    term = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
-    per_row, per_term = _Sums(row, len(rows)), _Sums(term, size)
-    share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
-    random = np.random.default_rng(seed)
-    values = [np.array([np.log(share / (1 - share))]), np.zeros(size), random.normal(scale=0.05, size=(size, rank))]
-    first, second = [np.zeros_like(x) for x in values], [np.zeros_like(x) for x in values]
-    for step in range(1, rounds + 1):
-        bias, weights, factors = values
-        own = factors[term]
-        sums = per_row(own)
-        raw = bias + per_row(weights[term]) + 0.5 * ((sums**2).sum(1) - per_row((own**2).sum(1)))
-        error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels) / len(rows)
-        off = error[row]
-        slopes = [
-            np.array([error.sum()]),
-            per_term(off) + decay * weights,
-            per_term(off[:, None] * (sums[row] - own)) + decay * factors,
-        ]
-        for i, slope in enumerate(slopes):
-            first[i] = 0.9 * first[i] + 0.1 * slope
-            second[i] = 0.99 * second[i] + 0.01 * slope**2
-            values[i] = values[i] - rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)
-    return float(values[0][0]), values[1], values[2]
+def raw_and_slopes(own: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
+    """The raw score of a row whose terms have these weights (first column) and factors, and its slope by each of them."""
+    sums = own.sum(0)
+    slopes = sums - own
+    raw = bias + sums[0] + 0.5 * float((own[:, 1:] * slopes[:, 1:]).sum())
+    slopes[:, 0] = 1
+    return raw, slopes
+
+
+@dataclass
+class _State:
+    """What the rounds hand on: weight and factors of each term in one table, the sums of their squared slopes, and the same of the bias."""
+
+    table: np.ndarray
+    squares: np.ndarray
+    bias: np.ndarray  # value, sum of squared slopes
+
+    def after(self, sizes: np.ndarray, terms: np.ndarray, labels: np.ndarray, values: np.ndarray, rate: float, decay: float) -> tuple[_State, np.ndarray]:
+        """One pass of AdaGrad over rows in the given order, by logistic loss; also how far each term was reached (0 or 1)."""
+        table, squares, (bias, square) = self.table.copy(), self.squares.copy(), self.bias
+        reached = np.zeros(len(table), np.float32)
+        for label, at in zip(labels, np.split(terms, np.cumsum(sizes)[:-1])):
+            value = values[at, None]
+            raw, slopes = raw_and_slopes(table[at] * value, bias)
+            error = 1 / (1 + np.exp(-min(max(raw, -30), 30))) - label
+            slopes = slopes * (error * value) + decay * table[at]
+            squares[at] += slopes**2
+            table[at] -= rate * slopes / np.sqrt(squares[at])
+            square += error**2
+            bias -= rate * error / np.sqrt(square)
+            reached[at] = 1
+        return _State(table, squares, np.array([bias, square])), reached
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text", most: int = 12_000,
-    kept: int = 3_000, rank: int = 6, rounds: int = 150, rate: float = 0.05, decay: float = 2e-5, seed: int = 9,
+    rank: int = 6, rounds: int = 10, rate: float = 0.3, decay: float = 2e-5, doubt: float = 30.0, shards: int = 8, seed: int = 9,
 ) -> Model:
-    """Fit on about `most` labelled rows (a documented bound), never on held-out ones.
+    """Fit on about `most` labelled rows (a documented bound), never on held-out ones. Of rows with the same id one counts, that of the least text.
 
-    The document counts of all hashed terms in the sample, by label, are summed over partitions. The `kept` terms whose counts
-    differ most between the labels form the machine's input; the sample's rows, reduced to these terms, are bounded by
-    `most` times `kept` and are trained on at the driver. Without labelled rows every score is one half.
+    The document counts of all hashed terms in the sample, by label, are summed over partitions. Every term that two documents
+    have takes part. Its value as an input is x / (x + `doubt`), x being the chi-square of its counts: near 1 for terms that tell the labels
+    apart, near 0 for those that differ by chance.
+
+    Each round every shard of the sample, `shards` by a hash of the id, is gone over once in a task of its own, from where the last round ended;
+    the shards' changes are added up, each term's divided by the number of shards that have it. So the result does not depend on
+    partitions, and the driver holds `shards` tables of as many rows as terms (2^17 at most). Without labelled rows every score is one half.
     """
     sample = labelled_sample(docs, labels, label, id, text, most)
+    sample = sample.groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    sample = sample.withColumn("shard", F.pmod(F.xxhash64(F.col("id"), F.lit("shard")), F.lit(shards)).cast("int"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in non_empty(batches):
             found = [hashed(value) for value in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["terms", "label"])
-
-    rows = written(sample.mapInArrow(listed, "terms array<int>, label double"), "terms")
+            kept = [batch.column(name) for name in ("label", "shard", "id")]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), *kept], names=["terms", "label", "shard", "id"])
+
+    shape = StructType(
+        [
+            StructField("terms", ArrayType(IntegerType())),
+            StructField("label", DoubleType()),
+            StructField("shard", IntegerType()),
+            StructField("id", sample.schema["id"].dataType),
+        ]
+    )
+    rows = written(sample.mapInArrow(listed, shape), "terms")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -149,26 +155,59 @@ def fit(
     order = np.argsort(counts.column("term").to_numpy())
     term, seen, toxic = (counts.column(name).to_numpy()[order] for name in ("term", "seen", "toxic"))
     expected = seen * ones / count
-    odd = np.where(seen >= 2, (toxic - expected) ** 2 / np.maximum(expected * (1 - seen / (count + 1)), 1e-9), 0)
-    best = np.argsort(-odd, kind="stable")[:kept]
-    chosen = np.sort(term[best[odd[best] > 0]])
+    odd = (toxic - expected) ** 2 / np.maximum(expected * (1 - seen / (count + 1)), 1e-9)
+    chosen, odd = term[seen >= 2], odd[seen >= 2]
+    values = (odd / (odd + doubt)).astype(np.float32)
     place = np.full(BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
 
-    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each shard; its rows come one after the other, ordered by id."""
+        ordered = (row for batch in non_empty(batches) for row in batch.to_pylist())
+        for shard, group in groupby(ordered, key=lambda row: row["shard"]):
+            found, own = [], []
+            for row in group:
+                at = place[np.asarray(row["terms"], np.int64)]
+                found.append(at[at >= 0])
+                own.append(row["label"])
+            sizes = np.array([len(at) for at in found], np.int32)
+            yield pa.RecordBatch.from_pydict(
+                {"shard": pa.array([shard], pa.int32()), "sizes": [sizes.tobytes()], "terms": [np.concatenate(found).tobytes()], "labels": [np.array(own).tobytes()]}
+            )
+
+    by_shard = rows.repartition(shards, "shard").sortWithinPartitions("shard", "id")
+    parts = written(by_shard.mapInArrow(gathered, "shard int, sizes binary, terms binary, labels binary"), "shards")
+    share = np.clip(ones / count, 1e-3, 1 - 1e-3)
+    table = np.zeros((len(chosen), rank + 1), np.float32)
+    table[:, 1:] = np.random.default_rng(seed).normal(scale=0.05, size=(len(chosen), rank))
+    state = _State(table, np.full_like(table, 1e-2), np.array([np.log(share / (1 - share)), 1e-2]))
+    for _ in range(rounds):
+        state = _round(parts, state, values, rate, decay)
+    table = state.table.astype(float) * values[:, None]
+    return Model({int(term): i for i, term in enumerate(chosen)}, float(state.bias[0]), table[:, 0], table[:, 1:])
+
+
+def _round(parts: DataFrame, state: _State, values: np.ndarray, rate: float, decay: float) -> _State:
+    """The state after a pass over every shard, each from `state`."""
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in non_empty(batches):
-            found = [place[np.asarray(x, np.int64)] for x in batch.column("terms").to_pylist()]
-            found = [x[x >= 0] for x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["terms", "label"])
-
-    inputs = rows.mapInArrow(reduced, "terms array<int>, label double").toArrow()
-    inputs = inputs.combine_chunks()
-    lists = [np.asarray(x, np.int64) for x in inputs.column("terms").to_pylist()]
-    order = sorted(range(len(lists)), key=lambda i: (lists[i].tobytes(), inputs.column("label")[i].as_py()))
-    bias, weights, factors = train(
-        [lists[i] for i in order], inputs.column("label").to_numpy()[order], len(chosen), rank, rounds, rate, decay, seed
+            for row in batch.to_pylist():
+                given = (np.frombuffer(row[name], kind) for name, kind in (("sizes", np.int32), ("terms", np.int32), ("labels", float)))
+                new, reached = state.after(*given, values, rate, decay)
+                changes = {"table": new.table - state.table, "squares": new.squares - state.squares, "bias": new.bias - state.bias, "reached": reached}
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]], pa.int32()), **{k: [x.tobytes()] for k, x in changes.items()}})
+
+    found = parts.mapInArrow(passed, "shard int, table binary, squares binary, bias binary, reached binary").collect()
+    found.sort(key=lambda row: row["shard"])
+    total = lambda name, kind: sum(np.frombuffer(row[name], kind).astype(float) for row in found)
+    shape, reached = state.table.shape, np.maximum(total("reached", np.float32), 1)
+    bias = state.bias + total("bias", float) / [len(found), 1]
+    return _State(
+        (state.table + total("table", np.float32).reshape(shape) / reached[:, None]).astype(np.float32),
+        (state.squares + total("squares", np.float32).reshape(shape)).astype(np.float32),
+        bias,
     )
-    return Model({int(term): i for i, term in enumerate(chosen)}, bias, weights, factors)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", carry: Iterable[str] | None = None) -> DataFrame:

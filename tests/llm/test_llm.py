@@ -311,6 +311,34 @@ def test_scores_of_edges(spark, module):
         assert len(found) == rows.count() and all(0 <= r.score <= 1 for r in found) and found[0].score == found[1].score
 
 
+def test_slopes_of_the_machine():
+    own = np.random.default_rng(1).normal(size=(5, 4))
+    raw, slopes = toxicity.raw_and_slopes(own, 0.5)
+    pairs = sum(own[i, 1:] @ own[j, 1:] for i in range(5) for j in range(i))
+    assert np.isclose(raw, 0.5 + own[:, 0].sum() + pairs)
+    for at in np.ndindex(own.shape):
+        more = own.copy()
+        more[at] += 1e-6
+        assert np.isclose((toxicity.raw_and_slopes(more, 0.5)[0] - raw) / 1e-6, slopes[at], atol=1e-4)
+    model = toxicity.Model({t: i for i, t in enumerate(x for w in (b"ab", b"cd") for x in toxicity.terms(w))}, 0.5, own[:2, 0], own[:2, 1:])
+    assert np.isclose(model.score(b"ab cd"), 1 / (1 + np.exp(-toxicity.raw_and_slopes(own[:2], 0.5)[0])))
+
+
+def test_toxic_pairs_and_repeated_ids(spark):
+    chance = random.Random(4)
+    filler = ["".join(chance.choices("bcdfghklm", k=5)) for _ in range(3000)]
+    rows = [(i, " ".join([*chance.sample(filler, 20), *(["zog"] if i % 4 in (0, 1) else []), *(["pax"] if i % 4 in (0, 2) else [])])) for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    frame = docs(spark, *rows)
+    model = toxicity.fit(frame, labels)
+    assert len(model.kept) > 3000  # every term that two documents have
+    score = {words: model.score(words.encode()) for words in ("zog pax", "zog", "pax", "")}
+    assert score["zog pax"] > 0.5 > max(score["zog"], score["pax"], score[""])
+    again = toxicity.fit(frame.union(docs(spark, *[(0, "zog zz")] * 500)).repartition(7), labels)  # "... pax" of id 0 is the least text
+    least = min(rows[0][1], "zog zz")
+    assert (least == rows[0][1]) and again.bias == model.bias and np.array_equal(again.weights, model.weights) and np.array_equal(again.factors, model.factors)
+
+
 def test_surrogates(spark):
     text = "Write to Jo.B4@mail.example.com or +1 (017) 555-7713, Mrs. Ada Stone; card 4539578763621486, 10.0.0.1, key 04dbebab91ab85687d33eeaaf9ac699e"
     rows = docs(spark, (1, text), (2, "jo.b4@MAIL.example.com"), (3, None), (4, ""), (5, "nothing 4.0. here"), (5, text))
