@@ -79,32 +79,35 @@ def raw_and_slopes(own: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
 
 @dataclass
 class _State:
-    """What the rounds hand on: weight and factors of each term in one table, the sums of their squared slopes, and the same of the bias."""
+    """What the rounds hand on: weight and factors of each term in one table; the sums of their squared slopes, one for the weight
+    and one (a mean) for the factors; and value and sum of the bias."""
 
     table: np.ndarray
     squares: np.ndarray
-    bias: np.ndarray  # value, sum of squared slopes
+    bias: np.ndarray
 
     def after(self, sizes: np.ndarray, terms: np.ndarray, labels: np.ndarray, values: np.ndarray, rate: float, decay: float) -> tuple[_State, np.ndarray]:
-        """One pass of AdaGrad over rows in the given order, by logistic loss; also how far each term was reached (0 or 1)."""
+        """One pass of AdaGrad over rows in the given order, by logistic loss; also the terms it reached."""
         table, squares, (bias, square) = self.table.copy(), self.squares.copy(), self.bias
-        reached = np.zeros(len(table), np.float32)
         for label, at in zip(labels, np.split(terms, np.cumsum(sizes)[:-1])):
             value = values[at, None]
             raw, slopes = raw_and_slopes(table[at] * value, bias)
             error = 1 / (1 + np.exp(-min(max(raw, -30), 30))) - label
             slopes = slopes * (error * value) + decay * table[at]
-            squares[at] += slopes**2
-            table[at] -= rate * slopes / np.sqrt(squares[at])
+            new = squares[at] + np.stack([slopes[:, 0] ** 2, (slopes[:, 1:] ** 2).mean(1)], axis=1)
+            squares[at] = new
+            slopes *= rate
+            slopes[:, 0] /= np.sqrt(new[:, 0])
+            slopes[:, 1:] /= np.sqrt(new[:, 1:])
+            table[at] -= slopes
             square += error**2
             bias -= rate * error / np.sqrt(square)
-            reached[at] = 1
-        return _State(table, squares, np.array([bias, square])), reached
+        return _State(table, squares, np.array([bias, square])), np.unique(terms)
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text", most: int = 12_000,
-    rank: int = 6, rounds: int = 10, rate: float = 0.3, decay: float = 2e-5, doubt: float = 30.0, shards: int = 8, seed: int = 9,
+    rank: int = 6, rounds: int = 10, rate: float = 0.3, decay: float = 2e-5, doubt: float = 30.0, shards: int = 4, seed: int = 9,
 ) -> Model:
     """Fit on about `most` labelled rows (a documented bound), never on held-out ones. Of rows with the same id one counts, that of the least text.
 
@@ -114,7 +117,7 @@ def fit(
 
     Each round every shard of the sample, `shards` by a hash of the id, is gone over once in a task of its own, from where the last round ended;
     the shards' changes are added up, each term's divided by the number of shards that have it. So the result does not depend on
-    partitions, and the driver holds `shards` tables of as many rows as terms (2^17 at most). Without labelled rows every score is one half.
+    partitions, and the driver holds `shards` tables of the terms they reach (2^17 at most). Without labelled rows every score is one half.
     """
     sample = labelled_sample(docs, labels, label, id, text, most)
     sample = sample.groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
@@ -180,7 +183,7 @@ def fit(
     share = np.clip(ones / count, 1e-3, 1 - 1e-3)
     table = np.zeros((len(chosen), rank + 1), np.float32)
     table[:, 1:] = np.random.default_rng(seed).normal(scale=0.05, size=(len(chosen), rank))
-    state = _State(table, np.full_like(table, 1e-2), np.array([np.log(share / (1 - share)), 1e-2]))
+    state = _State(table, np.full((len(table), 2), 1e-2, np.float32), np.array([np.log(share / (1 - share)), 1e-2]))
     for _ in range(rounds):
         state = _round(parts, state, values, rate, decay)
     table = state.table.astype(float) * values[:, None]
@@ -194,20 +197,22 @@ def _round(parts: DataFrame, state: _State, values: np.ndarray, rate: float, dec
         for batch in non_empty(batches):
             for row in batch.to_pylist():
                 given = (np.frombuffer(row[name], kind) for name, kind in (("sizes", np.int32), ("terms", np.int32), ("labels", float)))
-                new, reached = state.after(*given, values, rate, decay)
-                changes = {"table": new.table - state.table, "squares": new.squares - state.squares, "bias": new.bias - state.bias, "reached": reached}
-                yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]], pa.int32()), **{k: [x.tobytes()] for k, x in changes.items()}})
-
-    found = parts.mapInArrow(passed, "shard int, table binary, squares binary, bias binary, reached binary").collect()
-    found.sort(key=lambda row: row["shard"])
-    total = lambda name, kind: sum(np.frombuffer(row[name], kind).astype(float) for row in found)
-    shape, reached = state.table.shape, np.maximum(total("reached", np.float32), 1)
-    bias = state.bias + total("bias", float) / [len(found), 1]
-    return _State(
-        (state.table + total("table", np.float32).reshape(shape) / reached[:, None]).astype(np.float32),
-        (state.squares + total("squares", np.float32).reshape(shape)).astype(np.float32),
-        bias,
-    )
+                new, at = state.after(*given, values, rate, decay)
+                changes = np.hstack([new.table[at] - state.table[at], new.squares[at] - state.squares[at]])
+                found = {"terms": at.astype(np.int32), "changes": changes, "bias": new.bias - state.bias}
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]], pa.int32()), **{k: [x.tobytes()] for k, x in found.items()}})
+
+    found = parts.mapInArrow(passed, "shard int, terms binary, changes binary, bias binary").collect()
+    wide = state.table.shape[1]
+    total, reached = np.zeros((len(state.table), wide + 2), np.float32), np.zeros((len(state.table), 1), np.float32)
+    bias = np.zeros(2)
+    for row in sorted(found, key=lambda row: row["shard"]):
+        at = np.frombuffer(row["terms"], np.int32)
+        total[at] += np.frombuffer(row["changes"], np.float32).reshape(-1, wide + 2)
+        reached[at] += 1
+        bias += np.frombuffer(row["bias"])
+    table = state.table + total[:, :wide] / np.maximum(reached, 1)
+    return _State(table, state.squares + total[:, wide:], state.bias + bias / [max(len(found), 1), 1])
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", carry: Iterable[str] | None = None) -> DataFrame:
