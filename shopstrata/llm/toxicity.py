@@ -191,28 +191,31 @@ def fit(
 
 
 def _round(parts: DataFrame, state: _State, values: np.ndarray, rate: float, decay: float) -> _State:
-    """The state after a pass over every shard, each from `state`."""
+    """The state after a pass over every shard, each from `state`, which is sent to the tasks and let go again."""
+    sent = parts.sparkSession.sparkContext.broadcast((state, values, rate, decay))
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, *more = sent.value
         for batch in non_empty(batches):
             for row in batch.to_pylist():
                 given = (np.frombuffer(row[name], kind) for name, kind in (("sizes", np.int32), ("terms", np.int32), ("labels", float)))
-                new, at = state.after(*given, values, rate, decay)
+                new, at = state.after(*given, *more)
                 changes = np.hstack([new.table[at] - state.table[at], new.squares[at] - state.squares[at]])
                 found = {"terms": at.astype(np.int32), "changes": changes, "bias": new.bias - state.bias}
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]], pa.int32()), **{k: [x.tobytes()] for k, x in found.items()}})
 
-    found = parts.mapInArrow(passed, "shard int, terms binary, changes binary, bias binary").collect()
+    found = parts.mapInArrow(passed, "shard int, terms binary, changes binary, bias binary").toArrow().sort_by("shard")
+    sent.destroy()
     wide = state.table.shape[1]
     total, reached = np.zeros((len(state.table), wide + 2), np.float32), np.zeros((len(state.table), 1), np.float32)
     bias = np.zeros(2)
-    for row in sorted(found, key=lambda row: row["shard"]):
-        at = np.frombuffer(row["terms"], np.int32)
-        total[at] += np.frombuffer(row["changes"], np.float32).reshape(-1, wide + 2)
+    for reaches, changes, moved in zip(*(found.column(name) for name in ("terms", "changes", "bias"))):
+        at = np.frombuffer(reaches.as_buffer(), np.int32)
+        total[at] += np.frombuffer(changes.as_buffer(), np.float32).reshape(-1, wide + 2)
         reached[at] += 1
-        bias += np.frombuffer(row["bias"])
+        bias += np.frombuffer(moved.as_buffer())
     table = state.table + total[:, :wide] / np.maximum(reached, 1)
-    return _State(table, state.squares + total[:, wide:], state.bias + bias / [max(len(found), 1), 1])
+    return _State(table, state.squares + total[:, wide:], state.bias + bias / [max(found.num_rows, 1), 1])
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", carry: Iterable[str] | None = None) -> DataFrame:
