@@ -227,9 +227,11 @@ def _found(docs: DataFrame, benchmark: DataFrame, id: str, text: str, carry: lis
     places = written(_pairs_of(classes), "item-pairs")
     met = _met(docs, text, carry, _filter(places))
     piece = F.struct("item", "words", "piece", "seeds")
-    near = _candidates(classes, places, met).groupBy("pid").agg(F.collect_list(piece).alias("near"))
+    near = written(_candidates(classes, places, met).groupBy("pid").agg(F.collect_list(piece).alias("near")), "near")
     value = F.col(f"row.`{text}`").cast("string") if text in carry else F.col("text")
-    texts = met.filter("size(hits) > 0").select("pid", value.alias("text")).join(near, "pid")
+    # Only texts with candidates are shuffled; the ids that choose them come from a table whose size Spark knows.
+    texts = met.filter("size(hits) > 0").select("pid", value.alias("text")).join(near.select("pid"), "pid", "left_semi")
+    texts = texts.join(near.hint("merge"), "pid")
     shape = "pid long, item long, similarity double, seeds long, first_word long, end_word long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,4 +278,4 @@ def leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "item_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that hold no copy of a benchmark item, by the rules of `leaks`."""
     met, copies, _ = _found(docs, benchmark, id, text, docs.columns)
-    return met.join(copies.select("pid").distinct(), "pid", "left_anti").select("row.*")
+    return met.join(written(copies.select("pid").distinct(), "leaking"), "pid", "left_anti").select("row.*")
