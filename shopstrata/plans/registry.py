@@ -429,17 +429,27 @@ def order_amount_category_stream(spark, d):
 # A snapshot, then its change log.
 
 
+#: Rows of a file of a snapshot or log, about: what one task writes, and later reads.
+FILE_ROWS = 250_000
+
+
+def _files(rows):
+    return max(4, -(-rows.count() // FILE_ROWS))
+
+
 def _from_log(spark, detail, as_of, current, later, purpose, prepare, stopped=False):
     """Detail rows from a table's snapshot and log, read to the end; or two files at a time, stopped on the way and resumed.
 
-    `current` is the table as of number `as_of`, `later` its changes above. The log also repeats the creation of every
-    row of the snapshot, which the stream has to leave out.
+    `current` is the table as of number `as_of`, in a partition for each file of the snapshot; `later` gives the changes above
+    of the snapshot as it is stored. The log also repeats the creation of every row of the snapshot, which the stream has to
+    leave out. Both have more files, not larger ones, as the table grows.
     """
     folder = run_dir(spark, purpose)
-    current.repartition(4).write.parquet(f"{folder}/in/snapshot")
-    created = current.select(F.lit("c").alias("op"), F.pmod(F.xxhash64("id"), F.lit(as_of)).alias("seq"), *current.columns)
-    log = created.unionByName(later.select(created.columns))
-    log.repartitionByRange(4, "seq").sortWithinPartitions("seq").write.parquet(f"{folder}/in/log")
+    current.write.parquet(f"{folder}/in/snapshot")
+    stored = spark.read.schema(current.schema).parquet(f"{folder}/in/snapshot")
+    created = stored.select(F.lit("c").alias("op"), F.pmod(F.xxhash64("id"), F.lit(as_of)).alias("seq"), *stored.columns)
+    log = created.unionByName(later(stored).select(created.columns))
+    log.repartitionByRange(_files(log), "seq").sortWithinPartitions("seq").write.parquet(f"{folder}/in/log")
     table = KeyedTable(spark, f"{folder}/table", StructType([*detail, StructField("bucket", IntegerType())]), ["id"], "bucket")
     write = hops.keyed_detail_hop(table, f"{folder}/checkpoint", prepare)
     if stopped:
@@ -448,15 +458,20 @@ def _from_log(spark, detail, as_of, current, later, purpose, prepare, stopped=Fa
         wait_for_batches(started, 2)
         stop_hop(started, spark)
     run_hop(read_change_log(spark, f"{folder}/in", current.schema, as_of), write, f"{folder}/checkpoint")
-    return table.snapshot().drop("bucket")
+    return table.snapshot(parts=_files(table.changes())).drop("bucket")
 
 
 AS_OF = 1_000_000
 
 
 def _unique_lines(spark, d):
-    """One row for each line number of an order, of which the test table repeats some."""
-    return cleanse.dedup_earliest(table(spark, d, "lineitem"), LINE_KEY, LINE_ORDER)
+    """One row for each line number of an order, of which the test table repeats some.
+
+    Lines meet before they are sorted, in parts whose number grows with the table; ranked where they are read, a task sorts a
+    whole split.
+    """
+    lines = table(spark, d, "lineitem")
+    return cleanse.dedup_earliest(lines.repartition(_files(lines), *LINE_KEY), LINE_KEY, LINE_ORDER)
 
 
 def _later(current, op, number, where, **new):
@@ -470,11 +485,17 @@ def _later(current, op, number, where, **new):
 def payment_log_stream(spark, d):
     """Payments as of a number; then open ones are paid a day later, and low-priority paid ones are deleted."""
     names = ["id", "order_id", "user_id", "payment_type", "payment_amount", "payment_status", "create_time"]
-    paid = _payments(spark, d).select(*names[:4], F.md5(F.col("id").cast("string")).alias("trade_no"), *names[4:])
+    payments = _payments(spark, d)
+    paid = payments.repartition(_files(payments)).select(*names[:4], F.md5(F.col("id").cast("string")).alias("trade_no"), *names[4:])
     current = paid.withColumn("callback_time", F.col("create_time") + F.expr("INTERVAL '1.5' SECOND"))
-    later = _later(current, "u", 1, F.col("payment_status") == "P", payment_status=F.lit(PAID), create_time=F.col("create_time") + F.expr("INTERVAL 1 DAY"))
-    gone = _later(current, "d", 2, (F.col("payment_status") == PAID) & (F.col("payment_type") == "5-LOW"))
-    return _from_log(spark, PAYMENT_DETAIL, AS_OF, current, later.unionByName(gone), "payment-log", cleanse.payment_detail, stopped=True)
+
+    def later(stored):
+        a_day_later = F.col("create_time") + F.expr("INTERVAL 1 DAY")
+        paid = _later(stored, "u", 1, F.col("payment_status") == "P", payment_status=F.lit(PAID), create_time=a_day_later)
+        gone = _later(stored, "d", 2, (F.col("payment_status") == PAID) & (F.col("payment_type") == "5-LOW"))
+        return paid.unionByName(gone)
+
+    return _from_log(spark, PAYMENT_DETAIL, AS_OF, current, later, "payment-log", cleanse.payment_detail, stopped=True)
 
 
 @query
@@ -483,7 +504,10 @@ def refund_log_stream(spark, d):
     lines = _unique_lines(spark, d)
     own = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     current = retail.refunds(lines, own.alias("id"), F.col("l_suppkey").alias("user_id")).filter(F.col("refund_status") != "N")
-    later = _later(current, "u", 1, F.col("refund_status") == "A", refund_status=F.lit(REFUNDED))
+
+    def later(stored):
+        return _later(stored, "u", 1, F.col("refund_status") == "A", refund_status=F.lit(REFUNDED))
+
     return _from_log(spark, REFUND_DETAIL, AS_OF, current, later, "refund-log", cleanse.refund_detail)
 
 
@@ -494,10 +518,14 @@ def order_log_stream(spark, d):
     current = lines.withColumn("id", F.col("order_id") * 10 + F.col("line_number")).drop("line_number")
     current = current.withColumn("sku_name", F.concat(F.lit("sku "), F.col("sku_id").cast("string")))
     number = F.col("id") % 10
-    more = _later(current, "u", 1, number == 1, sku_num=F.col("sku_num") + 1)
-    gone = _later(current, "d", 1, number == 6)
-    back = _later(current, "c", 2, number == 6, order_price=F.col("order_price") + 1)
-    return _from_log(spark, ORDER_LINE, AS_OF, current, more.unionByName(gone).unionByName(back), "order-log", cleanse.order_detail)
+
+    def later(stored):
+        more = _later(stored, "u", 1, number == 1, sku_num=F.col("sku_num") + 1)
+        gone = _later(stored, "d", 1, number == 6)
+        back = _later(stored, "c", 2, number == 6, order_price=F.col("order_price") + 1)
+        return more.unionByName(gone).unionByName(back)
+
+    return _from_log(spark, ORDER_LINE, AS_OF, current, later, "order-log", cleanse.order_detail)
 
 
 @query

@@ -80,19 +80,24 @@ class KeyedTable:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         return reader.option("basePath", self.path).parquet(f"{self.path}/kind={LOG}/batch=*")
 
-    def latest(self, where: Column | None = None, without_batch: str | None = None) -> DataFrame:
-        """The last change per key, deletions included, optionally as if a batch had not been written."""
+    def latest(self, where: Column | None = None, without_batch: str | None = None, parts: int | None = None) -> DataFrame:
+        """The last change per key, deletions included, optionally as if a batch had not been written.
+
+        Each task sorts what it reads and sends on the last change of a key, so a key may have any number of changes. With
+        `parts`, rows meet in so many parts before they are sorted: for a table of few changes a key, of which a task then holds
+        no more as its files grow.
+        """
         log = self.changes()
         if where is not None:
             log = log.filter(where)
         if without_batch is not None:
             log = log.filter(F.col("batch") != without_batch)
-        log = log.drop("kind", "batch")
-        return latest_per_key(log, list(dict.fromkeys([self.day, *self.keys])), ["seq"])
+        log, keys = log.drop("kind", "batch"), list(dict.fromkeys([self.day, *self.keys]))
+        return latest_per_key(log.repartition(parts, *keys) if parts else log, keys, ["seq"])
 
-    def snapshot(self, where: Column | None = None) -> DataFrame:
-        """The rows of the table now."""
-        return self.latest(where).filter(F.col("op") != "d").select(*self.columns)
+    def snapshot(self, where: Column | None = None, parts: int | None = None) -> DataFrame:
+        """The rows of the table now; `parts` as in `latest`."""
+        return self.latest(where, parts=parts).filter(F.col("op") != "d").select(*self.columns)
 
     def route(self, changes: DataFrame, old_day: Column | None = None) -> DataFrame:
         """Changes plus a deletion on the old day of every key that moved to another day.

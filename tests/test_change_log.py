@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -9,6 +11,8 @@ from helpers import as_set
 
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from shopstrata.plans import registry
+from shopstrata.session import shared_dir
 from shopstrata.sources.change_log import ChangeLogReader, change_rows, read_change_log
 from shopstrata.streaming.hops import keyed_detail_hop
 from shopstrata.streaming.keyed_table import KeyedTable
@@ -98,3 +102,17 @@ def test_a_stopped_stream_resumes(spark, source, tmp_path):
     run_hop(read_change_log(spark, str(source), TABLE, AS_OF), write, checkpoint)
     assert as_set(table.snapshot(), "id", "state") == {(1, "newer"), (3, "old"), (4, "old"), (5, "old"), (9, "newest")}
     assert table.changes().count() == len(SNAPSHOT | LATER) + 2  # each change was written once
+
+
+@pytest.mark.parametrize("name,rows", [("order", 8_000), ("refund", 4_000), ("payment", 1_500)])
+def test_files_and_tasks_hold_no_more_rows_as_the_table_grows(spark, monkeypatch, name, rows):
+    """Snapshot and log are cut by rows, also what one task sorts: four parts held a quarter of any table."""
+    monkeypatch.setattr(registry, "FILE_ROWS", 200, raising=False)
+    before = set(glob.glob(f"{shared_dir(spark)}/{name}-log-*"))
+    result = registry.QUERIES[f"{name}_log_stream"](spark, "/root/testdata/sf0.001")
+    (folder,) = set(glob.glob(f"{shared_dir(spark)}/{name}-log-*")) - before
+    for kind in ("snapshot", "log"):
+        sizes = [pq.read_metadata(file).num_rows for file in glob.glob(f"{folder}/in/{kind}/*.parquet")]
+        assert max(sizes) <= 500 and len(sizes) >= 5, kind
+    assert "REPARTITION_BY_NUM" in result._jdf.queryExecution().executedPlan().toString()
+    assert result.rdd.getNumPartitions() >= rows // 400
