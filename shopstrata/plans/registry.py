@@ -224,8 +224,9 @@ def _repeated(nested):
 def ttl_dedup(spark, d):
     """Repeated events through expiring state."""
     nested = _repeated(retail.nested_events(retail.table_stream(spark, d, "events")))
+    groups = max(8, _events(spark, d).count() // 500)
     with expiring_state(spark):
-        emitted = run_to_table(dedup.ttl_dedup(cleanse.flatten_events(nested)), "ttl-dedup")
+        emitted = run_to_table(dedup.ttl_dedup(cleanse.flatten_events(nested), groups=groups), "ttl-dedup")
     return changes.apply_changes(emitted, ["event_id", "biz_date"])
 
 

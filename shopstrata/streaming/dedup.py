@@ -17,7 +17,8 @@ from shopstrata.operators.cleanse import dedup_earliest
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DAY_MS = 24 * 60 * 60 * 1000
-STATE = T.StructType([T.StructField("event_time_ms", T.LongType()), T.StructField("biz_date", T.StringType())])
+#: Groups of ids that share a state row.
+GROUPS = 4096
 
 
 def change_rows(schema: T.StructType) -> T.StructType:
@@ -32,41 +33,59 @@ def _earliest_in_chunk(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 
 class KeepEarliest(StatefulProcessor):
-    """Per id: emit a change when the id is new or an earlier event of it arrives."""
+    """Per id of a group: emit a change when the id is new or an earlier event of it arrives.
 
-    def __init__(self, columns: list[str], ttl_ms: int):
-        self.columns, self.ttl_ms = columns, ttl_ms
+    A state row lists the ids of its group with the time and day kept and when that changed last. An id goes `ttl_ms` after its own
+    last change, the row `ttl_ms` after the last change of any.
+    """
+
+    def __init__(self, schema: T.StructType, ttl_ms: int):
+        self.columns, self.ttl_ms = schema.fieldNames(), ttl_ms
+        kinds = {"event_id": schema["event_id"].dataType, "event_time_ms": T.LongType(), "biz_date": T.StringType(), "changed": T.LongType()}
+        self.state = T.StructType([T.StructField(name, T.ArrayType(kind)) for name, kind in kinds.items()])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", STATE, ttlDurationMs=self.ttl_ms)
+        self.kept = handle.getValueState("kept", self.state, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first = min(rows, key=lambda row: row.event_time_ms)
-        known = self.kept.get()
-        if known is not None and known[0] <= first.event_time_ms:
+        first: dict[object, Row] = {}
+        for row in rows:
+            if row.event_id not in first or row.event_time_ms < first[row.event_id].event_time_ms:
+                first[row.event_id] = row
+        now = timerValues.getCurrentProcessingTimeInMs()
+        known = {id: rest for id, *rest in zip(*(self.kept.get() or ())) if rest[2] + self.ttl_ms > now}
+        news = {id: row for id, row in first.items() if id not in known or row.event_time_ms < known[id][0]}
+        if not news:
             return
-        self.kept.update((first.event_time_ms, first.biz_date))
-        values = {name: first[name] for name in self.columns}
-        seq = -first.event_time_ms
-        yield Row(**values, op="c" if known is None else "u", seq=seq)
-        if known is not None and known[1] != first.biz_date:
-            yield Row(**{**values, "biz_date": known[1]}, op="d", seq=seq)
+        held = known | {id: (row.event_time_ms, row.biz_date, now) for id, row in news.items()}
+        self.kept.update((list(held), *map(list, zip(*held.values()))))
+        for id, row in news.items():
+            values = {name: row[name] for name in self.columns}
+            seq = -row.event_time_ms
+            yield Row(**values, op="u" if id in known else "c", seq=seq)
+            if id in known and known[id][1] != row.biz_date:
+                yield Row(**{**values, "biz_date": known[id][1]}, op="d", seq=seq)
 
     def close(self) -> None:
         pass
 
 
-def ttl_dedup(events: DataFrame, ttl_ms: int = DAY_MS) -> DataFrame:
+def ttl_dedup(events: DataFrame, ttl_ms: int = DAY_MS, groups: int = GROUPS) -> DataFrame:
     """Change rows of the earliest event per `event_id`; an id that returns `ttl_ms` after its last change is new.
 
     Rows need event_id, event_time_ms and biz_date. `seq` is the negated event time, so "last change wins" in
     a keyed table means "earliest event wins", in any order of arrival; an earlier event on another day also
     deletes the row on the old day. Copies are first dropped within each record batch of a task, so an
     id with very many copies reaches its state as few rows.
+
+    The state of ids lies in `groups` rows, by a hash of the id, so that a call of the state serves many ids. A batch reads
+    and writes the whole rows its ids are in: with some hundred ids a row, large batches cost little an id, and small ones
+    are not dear. The number stays for the life of a checkpoint.
     """
     reduced = events.mapInPandas(_earliest_in_chunk, events.schema)
-    return reduced.groupBy("event_id").transformWithState(
-        KeepEarliest(events.columns, ttl_ms), change_rows(events.schema), "append", "processingTime"
+    grouped = reduced.withColumn("_group", F.pmod(F.xxhash64("event_id"), F.lit(groups)))
+    return grouped.groupBy("_group").transformWithState(
+        KeepEarliest(events.schema, ttl_ms), change_rows(events.schema), "append", "processingTime"
     )
 
 

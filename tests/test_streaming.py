@@ -4,7 +4,7 @@ import json
 import time
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 
 from helpers import PAYMENT, as_set, at, metric_map, money, payment
 from shopstrata import schemas
@@ -329,3 +329,52 @@ def test_deletion_without_an_after_image_removes_the_row(spark, tmp_path):
         table.write(table.route(row("d", 2, None), old_day), "b")
         assert table.snapshot().count() == 0
         assert table.changes().filter("pay_date IS NULL").count() == 0
+
+
+class FakeState:
+    """One state row in place of Spark's, and a clock."""
+
+    def __init__(self):
+        self.row, self.now, self.updates = None, 0, 0
+
+    def getValueState(self, name, schema, ttlDurationMs):
+        return self
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def get(self):
+        return self.row
+
+    def update(self, row):
+        self.row, self.updates = row, self.updates + 1
+
+
+def test_ids_that_share_a_state_row_expire_by_their_own_last_change():
+    schema = T.StructType.fromDDL("event_id string, event_time_ms bigint, biz_date string")
+    state, processor = FakeState(), dedup.KeepEarliest(schema, 1_000)
+    processor.init(state)
+
+    def send(now, *events):
+        state.now = now
+        rows = [Row(event_id=id, event_time_ms=time, biz_date=day) for id, time, day in events]
+        return [tuple(row[name] for name in ("event_id", "event_time_ms", "biz_date", "op")) for row in processor.handleInputRows((0,), iter(rows), state)]
+
+    assert send(0, ("a", 5, "1"), ("a", 4, "1"), ("b", 7, "1")) == [("a", 4, "1", "c"), ("b", 7, "1", "c")]
+    assert send(400, ("a", 9, "1")) == [] and state.updates == 1  # no change, and a stays as old as it is
+    assert send(600, ("b", 3, "0")) == [("b", 3, "0", "u"), ("b", 3, "1", "d")]
+    assert send(1_000, ("a", 9, "1"), ("b", 8, "1"), (None, 1, "1")) == [("a", 9, "1", "c"), (None, 1, "1", "c")]
+    assert send(1_700, ("c", 1, "1")) == [("c", 1, "1", "c")]
+    assert set(state.row[0]) == {"a", None, "c"}  # b is gone from the row
+
+
+def test_state_rows_are_no_more_than_groups(spark, tmp_path):
+    folder = write_lines(tmp_path / "in", [json.dumps(event(f"id{k}", BASE + k)) for k in range(300)])
+    with expiring_state(spark):
+        query = (
+            dedup.ttl_dedup(flat_events(spark, folder), groups=10).writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 300
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 10
