@@ -19,6 +19,8 @@ GRAM = 20
 UNIT = 8 << 20
 #: Places whose hashes are held at a time.
 PLACES = 1 << 16
+#: Bytes of texts whose windows are named at a time, one text at least.
+NAMED = 1 << 19
 #: A name that more texts have is cut into windows, so that its pieces do not all meet in one bucket.
 HOT = 4096
 LAST = (1 << 63) - 1
@@ -59,7 +61,16 @@ def names(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
     """Runs of windows with one name: text number, first window and past-the-last window in the text, and the name.
 
     A window's name is the least hash of its 20-byte strings. Equal windows have equal names, and neighbours mostly share one.
+    Some texts at a time are named, as there are several numbers of eight bytes for each window until it is known where runs end.
     """
+    number = (np.cumsum([0, *map(len, texts)])[:-1] // NAMED) if texts else np.empty(0, np.int64)
+    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if texts else []
+    parts = [_names(texts[a:b], length) for a, b in zip(starts, [*starts[1:], len(texts)])] or [_names([], length)]
+    owner = np.concatenate([first + part[0] for first, part in zip([*starts, 0], parts)])
+    return owner, np.concatenate([part[1] for part in parts]), np.concatenate([part[2] for part in parts])
+
+
+def _names(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     whole = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     if len(whole) < length:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -587,3 +588,20 @@ def test_queries_and_pipeline(spark):
     assert found.keys() == want.keys()
     for id, row in found.items():
         assert row.decoded_sha256 == hashlib.sha256(want[id].encode()).hexdigest() and len(row.ids) == row.n_tokens
+
+
+def test_naming_windows_holds_numbers_for_some_texts_only():
+    """Several numbers of eight bytes for each window of a unit were held at once."""
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(range(97, 105), k=rng.randrange(0, 6_000))) for _ in range(1_500)]
+    tracemalloc.start()
+    owner, spans, name = suffix_dedup.names(texts, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * sum(map(len, texts))
+    at = 0
+    for i, text in enumerate(texts[:200]):
+        _, own, least = suffix_dedup.names([text], 50)
+        assert (owner[at : at + len(own)] == i).all() and (spans[at : at + len(own)] == own).all() and (name[at : at + len(own)] == least).all()
+        at += len(own)
+    assert len(name) > at and suffix_dedup.names([], 50)[1].shape == (0, 2)
