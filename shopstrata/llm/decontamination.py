@@ -180,6 +180,26 @@ def _filter(seeds: DataFrame) -> np.ndarray:
     return out
 
 
+def _there(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which numbers a filter lets through: all it was made of, and few others."""
+    position = codes & (FILTER_BITS - 1)
+    slot = np.where(position > 0, position - 1 + _BITMAP, 0)
+    return bits[slot >> 3] >> (slot & 7) & 1 > 0
+
+
+def _with_candidates(texts: DataFrame, near: DataFrame) -> DataFrame:
+    """The texts whose pid `near` has, and few others, without a shuffle of texts."""
+    seed = F.xxhash64("pid").alias("seed")
+    bits = _filter(near.select(seed))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in non_empty(batches):
+            chosen = batch.filter(pa.array(_there(batch.column("seed").to_numpy(), bits)))
+            yield pa.RecordBatch.from_arrays(chosen.columns[:2], names=["pid", "text"])
+
+    return texts.select("pid", "text", seed).mapInArrow(run, texts.select("pid", "text").schema)
+
+
 def _met(docs: DataFrame, text: str, carry: list[str], bits: np.ndarray) -> DataFrame:
     """A written table of all rows: pid (unique), row, text (if `row` has none) and hits: places of pairs that the filter lets through."""
     given = docs.select(packed(docs, carry), F.col(f"`{text}`").cast("string").alias("text"))
@@ -191,9 +211,7 @@ def _met(docs: DataFrame, text: str, carry: list[str], bits: np.ndarray) -> Data
             places, seeds = [], []
             for value in batch.column("text").to_pylist():
                 place, code = pairs(numbered(words(value)))
-                position = code & (FILTER_BITS - 1)
-                slot = np.where(position > 0, position - 1 + _BITMAP, 0)
-                there = bits[slot >> 3] >> (slot & 7) & 1 > 0
+                there = _there(code, bits)
                 places.append(place[there])
                 seeds.append(code[there])
             offsets = pa.array(np.cumsum([0, *map(len, places)]), pa.int32())
@@ -229,9 +247,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, id: str, text: str, carry: lis
     piece = F.struct("item", "words", "piece", "seeds")
     near = written(_candidates(classes, places, met).groupBy("pid").agg(F.collect_list(piece).alias("near")), "near")
     value = F.col(f"row.`{text}`").cast("string") if text in carry else F.col("text")
-    # Only texts with candidates are shuffled; the ids that choose them come from a table whose size Spark knows.
-    texts = met.filter("size(hits) > 0").select("pid", value.alias("text")).join(near.select("pid"), "pid", "left_semi")
-    texts = texts.join(near.hint("merge"), "pid")
+    # Texts without candidates are left out before the shuffle: a semi join would shuffle them all once the ids are too many to send.
+    texts = _with_candidates(met.filter("size(hits) > 0").select("pid", value.alias("text")), near).join(near.hint("merge"), "pid")
     shape = "pid long, item long, similarity double, seeds long, first_word long, end_word long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -605,3 +605,13 @@ def test_naming_windows_holds_numbers_for_some_texts_only():
         assert (owner[at : at + len(own)] == i).all() and (spans[at : at + len(own)] == own).all() and (name[at : at + len(own)] == least).all()
         at += len(own)
     assert len(name) > at and suffix_dedup.names([], 50)[1].shape == (0, 2)
+
+
+def test_only_texts_with_candidates_are_shuffled(spark):
+    """The pids choose the texts where they are read, however many there are."""
+    texts = spark.range(5_000).selectExpr("id * 8589934592 as pid", "string(id) as text")
+    near = texts.filter("cast(text as int) % 50 = 0").select("pid")
+    found = decontamination._with_candidates(texts, near)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    kept = {row.pid for row in found.collect()}
+    assert {row.pid for row in near.collect()} <= kept and len(kept) < 150
