@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
@@ -77,26 +78,75 @@ def _names(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.
         empty = np.empty(0, np.int64)
         return empty, np.empty((0, 2), np.int64), empty.astype(np.uint64)
     least = _least(whole, length)
-    starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - length + 1, 0))
-    counts = np.maximum(sizes - length + 1, 0)
-    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    name = least[starts[owner] + place]
-    first = np.flatnonzero(np.r_[True, (name[1:] != name[:-1]) | (owner[1:] != owner[:-1])]) if len(name) else np.empty(0, np.int64)
-    past = np.r_[first[1:], len(name)] if len(name) else first
-    begin = place[first] if len(name) else first
-    return owner[first], np.column_stack([begin, begin + past - first]), name[first]
+    long = np.flatnonzero(sizes >= length)
+    starts = (np.cumsum(sizes) - sizes)[long]
+    ends = starts + sizes[long] - length + 1
+    change = np.r_[True, least[1:] != least[:-1]]
+    change[starts] = True
+    first = np.flatnonzero(change)
+    past = np.r_[first[1:], len(least)]
+    text = np.searchsorted(starts, first, side="right") - 1
+    inside = (text >= 0) & (first < ends[text]) if len(long) else np.zeros(len(first), bool)  # others cross into the next text
+    first, past, text = first[inside], past[inside], text[inside]
+    past = np.minimum(past, ends[text])
+    return long[text], np.column_stack([first - starts[text], past - starts[text]]), least[first]
 
 
-def _pack(name: np.ndarray) -> bytes:
-    """The upper five bytes of each name; the bucket stands for further bits."""
-    return np.ascontiguousarray((name >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+#: Bits of a name that are sent; the bucket stands for further bits.
+SENT = 40
 
 
-def _unpack(packed: bytes) -> np.ndarray:
+def _pack(short: np.ndarray) -> np.ndarray:
+    """The five bytes of each shortened name."""
+    return np.ascontiguousarray(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).ravel()
+
+
+def _unpack(packed: np.ndarray) -> np.ndarray:
     out = np.zeros((len(packed) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
+    out[:, :5] = packed.reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
+def _codes(name: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket and the shortened name in one number, which sorts by bucket."""
+    return (name % np.uint64(buckets)) << np.uint64(SENT) | name >> np.uint64(64 - SENT)
+
+
+def _cells(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all cells of a binary column without nulls, one after another, and the size of each cell."""
+    cells = column.cast(pa.large_binary()).combine_chunks()
+    if not len(cells):
+        return np.empty(0, np.uint8), np.empty(0, np.int64)
+    _, offsets, data = cells.buffers()
+    ends = np.frombuffer(offsets, np.int64)[cells.offset : cells.offset + len(cells) + 1]
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]], np.diff(ends)
+
+
+def _binary(data: np.ndarray | bytes, sizes: np.ndarray) -> pa.Array:
+    """A binary column whose cells of these sizes lie one after another in the data."""
+    ends = np.r_[0, np.cumsum(sizes)]
+    if ends[-1] > np.iinfo(np.int32).max:
+        raise OverflowError("over 2 GB in one column")
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.int64)
+    return starts, np.diff(np.r_[starts, len(values)])
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for each count."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are known."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    known = np.sort(known)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 RIGHT = "unit long, kind string, bucket long, rank long, digest binary, data binary"
@@ -106,38 +156,33 @@ class _Unit:
     """The texts of one unit that come first of their equals, in a fixed order, with their runs of windows."""
 
     def __init__(self, rows: pa.Table, right: pa.Table, length: int) -> None:
-        kinds = right.column("kind").to_pylist()
-        self.right = [row for row, kind in zip(right.select(["bucket", "rank", "data"]).to_pylist(), kinds) if kind == "repeated"]
-        self.verdicts = [data for data, kind in zip(right.column("data").to_pylist(), kinds) if kind == "verdict"]
-        first = {(r, d) for r, d, kind in zip(right.column("rank").to_pylist(), right.column("digest").to_pylist(), kinds) if kind == "first"}
+        kind = right.column("kind")
+        first, self.right, self.verdicts = (right.filter(pc.equal(kind, x)) for x in ("first", "repeated", "verdict"))
+        firsts = set(zip(first.column("rank").to_pylist(), first.column("digest").to_pylist()))
         self.rows = []
         texts: dict[tuple[int, bytes], bytes] = {}
         values = rows.column("text").cast(pa.large_binary()).to_pylist()
         for i, (rank, text) in enumerate(zip(rows.column("rank").to_pylist(), values)):
             key = (rank, hashlib.sha256(text).digest())
             self.rows.append((i, key, text))
-            if key in first:
+            if key in firsts:
                 texts[key] = text
         self.keys = sorted(texts)
         self.texts = [texts[key] for key in self.keys]
+        self.ranks = np.array([rank for rank, _ in self.keys], np.int64)
         self.owner, self.spans, self.name = names(self.texts, length)
 
     def repeated(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the runs whose name another text has too, and which of them have a hot name."""
-        bucket = (self.name % np.uint64(buckets)).astype(np.int64)
-        keep, hot = np.zeros(len(self.name), bool), np.zeros(len(self.name), bool)
-        short = self.name >> np.uint64(24)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for row in self.right:
-            own = order[cuts[row["bucket"]] : cuts[row["bucket"] + 1]]
-            known = _unpack(row["data"])
-            keep[own] |= np.isin(short[own], known)
-            hot[own] |= np.isin(short[own], known[row["rank"] :])
-        runs = np.flatnonzero(keep)
-        return runs, hot[runs]
-
-    def segments(self, buckets: int, length: int) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        data, sizes = _cells(self.right.column("data"))
+        counts = sizes // 5
+        bucket, cold = (self.right.column(x).to_numpy() for x in ("bucket", "rank"))
+        known = np.repeat(bucket.astype(np.uint64), counts) << np.uint64(SENT) | _unpack(data)
+        codes = _codes(self.name, buckets)
+        runs = np.flatnonzero(_among(codes, known))
+        return runs, _among(codes[runs], known[_within(counts) >= np.repeat(cold, counts)])
+
+    def segments(self, buckets: int, length: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different pieces of text under repeated names, numbered; and of each occurrence text, first window, bucket and piece.
 
         A run is one piece, which goes where its name goes. What lies around a passage differs between texts, so the runs of a hot
@@ -147,40 +192,71 @@ class _Unit:
         spans = self.spans[runs]
         many = np.where(hot, spans[:, 1] - spans[:, 0], 1)
         of = np.repeat(np.arange(len(runs)), many)
-        begin = spans[of, 0] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+        begin = spans[of, 0] + _within(many)
         end = np.where(hot[of], begin + 1, spans[of, 1]) + length - 1
         owner = self.owner[runs][of]
         bucket = (self.name[runs][of] % np.uint64(buckets)).astype(np.int64)
-        number: dict[bytes, int] = {}
-        piece_of = []
-        for i, (text, a, b, cut) in enumerate(zip(owner.tolist(), begin.tolist(), end.tolist(), hot[of].tolist())):
-            piece = self.texts[text][a:b]
-            piece_of.append(number.setdefault(piece, len(number)))
-            if cut:
-                bucket[i] = zlib.crc32(piece) % buckets
-        return number, owner, begin, bucket, piece_of
+        whole = b"".join(self.texts)
+        sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
+        starts = (np.cumsum(sizes) - sizes)[owner]
+        pieces = [whole[a:b] for a, b in zip((starts + begin).tolist(), (starts + end).tolist())]
+        for i in np.flatnonzero(hot[of]).tolist():
+            bucket[i] = zlib.crc32(pieces[i]) % buckets
+        number = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+        return list(number), owner, begin, bucket, np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+
+    def gone(self, buckets: int, length: int) -> tuple[list[int], list[int], list[int]]:
+        """Begins and ends of the parts that smaller ranks have, in order of texts and places; where each text's parts begin."""
+        _, owner, first, _, piece_of = self.segments(buckets, length)
+        verdicts = _cells(self.verdicts.column("data"))[0].view(np.int64).reshape(-1, 4)
+        verdicts = verdicts[np.argsort(verdicts[:, 0])]
+        start = np.searchsorted(verdicts[:, 0], piece_of)
+        many = np.searchsorted(verdicts[:, 0], piece_of, side="right") - start
+        of = np.repeat(np.arange(len(piece_of)), many)
+        _, a, b, rank = verdicts[np.repeat(start, many) + _within(many)].T
+        taken = rank < self.ranks[owner[of]]
+        of, a, b = of[taken], a[taken], b[taken]
+        # Places count through all texts, with one place between texts, so that parts of two texts never touch.
+        sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts)) + 1
+        starts = np.cumsum(sizes) - sizes
+        base = starts[owner[of]] + first[of]
+        order = np.argsort(base + a)
+        begin, end = (base + a)[order], np.maximum.accumulate((base + b)[order] + length - 1)
+        new = np.r_[True, begin[1:] > end[:-1]][: len(begin)]
+        last = np.r_[new[1:], True][: len(end)]
+        begin, end = begin[new], end[last]
+        text = np.searchsorted(starts, begin, side="right") - 1
+        cuts = np.searchsorted(text, np.arange(len(self.texts) + 1))
+        return (begin - starts[text]).tolist(), (end - starts[text]).tolist(), cuts.tolist()
 
 
 def _name_rows(buckets: int, length: int):
     def run(key, rows, right):
         unit = _Unit(rows, right, length)
-        order = np.argsort(unit.name, kind="stable")  # texts of one name stay in order
-        name, owner = unit.name[order], unit.owner[order]
-        new = np.r_[True, (name[1:] != name[:-1]) | (owner[1:] != owner[:-1])][: len(name)]
-        name, counts = np.unique(name[new], return_counts=True)
-        bucket = (name % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        name, counts, bucket = name[order], counts[order], bucket[order]
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-        out = {"bucket": [], "unit": [], "once": [], "more": [], "texts": []}
-        for a, b in zip(starts, [*starts[1:], len(bucket)]):
-            out["bucket"].append(int(bucket[a]))
-            out["unit"].append(key[0].as_py())
-            out["once"].append(_pack(name[a:b][counts[a:b] == 1]))
-            out["more"].append(_pack(name[a:b][counts[a:b] > 1]))
-            out["texts"].append(counts[a:b][counts[a:b] > 1].astype(np.int32).tobytes())
-        kinds = [("bucket", pa.int64()), ("unit", pa.int64()), *((x, pa.binary()) for x in ("once", "more", "texts"))]
-        return pa.table(out, schema=pa.schema(kinds))
+        codes = _codes(unit.name, buckets)
+        order = np.argsort(codes)
+        code, owner = codes[order], unit.owner[order]
+        starts, counts = _runs(code)
+        several = np.repeat(counts > 1, counts)  # a text counts once
+        pairs = np.lexsort((owner[several], code[several]))
+        some, owner = code[several][pairs], owner[several][pairs]
+        new = np.r_[True, (some[1:] != some[:-1]) | (owner[1:] != owner[:-1])][: len(some)]
+        code = code[starts]
+        counts[counts > 1] = _runs(some[new])[1]
+        bucket = code >> np.uint64(SENT)
+        starts, many = _runs(bucket)
+        once = counts == 1
+        ones = np.add.reduceat(once, starts, dtype=np.int64) if len(starts) else many
+        return pa.table(
+            {
+                "bucket": bucket[starts].astype(np.int64),
+                "unit": np.full(len(starts), key[0].as_py()),
+                "once": _binary(_pack(code[once]), 5 * ones),
+                "more": _binary(_pack(code[~once]), 5 * (many - ones)),
+                "texts": _binary(counts[~once].astype(np.int32), 4 * (many - ones)),
+            },
+            schema=pa.schema([("bucket", pa.int64()), ("unit", pa.int64()), *((x, pa.binary()) for x in ("once", "more", "texts"))]),
+        )
 
     return run
 
@@ -189,25 +265,26 @@ def _common(hot: int):
     """Names that two texts of any unit have, sent back to each unit that has them; those of over `hot` texts come last."""
 
     def run(key, rows):
-        units = rows.column("unit").to_pylist()
-        once = [_unpack(x) for x in rows.column("once").to_pylist()]
-        more = [_unpack(x) for x in rows.column("more").to_pylist()]
-        texts = [np.frombuffer(x, np.int32) for x in rows.column("texts").to_pylist()]
-        name, of = np.unique(np.concatenate([*once, *more]), return_inverse=True)
-        ones = np.ones(sum(map(len, once)), np.int64)
-        counts = np.bincount(of, np.concatenate([ones, *texts]), len(name)).astype(np.int64)
-        cold, often = name[(counts > 1) & (counts <= hot)], name[counts > max(hot, 1)]
-        out = {"unit": [], "bucket": [], "rank": [], "data": []}
-        for unit, a, b in zip(units, once, more):
-            own = np.r_[a, b]
-            first, last = own[np.isin(own, cold)], own[np.isin(own, often)]
-            if len(first) + len(last):
-                out["unit"].append(unit)
-                out["bucket"].append(key[0].as_py())
-                out["rank"].append(len(first))
-                out["data"].append(_pack(np.r_[first, last] << np.uint64(24)))
-        kinds = [("unit", pa.int64()), ("bucket", pa.int64()), ("rank", pa.int64()), ("data", pa.binary())]
-        return pa.table(out, schema=pa.schema(kinds))
+        units = rows.column("unit").to_numpy()
+        (once, sizes), (more, sizes_more), (texts, _) = (_cells(rows.column(x)) for x in ("once", "more", "texts"))
+        all_ = np.r_[_unpack(once), _unpack(more)]
+        row = np.r_[np.repeat(np.arange(len(units)), sizes // 5), np.repeat(np.arange(len(units)), sizes_more // 5)]
+        name, of = np.unique(all_, return_inverse=True)
+        counts = np.bincount(of, np.r_[np.ones(len(once) // 5), np.frombuffer(texts.tobytes(), np.int32)], len(name)).astype(np.int64)[of]
+        place = np.flatnonzero(counts > 1)
+        often = counts[place] > max(hot, 1)
+        order = np.argsort(2 * row[place] + often, kind="stable")
+        all_, row, often = all_[place[order]], row[place[order]], often[order]
+        starts, many = _runs(row)
+        return pa.table(
+            {
+                "unit": units[row[starts]],
+                "bucket": np.full(len(starts), key[0].as_py()),
+                "rank": many - np.add.reduceat(often, starts, dtype=np.int64) if len(starts) else many,
+                "data": _binary(_pack(all_), 5 * many),
+            },
+            schema=pa.schema([("unit", pa.int64()), ("bucket", pa.int64()), ("rank", pa.int64()), ("data", pa.binary())]),
+        )
 
     return run
 
@@ -215,30 +292,28 @@ def _common(hot: int):
 def _segment_rows(buckets: int, length: int):
     def run(key, rows, right):
         unit = _Unit(rows, right, length)
-        number, owner, _, to, piece_of = unit.segments(buckets, length)
-        low = np.full(len(number), LAST)
-        high = np.zeros(len(number), np.int64)
-        bucket = np.zeros(len(number), np.int64)
-        ranks = np.array([rank for rank, _ in unit.keys] or [0], np.int64)
-        np.minimum.at(low, piece_of, ranks[owner])
-        high[:] = np.iinfo(np.int64).min
-        np.maximum.at(high, piece_of, ranks[owner])
+        pieces, owner, _, to, piece_of = unit.segments(buckets, length)
+        low = np.full(len(pieces), LAST)
+        high = np.full(len(pieces), np.iinfo(np.int64).min)
+        bucket = np.zeros(len(pieces), np.int64)
+        np.minimum.at(low, piece_of, unit.ranks[owner])
+        np.maximum.at(high, piece_of, unit.ranks[owner])
         bucket[piece_of] = to
-        pieces = list(number)
-        out = {"bucket": [], "unit": [], "numbers": [], "low": [], "high": [], "sizes": [], "data": []}
         order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) > 0]) if len(order) else []
-        for a, b in zip(cuts, [*cuts[1:], len(order)]):
-            own = order[a:b]
-            out["bucket"].append(int(bucket[own[0]]))
-            out["unit"].append(key[0].as_py())
-            out["numbers"].append(own.astype(np.int32).tobytes())
-            out["low"].append(low[own].tobytes())
-            out["high"].append(high[own].tobytes())
-            out["sizes"].append(np.array([len(pieces[i]) for i in own], np.int32).tobytes())
-            out["data"].append(b"".join([pieces[i] for i in own]))
-        kinds = [("bucket", pa.int64()), ("unit", pa.int64()), *((x, pa.binary()) for x in ("numbers", "low", "high", "sizes", "data"))]
-        return pa.table(out, schema=pa.schema(kinds))
+        starts, many = _runs(bucket[order])
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))[order]
+        return pa.table(
+            {
+                "bucket": bucket[order[starts]],
+                "unit": np.full(len(starts), key[0].as_py()),
+                "numbers": _binary(order.astype(np.int32), 4 * many),
+                "low": _binary(low[order], 8 * many),
+                "high": _binary(high[order], 8 * many),
+                "sizes": _binary(sizes.astype(np.int32), 4 * many),
+                "data": _binary(b"".join([pieces[i] for i in order.tolist()]), np.add.reduceat(sizes, starts) if len(starts) else many),
+            },
+            schema=pa.schema([("bucket", pa.int64()), ("unit", pa.int64()), *((x, pa.binary()) for x in ("numbers", "low", "high", "sizes", "data"))]),
+        )
 
     return run
 
@@ -247,18 +322,16 @@ def _verdicts(length: int):
     """Sort the windows of a bucket's pieces; send back to each unit the smallest rank that has each window."""
 
     def run(key, rows):
-        units, number, low, high, pieces = [], [], [], [], []
-        for row in rows.to_pylist():
-            sizes = np.frombuffer(row["sizes"], np.int32)
-            ends = np.cumsum(sizes)
-            units += [row["unit"]] * len(sizes)
-            number += np.frombuffer(row["numbers"], np.int32).tolist()
-            low.append(np.frombuffer(row["low"], np.int64))
-            high.append(np.frombuffer(row["high"], np.int64))
-            pieces += [row["data"][b - s : b] for s, b in zip(sizes.tolist(), ends.tolist())]
-        low, high = np.concatenate(low), np.concatenate(high)
-        distinct: dict[bytes, int] = {}
-        same = np.array([distinct.setdefault(piece, len(distinct)) for piece in pieces])
+        sizes, per_row = _cells(rows.column("sizes"))
+        sizes = sizes.view(np.int32)
+        units = np.repeat(rows.column("unit").to_numpy(), per_row // 4)
+        number = _cells(rows.column("numbers"))[0].view(np.int32)
+        low, high = (_cells(rows.column(x))[0].view(np.int64) for x in ("low", "high"))
+        ends = np.cumsum(sizes, dtype=np.int64)
+        data = _cells(rows.column("data"))[0].tobytes()
+        pieces = [data[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+        distinct = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+        same = np.fromiter(map(distinct.__getitem__, pieces), np.int64, len(pieces))
         least = np.full(len(distinct), LAST)
         np.minimum.at(least, same, low)
         text = Text(list(distinct), depth=length)
@@ -282,17 +355,14 @@ def _verdicts(length: int):
         runs_from = np.searchsorted(of, np.arange(len(distinct)))
         runs_of = np.diff(np.r_[runs_from, len(of)])
         asked = np.flatnonzero(np.minimum.reduceat(value, runs_from)[same] < high)
-        asked = asked[np.argsort(np.array(units)[asked], kind="stable")]
+        asked = asked[np.argsort(units[asked], kind="stable")]
         many = runs_of[same[asked]]
-        run_ = np.repeat(runs_from[same[asked]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        table = np.column_stack([np.repeat(np.array(number)[asked], many), begin[run_], end[run_], value[run_]]).astype(np.int64)
-        unit = np.repeat(np.array(units)[asked], many)
-        starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]) if len(unit) else np.empty(0, np.int64)
+        run_ = np.repeat(runs_from[same[asked]], many) + _within(many)
+        table = np.column_stack([np.repeat(number[asked], many), begin[run_], end[run_], value[run_]]).astype(np.int64)
+        unit = np.repeat(units[asked], many)
+        starts, many = _runs(unit)
         return pa.table(
-            {
-                "unit": unit[starts],
-                "data": pa.array([table[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(unit)])], pa.binary()),
-            },
+            {"unit": unit[starts], "data": _binary(table, table.itemsize * table.shape[1] * many)},
             schema=pa.schema([("unit", pa.int64()), ("data", pa.binary())]),
         )
 
@@ -302,29 +372,16 @@ def _verdicts(length: int):
 def _removed(buckets: int, length: int, kept: bool):
     def run(key, rows, right):
         unit = _Unit(rows, right, length)
-        _, owner, first, _, piece_of = unit.segments(buckets, length)
-        verdict: dict[int, list] = {}
-        for data in unit.verdicts:
-            for number, a, b, rank in np.frombuffer(data, np.int64).reshape(-1, 4).tolist():
-                verdict.setdefault(number, []).append((a, b, rank))
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for text, begin, piece in zip(owner.tolist(), first.tolist(), piece_of):
-            for a, b, rank in verdict.get(piece, ()):
-                if rank < unit.keys[text][0]:
-                    spans.setdefault(text, []).append((begin + a, begin + b + length - 1))
+        begin, end, cuts = unit.gone(buckets, length)
         place = {own: i for i, own in enumerate(unit.keys)}
         out = {"id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
         ids = rows.column("id")
         for i, own, text in unit.rows:
             if own in place:
-                merged: list[list[int]] = []
-                for a, b in sorted(spans.get(place[own], ())):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], b)
-                    else:
-                        merged.append([a, b])
+                a, b = cuts[place[own] : place[own] + 2]
+                merged = list(zip(begin[a:b], end[a:b]))
             else:
-                merged = [[0, len(text)]] if len(text) >= length else []
+                merged = [(0, len(text))] if len(text) >= length else []
             ends = [0, *(b for _, b in merged)]
             rest = b"".join([text[a:b] for a, b in zip(ends, [*(a for a, _ in merged), len(text)])])
             out["n_bytes"].append(len(text))
@@ -363,7 +420,8 @@ def without_repeats(
     rank = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
     given = docs.select(F.col(id).alias("id"), rank.alias("rank"), value.alias("text"))
     total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    units = buckets = max(8, -(-total // unit_bytes))
+    units = max(8, -(-total // unit_bytes))
+    buckets = min(units, 1 << (64 - SENT))
 
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")
     unit = F.pmod(F.xxhash64("rank", "digest"), F.lit(units)).alias("unit")

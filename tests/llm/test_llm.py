@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import tracemalloc
 import zlib
 
@@ -615,3 +616,27 @@ def test_only_texts_with_candidates_are_shuffled(spark):
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     kept = {row.pid for row in found.collect()}
     assert {row.pid for row in near.collect()} <= kept and len(kept) < 150
+
+
+def test_names_of_many_units_meet_in_linear_time():
+    """The same names from 4 and from 1,000 units; each unit was searched for in all common names before."""
+    rng = np.random.default_rng(3)
+    name = rng.integers(0, 1 << 40, 100_000, dtype=np.uint64)
+    packed = name.view(np.uint8).reshape(-1, 8)[:, :5]
+    kinds = pa.schema([("unit", pa.int64()), *((x, pa.binary()) for x in ("once", "more", "texts"))])
+    times, back = [], []
+    for units in (4, 1000):
+        of = rng.permutation(np.repeat(np.arange(len(name)), 2)).reshape(units, -1)  # every name comes twice
+        rows = [{"unit": i, "once": packed[own].tobytes(), "more": b"", "texts": b""} for i, own in enumerate(of)]
+        rows[1] |= {"more": packed[:3].tobytes(), "texts": np.full(3, 9, np.int32).tobytes()}
+        table = pa.Table.from_pylist(rows, kinds)
+        began = time.process_time()
+        back.append(suffix_dedup._common(5)([pa.scalar(7)], table).to_pylist())
+        times.append(time.process_time() - began)
+        assert [x["unit"] for x in back[-1]] == list(range(units)) and {x["bucket"] for x in back[-1]} == {7}
+        often = {packed[i].tobytes() for i in range(3)}
+        for row, own in zip(back[-1][:20], of):
+            sent = [row["data"][i : i + 5] for i in range(0, len(row["data"]), 5)]
+            assert set(sent[row["rank"] :]) == {x for x in sent if x in often} == often & {*sent}
+            assert sorted(sent) == sorted([packed[i].tobytes() for i in own] + (sorted(often) if row["unit"] == 1 else []))
+    assert times[1] < 0.5 + 10 * times[0]
